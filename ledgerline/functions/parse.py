@@ -16,6 +16,7 @@ _MONTH_NAME = (
     "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
     "sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
+_DAY_NAME = "(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?"
 _TIME = (
     r"(?:[t ]+(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?: ?[ap]m)?"
     r" ?(?:z|utc|[+-]\d{2}:?\d{2})?)?"
@@ -35,12 +36,12 @@ def parse_date(text: Column, today_year: int | None = None) -> Column:
     """Lenient date, month first; NULL when unparsable.
 
     The shape of the text picks the order of its parts; the parts become an ISO string that
-    ``try_cast`` turns into a date, so 30 February is NULL.  Month and day swap when the
-    month is above 12.  A written time or zone must be valid and is then dropped.  Two-digit
+    ``try_cast`` turns into a date, so 30 February is NULL.  Month and day swap when the year
+    comes last and the month is above 12.  A written time or zone must be valid and is then dropped.  Two-digit
     years fall within 50 years of ``today_year``.  Words such as "today" are not dates.
     """
     today_year = today_year or datetime.date.today().year
-    s = F.lower(strip(text))
+    s = F.regexp_replace(F.lower(strip(text)), rf"^{_DAY_NAME},? +", "")
     num = F.split(s, "[^0-9]+")
     words = F.split(s, "[^a-z0-9]+")
 
@@ -58,22 +59,22 @@ def parse_date(text: Column, today_year: int | None = None) -> Column:
         return F.when(F.length(y) <= 2, near).otherwise(n)
 
     def ymd(y: Column, m: Column, d: Column) -> Column:
-        m, d = m.cast("int"), d.cast("int")
-        swap = (m > 12) & (d <= 12)
-        return F.format_string(
-            "%04d-%02d-%02d", y.cast("int"), F.when(swap, d).otherwise(m), F.when(swap, m).otherwise(d)
-        )
+        return F.format_string("%04d-%02d-%02d", y.cast("int"), m.cast("int"), d.cast("int"))
+
+    def month_first(y: Column, m: Column, d: Column) -> Column:
+        swap = (m.cast("int") > 12) & (d.cast("int") <= 12)
+        return ymd(y, F.when(swap, d).otherwise(m), F.when(swap, m).otherwise(d))
 
     first, second, third = F.get(num, 0), F.get(num, 1), F.get(num, 2)
     w1, w2, w3 = F.get(words, 0), F.get(words, 1), F.get(words, 2)
     one = F.lit("1")
     iso = (
         F.when(
-            s.rlike(rf"^\d{{4}}([-/.])\d{{1,2}}\1\d{{1,2}}{_TIME}$"), ymd(first, second, third)
+            s.rlike(rf"^\d{{4}}([-/. ])\d{{1,2}}\1\d{{1,2}}{_TIME}$"), ymd(first, second, third)
         )
         .when(
             s.rlike(rf"^\d{{1,2}}([-/.])\d{{1,2}}\1(?:\d{{4}}|\d{{2}}){_TIME}$"),
-            ymd(full_year(third), first, second),
+            month_first(full_year(third), first, second),
         )
         .when(
             s.rlike(rf"^{_MONTH_NAME}\.?[ -]\d{{1,2}}(?:, ?|[ -])(?:\d{{4}}|\d{{2}}){_TIME}$"),
@@ -88,6 +89,8 @@ def parse_date(text: Column, today_year: int | None = None) -> Column:
             F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2)),
         )
         .when(s.rlike(r"^\d{4}[-/]\d{1,2}$"), ymd(first, second, one))
+        .when(s.rlike(r"^\d{1,2}[-/]\d{4}$"), ymd(second, first, one))
+        .when(s.rlike(rf"^{_MONTH_NAME}\.?,? \d{{4}}$"), ymd(F.regexp_extract(s, r"\d{4}$", 0), month_number(w1), one))
         .when(s.rlike(r"^\d{4}$"), ymd(first, one, one))
     )
     day = iso.try_cast("date")
