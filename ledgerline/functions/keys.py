@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
@@ -21,9 +22,9 @@ def row_hash(columns: Mapping[str, str]) -> Column:
     """
     parts = []
     for header in sorted(columns):
-        key = json_string(F.lit(header))
+        key = json.dumps(header, ensure_ascii=False)
         value = F.coalesce(json_string(F.col(f"`{columns[header]}`")), F.lit("null"))
-        parts.append(F.concat(key, F.lit(": "), value))
+        parts.append(F.concat(F.lit(f"{key}: "), value))
     return sha256(F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}")))
 
 

@@ -6,21 +6,24 @@ import datetime
 
 from pyspark.sql import Column, functions as F
 
-from .text import strip
+from .text import WHITESPACE, let, strip
 
 # First and last day a nanosecond timestamp can hold.
 FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-11"
 
-_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+# Month names and their first three letters in order.
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 _MONTH_NAME = (
-    "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
-    "sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+    "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)(?:(?<=jan)uary|(?<=feb)ruary|(?<=mar)ch|"
+    "(?<=apr)il|(?<=jun)e|(?<=jul)y|(?<=aug)ust|(?<=sep)t(?:ember)?|(?<=sep)tember|(?<=oct)ober|"
+    "(?<=nov)ember|(?<=dec)ember)?"
 )
 _DAY_NAME = "(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?"
 _TIME = (
-    r"(?:[t ]+(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?: ?[ap]m)?"
-    r" ?(?:z|utc|[+-]\d{2}:?\d{2})?)?"
+    r"(?:t| +)(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?: ?[ap]m)?"
+    r" ?(?:z|utc|[+-]\d{2}:?\d{2})?$"
 )
+_YEAR = r"(\d{4}|\d{2})"
 
 
 def parse_status(text: Column, parsed: Column) -> Column:
@@ -32,69 +35,49 @@ def parse_status(text: Column, parsed: Column) -> Column:
     )
 
 
+def _date_shapes(today_year: int) -> list[tuple[str, str]]:
+    """Patterns that rewrite a date text to year-month-day, each for one way of writing it."""
+    century, short = divmod(today_year, 100)
+    earlier = [f"{y:02d}" for y in range(100) if y >= short + 50]
+    later = [f"{y:02d}" for y in range(100) if y < short - 50]
+    shapes = [
+        (r"^(\d{4})([-/. ])(\d{1,2})\2(\d{1,2})$", "$1-$3-$4"),
+        (rf"^(1[3-9]|[2-9]\d)([-/.])(0?[1-9]|1[0-2])\2{_YEAR}$", "$4-$3-$1"),
+        (rf"^(\d{{1,2}})([-/.])(\d{{1,2}})\2{_YEAR}$", "$4-$1-$3"),
+        (rf"^{_MONTH_NAME}\.?[ -](\d{{1,2}})(?:, ?|[ -]){_YEAR}$", "$3-$1-$2"),
+        (rf"^(\d{{1,2}})[ -]{_MONTH_NAME}\.?(?:, ?|[ -]){_YEAR}$", "$3-$2-$1"),
+        (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+        (r"^(\d{4})[-/](\d{1,2})$", "$1-$2-1"),
+        (r"^(\d{1,2})[-/](\d{4})$", "$2-$1-1"),
+        (rf"^{_MONTH_NAME}\.?,? (\d{{4}})$", "$2-$1-1"),
+        (r"^(\d{4})$", "$1-1-1"),
+    ]
+    for years, first in ((earlier, century - 1), (later, century + 1)):
+        if years:
+            shapes.append((rf"^({'|'.join(years)})-", f"{first}$1-"))
+    return [*shapes, (r"^(\d\d)-", f"{century}$1-")]
+
+
 def parse_date(text: Column, today_year: int | None = None) -> Column:
     """Lenient date, month first; NULL when unparsable.
 
-    The shape of the text picks the order of its parts; the parts become an ISO string that
-    ``try_cast`` turns into a date, so 30 February is NULL.  Month and day swap when the year
-    comes last and the month is above 12.  A written time or zone must be valid and is then dropped.  Two-digit
-    years fall within 50 years of ``today_year``.  Words such as "today" are not dates.
+    Text that is not ISO yet goes through a chain of rewrites, each for one way of writing a
+    date, and must come out as year-month-day; ``try_cast`` then rejects 30 February.  Month
+    and day swap when the year comes last and the month is above 12.  A written time or zone
+    must be valid and is dropped.  Two-digit years fall within 50 years of ``today_year``.
+    Words such as "today" are not dates.
     """
-    today_year = today_year or datetime.date.today().year
     s = F.regexp_replace(F.lower(strip(text)), rf"^{_DAY_NAME},? +", "")
-    num = F.split(s, "[^0-9]+")
-    words = F.split(s, "[^a-z0-9]+")
-
-    def month_number(name: Column) -> Column:
-        return ((F.instr(F.lit(_MONTHS), F.substring(name, 1, 3)) + 2) / 3).cast("int")
-
-    def full_year(y: Column) -> Column:
-        n = y.cast("int")
-        near = n + (today_year // 100) * 100
-        near = (
-            F.when(near >= today_year + 50, near - 100)
-            .when(near < today_year - 50, near + 100)
-            .otherwise(near)
-        )
-        return F.when(F.length(y) <= 2, near).otherwise(n)
-
-    def ymd(y: Column, m: Column, d: Column) -> Column:
-        return F.format_string("%04d-%02d-%02d", y.cast("int"), m.cast("int"), d.cast("int"))
-
-    def month_first(y: Column, m: Column, d: Column) -> Column:
-        swap = (m.cast("int") > 12) & (d.cast("int") <= 12)
-        return ymd(y, F.when(swap, d).otherwise(m), F.when(swap, m).otherwise(d))
-
-    first, second, third = F.get(num, 0), F.get(num, 1), F.get(num, 2)
-    w1, w2, w3 = F.get(words, 0), F.get(words, 1), F.get(words, 2)
-    one = F.lit("1")
-    iso = (
-        F.when(
-            s.rlike(rf"^\d{{4}}([-/. ])\d{{1,2}}\1\d{{1,2}}{_TIME}$"), ymd(first, second, third)
-        )
-        .when(
-            s.rlike(rf"^\d{{1,2}}([-/.])\d{{1,2}}\1(?:\d{{4}}|\d{{2}}){_TIME}$"),
-            month_first(full_year(third), first, second),
-        )
-        .when(
-            s.rlike(rf"^{_MONTH_NAME}\.?[ -]\d{{1,2}}(?:, ?|[ -])(?:\d{{4}}|\d{{2}}){_TIME}$"),
-            ymd(full_year(w3), month_number(w1), w2),
-        )
-        .when(
-            s.rlike(rf"^\d{{1,2}}[ -]{_MONTH_NAME}\.?(?:, ?|[ -])(?:\d{{4}}|\d{{2}}){_TIME}$"),
-            ymd(full_year(w3), month_number(w2), w1),
-        )
-        .when(
-            s.rlike(r"^\d{8}$"),
-            F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2)),
-        )
-        .when(s.rlike(r"^\d{4}[-/]\d{1,2}$"), ymd(first, second, one))
-        .when(s.rlike(r"^\d{1,2}[-/]\d{4}$"), ymd(second, first, one))
-        .when(s.rlike(rf"^{_MONTH_NAME}\.?,? \d{{4}}$"), ymd(F.regexp_extract(s, r"\d{4}$", 0), month_number(w1), one))
-        .when(s.rlike(r"^\d{4}$"), ymd(first, one, one))
+    s = F.regexp_replace(s, rf"(?<=\d){_TIME}", "")
+    for pattern, shape in _date_shapes(today_year or datetime.date.today().year):
+        s = F.regexp_replace(s, pattern, shape)
+    for number, name in enumerate(_MONTHS, 1):
+        s = F.replace(s, F.lit(f"-{name}-"), F.lit(f"-{number}-"))
+    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).otherwise(
+        F.regexp_extract(s, r"^\d{4}-\d{1,2}-\d{1,2}$", 0)
     )
-    day = iso.try_cast("date")
-    return F.when((day >= F.lit(FIRST_DAY).cast("date")) & (day <= F.lit(LAST_DAY).cast("date")), day)
+    first, last = F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")
+    return let(iso.try_cast("date"), lambda day: F.when((day >= first) & (day <= last), day))
 
 
 def parse_cents(text: Column) -> Column:
@@ -104,18 +87,15 @@ def parse_cents(text: Column) -> Column:
     dropped.  What is left must look like a number: NaN, infinity and amounts beyond 64-bit
     cents are NULL.
     """
-    s = strip(text)
-    bracket = s.startswith("(") & s.endswith(")")
-    s = F.when(bracket, F.substring(s, F.lit(2), F.length(s) - 2)).otherwise(s)
-    s = F.translate(s, ",$€£₹", "")
-    s = strip(F.replace(F.replace(s, F.lit("USD")), F.lit("usd")))
-    minus = s.startswith("-")
-    s = F.when(minus | s.startswith("+"), strip(F.substring(s, F.lit(2), F.length(s)))).otherwise(s)
-    s = F.replace(s, F.lit("_"))
-    shaped = s.rlike(r"^[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?$")
-    value = F.when(shaped, s).try_cast("decimal(38,18)")
+    blank = f"[{WHITESPACE}]*"
+    bracket = "\x01"  # marks text that was in brackets
+    s = F.regexp_replace(strip(text), r"(?s)^\((.*)\)$", f"{bracket}$1")
+    s = F.replace(F.replace(F.translate(s, ",$€£₹_", ""), F.lit("USD")), F.lit("usd"))
+    number = rf"^{blank}{bracket}?{blank}[-+]?{blank}([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?){blank}$"
+    value = F.regexp_extract(s, number, 1).try_cast("decimal(38,18)")
     cents = F.round(value * F.lit(100).cast("decimal(3,0)"), 0).try_cast("bigint")
-    return F.when(bracket | minus, -cents).otherwise(cents)
+    sign = F.when(s.rlike(f"^{blank}(?:{bracket}|-)"), -1).otherwise(1)
+    return cents * sign
 
 
 def numeric(c: Column) -> Column:

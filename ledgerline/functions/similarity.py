@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
-from .text import strip
+from .text import let, strip
 
 _WORD = 60  # characters whose match positions fit one long with a spare carry bit
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times (else each use repeats its expression)."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _chars(s: Column) -> Column:
     return F.filter(F.split(s, ""), lambda ch: ch != "")
 
@@ -38,14 +31,14 @@ def _lcs_bits(a: Column, b: Column) -> Column:
             )
 
         def step(v: Column, ch: Column) -> Column:
-            return _let(
+            return let(
                 v.bitwiseAND(positions(ch)), lambda u: (v + u).bitwiseOR(v - u).bitwiseAND(full)
             )
 
         return F.aggregate(_chars(b), full, step)
 
     full = F.call_function("shiftleft", one, F.length(a)) - 1
-    row = _let(F.struct(bits.alias("bits"), full.alias("full")), lambda x: grow(x["bits"], x["full"]))
+    row = let(F.struct(bits.alias("bits"), full.alias("full")), lambda x: grow(x["bits"], x["full"]))
     return F.length(a) - F.bit_count(row)
 
 
@@ -66,7 +59,7 @@ def _lcs_table(a: Column, b: Column) -> Column:
 
         return F.aggregate(_chars(a), F.array_repeat(zero, F.size(right) + 1), next_row)
 
-    return F.element_at(_let(_chars(b), fill), -1)
+    return F.element_at(let(_chars(b), fill), -1)
 
 
 def lcs_length(a: Column, b: Column) -> Column:
@@ -119,7 +112,7 @@ def token_set_ratio(a: Column, b: Column) -> Column:
             _joined(F.array_except(t["b"], t["a"])).alias("b"),
         )
 
-    ratio = _let(F.struct(_tokens(a).alias("a"), _tokens(b).alias("b")), lambda t: _let(texts(t), _best_ratio))
+    ratio = let(F.struct(_tokens(a).alias("a"), _tokens(b).alias("b")), lambda t: let(texts(t), _best_ratio))
     return F.when((strip(a) == "") | (strip(b) == ""), 0.0).otherwise(ratio)
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 
@@ -21,6 +22,11 @@ NOISE_WORDS = (
 )
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times (else each use repeats its expression)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(c: Column) -> Column:
     """Trim all Unicode white space (``trim`` knows the space only)."""
     return F.btrim(c, F.lit(WHITESPACE))
@@ -89,11 +95,15 @@ def title_case(c: Column) -> Column:
 
 def json_string(c: Column) -> Column:
     """Quoted JSON string, non-ASCII text kept, control characters as lower-case escapes."""
-    s = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     short = {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
-    escaped = s
-    for code in range(32):
-        ch = chr(code)
-        escaped = F.replace(escaped, F.lit(ch), F.lit(short.get(ch, f"\\u{code:04x}")))
-    s = F.when(s.rlike(r"[\x00-\x1f]"), escaped).otherwise(s)
+    s = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+
+    def escape(s: Column) -> Column:
+        # most control characters never occur: the map is looked up per character only here
+        codes = {chr(n): short.get(chr(n), f"\\u{n:04x}") for n in range(32)}
+        table = F.from_json(F.lit(json.dumps(codes)), "map<string,string>")
+        chars = F.transform(F.split(s, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch))
+        return F.array_join(chars, "")
+
+    s = F.when(s.rlike(r"[\x00-\x1f]"), escape(s)).otherwise(s)
     return F.concat(F.lit('"'), s, F.lit('"'))

@@ -25,9 +25,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import Matching
 from ..schemas import MATCHES
-from ..session import materialize
+from ..session import materialize, ship_functions
 from .candidates import in_band, match_type, score, side, similarity_floor, vendor_pairs, with_cells
 
+ship_functions(__name__)
+
 BLOCK = 65_536  # facts per block when members of a group are numbered
 GROUP_LIMIT = 200_000  # open edges and possible matches of an amount that one task may finish
 
@@ -331,25 +333,31 @@ def assign(
     members = _Members(sides, edges)
     has = edges.agg(*[F.coalesce(F.bool_or(F.col(f"{e}_n") > 1), F.lit(False)).alias(e) for e in _ENDS]).first()
     copies = {e: bool(has[e]) for e in _ENDS}
-    runs: list[DataFrame] = []
+    columns, runs = edges.columns, []
     while True:
         chosen = _take(_best(edges))
-        if runs and (copies["t"] or copies["p"]):
+        if runs and any(copies.values()):
             chosen = _lengthen(materialize(chosen, "best"), members)
         state = materialize(_use_up(chosen), "round")
         runs.append(state.filter("take > 0").select(*_RUN))
         room = F.least(F.col("t_n") - F.col("t_done"), F.col("p_n") - F.col("p_done"))
-        edges = state.select(*edges.columns).withColumn("room", room).filter("room > 0")
+        edges = state.select(*columns).withColumn("room", room).filter("room > 0")
+        size = (F.count("*") + F.coalesce(F.sum("room"), F.lit(0))).alias("size")
+        total = edges.agg(size).first()["size"]
+        if not total:
+            break
         if cfg.amount_tolerance_cents == 0:
-            size = F.count("*") + F.sum("room")
-            weights = edges.groupBy("t_cents").agg(size.alias("size"))
-            large = materialize(weights.filter(F.col("size") > group_limit).select("t_cents"), "large")
+            if total <= group_limit:
+                runs.append(_settle_small(edges, members, copies))
+                break
+            sizes = edges.groupBy("t_cents").agg(size)
+            large = materialize(sizes.filter(F.col("size") > group_limit).select("t_cents"), "large")
             runs.append(_settle_small(edges.join(large, "t_cents", "left_anti"), members, copies))
             edges = edges.join(large, "t_cents", "left_semi")
+            if edges.isEmpty():
+                break
         edges = edges.drop("room")
-        if edges.isEmpty():
-            break
-        edges = materialize(_move_heads(edges, members) if copies["t"] or copies["p"] else edges, "open")
+        edges = materialize(_move_heads(edges, members) if any(copies.values()) else edges, "open")
     pairs = _pairs(reduce(DataFrame.unionByName, runs), members, copies)
     days, cents = F.col("p_day") - F.col("t_day"), F.col("p_cents") - F.col("t_cents")
     return pairs.select(

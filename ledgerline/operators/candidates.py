@@ -108,7 +108,9 @@ def vendor_pairs(tx: DataFrame, pay: DataFrame, cfg: Matching, floor: float = 0.
         tx, pay = tx.filter("t_vendor <> ''"), pay.filter("p_vendor <> ''")
     pairs = tx.distinct().join(pay.distinct(), cells).select("t_vendor", "p_vendor").distinct()
     pairs = pairs.withColumn("vendor_sim", vendor_similarity(F.col("t_vendor"), F.col("p_vendor")))
-    return materialize(pairs.filter(F.col("vendor_sim") >= floor), "vendor-pairs")
+    # filtered after the write: below it the filter would move under ``distinct`` and compare
+    # the names of every pair instead of every distinct pair
+    return materialize(pairs, "vendor-pairs").filter(F.col("vendor_sim") >= floor)
 
 
 def candidates(

@@ -15,10 +15,11 @@ from .dedupe import keep_one
 def date_fields(df: DataFrame) -> DataFrame:
     """Month, year and weekend flag of the ISO ``date``; blank or 0 without a date."""
     day = F.col("date").try_cast("date")
+    iso = day.cast("string")
     return df.withColumns(
         {
-            "month": F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("")),
-            "year": F.coalesce(F.date_format(day, "yyyy"), F.lit("")),
+            "month": F.coalesce(F.substring(iso, 1, 7), F.lit("")),
+            "year": F.coalesce(F.substring(iso, 1, 4), F.lit("")),
             "is_weekend": F.coalesce(F.when(F.weekday(day) >= 5, 1), F.lit(0)),
         }
     )

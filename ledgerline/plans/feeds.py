@@ -127,4 +127,8 @@ def spark_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = FEEDS[name]("sha2({}, 256)")
     for table in ("orders", "part"):
         text = text.replace(f"FROM {table})", f"FROM {{{table}}})").replace(f"JOIN {table} ", f"JOIN {{{table}}} ")
-    return spark.sql(text, orders=read(spark, sf_dir, "orders"), part=read(spark, sf_dir, "part"))
+    orders = read(spark, sf_dir, "orders")
+    cores = spark.sparkContext.defaultParallelism
+    if len(orders.inputFiles()) == 1 and orders.rdd.getNumPartitions() < cores:
+        orders = orders.repartition(cores)  # one small file is one split; many splits need no shuffle
+    return spark.sql(text, orders=orders, part=read(spark, sf_dir, "part"))

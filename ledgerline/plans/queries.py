@@ -372,7 +372,7 @@ def fact_vendor_payments(spark, sf):
 def _flag_query(rules_for) -> Query:
     def query(spark, sf):
         parts = []
-        for record_type, df in zip(("transactions", "vendor_payments"), _facts(spark, sf)):
+        for record_type, df in zip(("transactions", "vendor_payments"), _written_facts(spark, sf)):
             rules = rules_for(df, record_type)
             if rules:
                 parts.append(qa.flag_rows(df, record_type, rules, NOW))
@@ -393,14 +393,14 @@ def qa_missing_fields(spark, sf):
 
 
 def qa_duplicates(spark, sf):
-    tx, pay = _facts(spark, sf)
+    tx, pay = _written_facts(spark, sf)
     return qa.duplicate_flags(tx, "transactions", NOW).unionByName(
         qa.duplicate_flags(pay, "vendor_payments", NOW)
     )
 
 
 def qa_flags(spark, sf):
-    return qa.qa_flags(*_facts(spark, sf), POLICY, NOW)
+    return qa.qa_flags(*_written_facts(spark, sf), POLICY, NOW)
 
 
 # ---- matching ---------------------------------------------------------------------------

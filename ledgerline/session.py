@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,6 +19,7 @@ def local_session(app: str = "ledgerline", cpus: str = "*", partitions: int = 8)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -55,3 +58,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_functions(module_name: str) -> None:
+    """Send a module's functions to Python workers by value: executors need not install it."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

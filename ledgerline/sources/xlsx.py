@@ -12,6 +12,10 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_functions
+
+ship_functions(__name__)
+
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 # Built-in number formats that show a date or time.
