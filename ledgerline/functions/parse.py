@@ -23,6 +23,7 @@ _TIME = (
     r"(?:t| +)(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?: ?[ap]m)?"
     r" ?(?:z|utc|[+-]\d{2}:?\d{2})?$"
 )
+_JOIN = "\x01"  # joins the parts of a rewritten date, so that no later rewrite sees it
 _YEAR = r"(\d{4}|\d{2})"
 
 
@@ -54,8 +55,9 @@ def _date_shapes(today_year: int) -> list[tuple[str, str]]:
     ]
     for years, first in ((earlier, century - 1), (later, century + 1)):
         if years:
-            shapes.append((rf"^({'|'.join(years)})-", f"{first}$1-"))
-    return [*shapes, (r"^(\d\d)-", f"{century}$1-")]
+            shapes.append((rf"^({'|'.join(years)}){_JOIN}", f"{first}$1-"))
+    shapes.append((rf"^(\d\d){_JOIN}", f"{century}$1-"))
+    return [(pattern, shape.replace("-", _JOIN)) for pattern, shape in shapes]
 
 
 def parse_date(text: Column, today_year: int | None = None) -> Column:
@@ -72,10 +74,9 @@ def parse_date(text: Column, today_year: int | None = None) -> Column:
     for pattern, shape in _date_shapes(today_year or datetime.date.today().year):
         s = F.regexp_replace(s, pattern, shape)
     for number, name in enumerate(_MONTHS, 1):
-        s = F.replace(s, F.lit(f"-{name}-"), F.lit(f"-{number}-"))
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).otherwise(
-        F.regexp_extract(s, r"^\d{4}-\d{1,2}-\d{1,2}$", 0)
-    )
+        s = F.replace(s, F.lit(f"{_JOIN}{name}{_JOIN}"), F.lit(f"{_JOIN}{number}{_JOIN}"))
+    s = F.regexp_extract(s, rf"^\d{{4}}{_JOIN}\d{{1,2}}{_JOIN}\d{{1,2}}$", 0)
+    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).otherwise(F.replace(s, F.lit(_JOIN), F.lit("-")))
     first, last = F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")
     return let(iso.try_cast("date"), lambda day: F.when((day >= first) & (day <= last), day))
 

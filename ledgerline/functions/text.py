@@ -95,15 +95,14 @@ def title_case(c: Column) -> Column:
 
 def json_string(c: Column) -> Column:
     """Quoted JSON string, non-ASCII text kept, control characters as lower-case escapes."""
-    short = {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
-    s = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-
-    def escape(s: Column) -> Column:
-        # most control characters never occur: the map is looked up per character only here
-        codes = {chr(n): short.get(chr(n), f"\\u{n:04x}") for n in range(32)}
-        table = F.from_json(F.lit(json.dumps(codes)), "map<string,string>")
-        chars = F.transform(F.split(s, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch))
-        return F.array_join(chars, "")
-
-    s = F.when(s.rlike(r"[\x00-\x1f]"), escape(s)).otherwise(s)
-    return F.concat(F.lit('"'), s, F.lit('"'))
+    named = {"\\": "\\\\", '"': '\\"', "\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
+    for ch, escape in named.items():
+        c = F.replace(c, F.lit(ch), F.lit(escape))
+
+    def rare(s: Column) -> Column:
+        """The other control characters, which hardly any text has, character by character."""
+        codes = F.from_json(F.lit(json.dumps({chr(n): f"\\u{n:04x}" for n in range(32)})), "map<string,string>")
+        chars = F.transform(F.split(s, ""), lambda ch: F.coalesce(F.try_element_at(codes, ch), ch))
+        return F.when(s.rlike(r"[\x00-\x1f]"), F.array_join(chars, "")).otherwise(s)
+
+    return F.concat(F.lit('"'), let(c, rare), F.lit('"'))

@@ -10,8 +10,9 @@ groups: such an edge comes before all its neighbours in the scan, so taking it i
 edge without a rival of equal score uses up the smaller group in one step.  Rounds go on until
 no edge is left; nothing is capped.
 
-With tolerance 0 edges never leave their amount.  Once an amount's open edges fit one task,
-that task finishes the scan for it; amounts that do not fit stay in the rounds.
+Once all open edges fit one task, the scan is finished without further rounds.  With tolerance
+0 edges never leave their amount, so each amount whose open edges fit one task is finished on
+its own, and only larger amounts stay in the rounds.
 """
 
 from __future__ import annotations
@@ -239,8 +240,8 @@ def _settle_level(level, position: dict, used: dict) -> list[tuple]:
     return taken
 
 
-def _settle_amount(edges: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-    """The scan over one amount's open edges; ``members`` are the unused facts of its groups."""
+def _settle_part(edges: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    """The scan over one part's open edges; ``members`` are the unused facts of its groups."""
     members = members.sort_values(["file", "line", "id"], kind="stable")
     position = defaultdict(list)
     for place, (end, key) in enumerate(zip(members["end"], members["key"])):
@@ -259,31 +260,34 @@ def _settle_amount(edges: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
 
 
 def _settle_small(edges: DataFrame, members: _Members, copies: dict[str, bool]) -> DataFrame:
-    """Finish every amount in ``edges``, each in one task of known size.
+    """Finish every part of ``edges``, each in one task of known size.
 
-    A group sends only as many members as its edges could still use.
+    Edges of different parts share no group.  A group sends only as many members as its edges
+    could still use.
     """
     parts = []
     for end in _ENDS:
         groups = edges.groupBy(
-            "t_cents", f"{end}_key", *[c for c in _group_columns(end) if c != "t_cents"], f"{end}_n", f"{end}_done"
+            "part", f"{end}_key", *_group_columns(end), f"{end}_n", f"{end}_done"
         ).agg(F.first(f"{end}_pos").alias("_pos"), F.sum("room").alias("usable"))
         single = groups.filter(f"{end}_n = 1").withColumn("rank", F.lit(1).cast("bigint"))
-        found = [single.select("t_cents", f"{end}_key", "_pos", "rank")]
+        found = [single.select("part", f"{end}_key", "_pos", "rank")]
         if copies[end]:
             several = groups.filter(f"{end}_n > 1").drop("_pos").join(
                 members[end].withColumnsRenamed({f"{end}_pos": "_pos", f"{end}_rank": "rank"}),
                 _group_columns(end),
             ).filter(f"rank > {end}_done and rank <= {end}_done + usable")
-            found.append(several.select("t_cents", f"{end}_key", "_pos", "rank"))
+            found.append(several.select("part", f"{end}_key", "_pos", "rank"))
         parts += [
-            d.select(F.col("t_cents").alias("amount"), F.lit(end).alias("end"), F.col(f"{end}_key").alias("key"), "_pos.*")
+            d.select(F.col("part").alias("_part"), F.lit(end).alias("end"), F.col(f"{end}_key").alias("key"), "_pos.*")
             for d in found
         ]
     open_members = reduce(DataFrame.unionByName, parts)
-    open_edges = edges.select(*[c for c in _RUN if c not in ("t_from", "p_from", "take")], "t_done", "p_done")
-    return open_edges.groupBy("t_cents").cogroup(open_members.groupBy("amount")).applyInPandas(
-        _settle_amount, _RUN_SCHEMA
+    open_edges = edges.select(
+        "part", *[c for c in _RUN if c not in ("t_from", "p_from", "take")], "t_done", "p_done"
+    )
+    return open_edges.groupBy("part").cogroup(open_members.groupBy("_part")).applyInPandas(
+        _settle_part, _RUN_SCHEMA
     )
 
 
@@ -346,17 +350,19 @@ def assign(
         total = edges.agg(size).first()["size"]
         if not total:
             break
-        if cfg.amount_tolerance_cents == 0:
-            if total <= group_limit:
-                runs.append(_settle_small(edges, members, copies))
-                break
+        one_amount = cfg.amount_tolerance_cents == 0
+        edges = edges.withColumn("part", F.col("t_cents") if one_amount else F.lit(0).cast("bigint"))
+        if total <= group_limit:
+            runs.append(_settle_small(edges, members, copies))
+            break
+        if one_amount:
             sizes = edges.groupBy("t_cents").agg(size)
             large = materialize(sizes.filter(F.col("size") > group_limit).select("t_cents"), "large")
             runs.append(_settle_small(edges.join(large, "t_cents", "left_anti"), members, copies))
             edges = edges.join(large, "t_cents", "left_semi")
             if edges.isEmpty():
                 break
-        edges = edges.drop("room")
+        edges = edges.drop("room", "part")
         edges = materialize(_move_heads(edges, members) if any(copies.values()) else edges, "open")
     pairs = _pairs(reduce(DataFrame.unionByName, runs), members, copies)
     days, cents = F.col("p_day") - F.col("t_day"), F.col("p_cents") - F.col("t_cents")

@@ -154,7 +154,7 @@ def _candidates(cfg: Matching, kind: str = "typed") -> dict[str, str]:
     return {
         **_facts(kind),
         "mjoin": f"""SELECT t.txn_id, p.pay_id, coalesce(t.vendor_canonical, '') AS va, coalesce(p.vendor_canonical, '') AS vb,
-            t.source_row_number AS tr, p.source_row_number AS pr, date_diff('day', t.date::date, p.date::date) AS dd,
+            t.source_row_number AS tr, p.source_row_number AS pr, date_diff('day', t.date::date, p.date::date)::int AS dd,
             p.amount_cents - t.amount_cents AS ad
           FROM mtx t JOIN mpay p ON {amount}{band}""",
         "msim": _similarity("(SELECT DISTINCT va, vb FROM mjoin)"),
