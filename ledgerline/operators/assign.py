@@ -85,7 +85,7 @@ def _members(df: DataFrame, edges: DataFrame, end: str) -> DataFrame:
     numbered per file and block of lines, and each block adds the sizes of earlier blocks.
     """
     keys = _group_columns(end)
-    multi = materialize(edges.filter(f"{end}_n > 1").select(*keys).distinct(), f"{end}-groups")
+    multi = edges.filter(f"{end}_n > 1").select(*keys).distinct()
     df = df.join(multi, keys, "left_semi").withColumn("block", F.expr(f"{end}_line div {BLOCK}"))
     cell = [*keys, f"{end}_file", "block"]
     before = Window.partitionBy(*keys).orderBy(f"{end}_file", "block").rowsBetween(
@@ -97,26 +97,27 @@ def _members(df: DataFrame, edges: DataFrame, end: str) -> DataFrame:
     )
     within = Window.partitionBy(*cell).orderBy(f"{end}_line", f"{end}_id")
     ranked = df.withColumn("rank", F.row_number().over(within).cast("bigint")).join(offsets, cell, "left")
-    return materialize(
-        ranked.select(
-            *keys, _position(end).alias(f"{end}_pos"),
-            (F.col("rank") + F.coalesce("offset", F.lit(0))).alias(f"{end}_rank"),
-        ).withColumn(f"{end}_block", F.expr(f"{end}_rank div {BLOCK}")),
-        f"{end}-members",
-    )
+    return ranked.select(
+        *keys, _position(end).alias(f"{end}_pos"),
+        (F.col("rank") + F.coalesce("offset", F.lit(0))).alias(f"{end}_rank"),
+    ).withColumn(f"{end}_block", F.expr(f"{end}_rank div {BLOCK}"))
 
 
 class _Members:
-    """Numbered members per end, written on first use: most data has no copies to number."""
+    """Numbered members per end: written on first repeated use, as most data has no copies."""
 
     def __init__(self, sides: dict[str, DataFrame], edges: DataFrame) -> None:
         self._sides, self._edges, self._made = sides, edges, {}
 
     def __getitem__(self, end: str) -> DataFrame:
         if end not in self._made:
-            self._made[end] = _members(self._sides[end], self._edges, end)
+            self._made[end] = materialize(self.once(end), f"{end}-members")
         return self._made[end]
 
+    def once(self, end: str) -> DataFrame:
+        """For the last use: not written unless it already is."""
+        return self._made[end] if end in self._made else _members(self._sides[end], self._edges, end)
+
 
 def _best(edges: DataFrame) -> DataFrame:
     """Mark edges that are the best of both groups; name the next rival of equal score."""
@@ -194,15 +195,19 @@ _RUN = [
     "t_from", "p_from", "take", "vendor_sim", "score",
 ]
 
-_RUN_SCHEMA = (
-    "t_cents bigint, t_day int, t_vendor string, p_cents bigint, p_day int, p_vendor string, "
-    "t_key string, p_key string, t_n bigint, p_n bigint, t_from bigint, p_from bigint, "
-    "take bigint, vendor_sim double, score double"
+_PAIR = ["txn_id", "pay_id", "t_day", "p_day", "t_cents", "p_cents", "vendor_sim", "score"]
+_PAIR_SCHEMA = (
+    "txn_id string, pay_id string, t_day int, p_day int, t_cents bigint, p_cents bigint, "
+    "vendor_sim double, score double"
 )
 
 
-def _settle_level(level, position: dict, used: dict) -> list[tuple]:
-    """Scan one level of equal score over the groups' remaining members."""
+def _settle_level(level: list[tuple], position: dict, used: dict) -> list[tuple]:
+    """Scan one level of equal score over the groups' remaining members.
+
+    ``level`` lists edges (row, transaction group, payment group).  The result lists runs
+    (row, first transaction, first payment, length) by place among the group's members.
+    """
     near, back = defaultdict(list), defaultdict(list)
     for i, t, p in level:
         if used["t", t] < len(position["t", t]) and used["p", p] < len(position["p", p]):
@@ -211,7 +216,7 @@ def _settle_level(level, position: dict, used: dict) -> list[tuple]:
     taken = []
 
     def take(i, t, p, n):
-        taken.append((i, used["t", t] + 1, used["p", p] + 1, n))
+        taken.append((i, used["t", t], used["p", p], n))
         used["t", t] += n
         used["p", p] += n
 
@@ -243,20 +248,20 @@ def _settle_level(level, position: dict, used: dict) -> list[tuple]:
 def _settle_part(edges: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
     """The scan over one part's open edges; ``members`` are the unused facts of its groups."""
     members = members.sort_values(["file", "line", "id"], kind="stable")
-    position = defaultdict(list)
+    ids, position = members["id"].to_list(), defaultdict(list)
     for place, (end, key) in enumerate(zip(members["end"], members["key"])):
         position[end, key].append(place)
-    used = defaultdict(int)
-    taken = []
+    t_keys, p_keys = edges["t_key"].to_list(), edges["p_key"].to_list()
+    used, rows, pairs = defaultdict(int), [], []
     edges = edges.reset_index(drop=True)
     for _, level in sorted(edges.groupby(["score", "vendor_sim"]).indices.items(), reverse=True):
-        part = [(i, edges.at[i, "t_key"], edges.at[i, "p_key"]) for i in level]
-        taken += _settle_level(part, position, used)
-    out = edges.loc[[i for i, *_ in taken]].copy()
-    for end, column in (("t", 1), ("p", 2)):
-        out[f"{end}_from"] = out[f"{end}_done"] + [row[column] for row in taken]
-    out["take"] = [row[3] for row in taken]
-    return out[_RUN]
+        for i, t_at, p_at, n in _settle_level([(i, t_keys[i], p_keys[i]) for i in level], position, used):
+            t_run, p_run = position["t", t_keys[i]][t_at : t_at + n], position["p", p_keys[i]][p_at : p_at + n]
+            rows += [i] * n
+            pairs += [(ids[t], ids[p]) for t, p in zip(t_run, p_run)]
+    out = edges.loc[rows].reset_index(drop=True)
+    out[["txn_id", "pay_id"]] = pd.DataFrame(pairs, columns=["txn_id", "pay_id"], dtype=object)
+    return out[_PAIR]
 
 
 def _settle_small(edges: DataFrame, members: _Members, copies: dict[str, bool]) -> DataFrame:
@@ -274,7 +279,7 @@ def _settle_small(edges: DataFrame, members: _Members, copies: dict[str, bool])
         found = [single.select("part", f"{end}_key", "_pos", "rank")]
         if copies[end]:
             several = groups.filter(f"{end}_n > 1").drop("_pos").join(
-                members[end].withColumnsRenamed({f"{end}_pos": "_pos", f"{end}_rank": "rank"}),
+                members.once(end).withColumnsRenamed({f"{end}_pos": "_pos", f"{end}_rank": "rank"}),
                 _group_columns(end),
             ).filter(f"rank > {end}_done and rank <= {end}_done + usable")
             found.append(several.select("part", f"{end}_key", "_pos", "rank"))
@@ -283,11 +288,9 @@ def _settle_small(edges: DataFrame, members: _Members, copies: dict[str, bool])
             for d in found
         ]
     open_members = reduce(DataFrame.unionByName, parts)
-    open_edges = edges.select(
-        "part", *[c for c in _RUN if c not in ("t_from", "p_from", "take")], "t_done", "p_done"
-    )
+    open_edges = edges.select("part", "t_key", "p_key", *_PAIR[2:])
     return open_edges.groupBy("part").cogroup(open_members.groupBy("_part")).applyInPandas(
-        _settle_part, _RUN_SCHEMA
+        _settle_part, _PAIR_SCHEMA
     )
 
 
@@ -319,8 +322,7 @@ def _pairs(runs: DataFrame, members: _Members, copies: dict[str, bool]) -> DataF
                 with_t.filter("p_n > 1").join(members["p"], [*_group_columns("p"), "p_rank"])
                 .withColumn("pay_id", F.col("p_pos.id"))
             )
-    columns = ["txn_id", "pay_id", "t_day", "p_day", "t_cents", "p_cents", "vendor_sim", "score"]
-    return reduce(DataFrame.unionByName, [d.select(*columns) for d in out])
+    return reduce(DataFrame.unionByName, [d.select(*_PAIR) for d in out])
 
 
 def assign(
@@ -335,36 +337,35 @@ def assign(
     sides = {"t": side(transactions, "txn_id", "t"), "p": side(payments, "pay_id", "p")}
     edges = materialize(group_edges(sides["t"], sides["p"], cfg), "edges")
     members = _Members(sides, edges)
-    has = edges.agg(*[F.coalesce(F.bool_or(F.col(f"{e}_n") > 1), F.lit(False)).alias(e) for e in _ENDS]).first()
-    copies = {e: bool(has[e]) for e in _ENDS}
-    columns, runs = edges.columns, []
-    while True:
+    room = F.least(F.col("t_n") - F.col("t_done"), F.col("p_n") - F.col("p_done"))
+    size = (F.count("*") + F.coalesce(F.sum(room), F.lit(0))).alias("size")
+    more = [F.coalesce(F.bool_or(F.col(f"{e}_n") > 1), F.lit(False)).alias(e) for e in _ENDS]
+    found = edges.agg(size, *more).first()
+    copies, total = {e: bool(found[e]) for e in _ENDS}, found["size"]
+    columns, runs, settled = edges.columns, [], []
+    one_amount = cfg.amount_tolerance_cents == 0
+    part = F.col("t_cents") if one_amount else F.lit(0).cast("bigint")
+    while total > group_limit:
         chosen = _take(_best(edges))
         if runs and any(copies.values()):
             chosen = _lengthen(materialize(chosen, "best"), members)
         state = materialize(_use_up(chosen), "round")
         runs.append(state.filter("take > 0").select(*_RUN))
-        room = F.least(F.col("t_n") - F.col("t_done"), F.col("p_n") - F.col("p_done"))
-        edges = state.select(*columns).withColumn("room", room).filter("room > 0")
-        size = (F.count("*") + F.coalesce(F.sum("room"), F.lit(0))).alias("size")
-        total = edges.agg(size).first()["size"]
-        if not total:
-            break
-        one_amount = cfg.amount_tolerance_cents == 0
-        edges = edges.withColumn("part", F.col("t_cents") if one_amount else F.lit(0).cast("bigint"))
-        if total <= group_limit:
-            runs.append(_settle_small(edges, members, copies))
-            break
+        edges = state.select(*columns).filter(room > 0)
         if one_amount:
             sizes = edges.groupBy("t_cents").agg(size)
             large = materialize(sizes.filter(F.col("size") > group_limit).select("t_cents"), "large")
-            runs.append(_settle_small(edges.join(large, "t_cents", "left_anti"), members, copies))
+            small = edges.join(large, "t_cents", "left_anti").withColumns({"part": part, "room": room})
+            settled.append(_settle_small(small, members, copies))
             edges = edges.join(large, "t_cents", "left_semi")
-            if edges.isEmpty():
-                break
-        edges = edges.drop("room", "part")
         edges = materialize(_move_heads(edges, members) if any(copies.values()) else edges, "open")
-    pairs = _pairs(reduce(DataFrame.unionByName, runs), members, copies)
+        total = edges.agg(size).first()["size"]
+    if total:
+        settled.append(_settle_small(edges.withColumns({"part": part, "room": room}), members, copies))
+    found_pairs = [_pairs(reduce(DataFrame.unionByName, runs), members, copies)] if runs else []
+    pairs = reduce(DataFrame.unionByName, found_pairs + settled) if found_pairs + settled else (
+        edges.sparkSession.createDataFrame([], _PAIR_SCHEMA)
+    )
     days, cents = F.col("p_day") - F.col("t_day"), F.col("p_cents") - F.col("t_cents")
     return pairs.select(
         F.lit(batch_id).alias("batch_id"), "txn_id", "pay_id",

@@ -54,9 +54,9 @@ def found(tx, pay, cfg, **kw):
     "seed,n,amounts,days,cfg,limit",
     [
         (1, 120, [100, 200, 300], 12, Matching(), 200_000),
-        (2, 120, [100], 6, Matching(), 200_000),
-        (3, 90, [100], 5, Matching(), 0),
-        (4, 80, [100, 103, 106, 110], 6, Matching(amount_tolerance_cents=4), 0),
+        (2, 90, [100, 200], 6, Matching(), 60),
+        (3, 50, [100], 4, Matching(), 0),
+        (4, 80, [100, 103, 106, 110], 6, Matching(amount_tolerance_cents=4), 20),
         (5, 60, [100, 200], 8, Matching(date_window_days=0, min_score=0.65), 200_000),
         (6, 60, [100, 200], 8, Matching(min_score=0.2), 200_000),
         (7, 60, [-5, 0, 5], 9, Matching(date_window_days=2, amount_tolerance_cents=5, min_score=0.5), 0),
@@ -93,3 +93,8 @@ def test_match_types(spark):
     df = spark.createDataFrame(rows, "s double, d int, a bigint")
     got = [r.m for r in df.select(match_type(F.col("s"), F.col("d"), F.col("a")).alias("m")).collect()]
     assert got == ["exact", "date_window", "vendor_fuzzy", "weak", "weak"]
+
+
+def test_nothing_matches(spark):
+    tx, pay = feeds(spark, 1, 3, [100], 2, ["Acme"])
+    assert assign(tx, pay.withColumn("amount_cents", F.lit(7).cast("bigint")), Matching(), "b", "now").count() == 0
