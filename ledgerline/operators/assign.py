@@ -11,8 +11,8 @@ edge without a rival of equal score uses up the smaller group in one step.  Roun
 no edge is left; nothing is capped.
 
 Once all open edges fit one task, the scan is finished without further rounds.  With tolerance
-0 edges never leave their amount, so each amount whose open edges fit one task is finished on
-its own, and only larger amounts stay in the rounds.
+0 edges never leave their amount, so amounts whose open edges fit one task are finished after
+each round, several to a task, and only larger amounts stay in the rounds.
 """
 
 from __future__ import annotations
@@ -344,7 +344,11 @@ def assign(
     copies, total = {e: bool(found[e]) for e in _ENDS}, found["size"]
     columns, runs, settled = edges.columns, [], []
     one_amount = cfg.amount_tolerance_cents == 0
-    part = F.col("t_cents") if one_amount else F.lit(0).cast("bigint")
+
+    def parts(n: int):
+        """Amounts spread over ``n`` parts; with a tolerance amounts are linked: one part."""
+        return F.pmod(F.xxhash64("t_cents"), F.lit(n)) if one_amount else F.lit(0).cast("bigint")
+
     while total > group_limit:
         chosen = _take(_best(edges))
         if runs and any(copies.values()):
@@ -353,15 +357,17 @@ def assign(
         runs.append(state.filter("take > 0").select(*_RUN))
         edges = state.select(*columns).filter(room > 0)
         if one_amount:
+            n = 1 + 4 * edges.agg(size).first()["size"] // max(group_limit, 1)  # a part: a quarter of the limit
             sizes = edges.groupBy("t_cents").agg(size)
             large = materialize(sizes.filter(F.col("size") > group_limit).select("t_cents"), "large")
-            small = edges.join(large, "t_cents", "left_anti").withColumns({"part": part, "room": room})
+            small = edges.join(large, "t_cents", "left_anti").withColumns({"part": parts(n), "room": room})
             settled.append(_settle_small(small, members, copies))
             edges = edges.join(large, "t_cents", "left_semi")
         edges = materialize(_move_heads(edges, members) if any(copies.values()) else edges, "open")
         total = edges.agg(size).first()["size"]
     if total:
-        settled.append(_settle_small(edges.withColumns({"part": part, "room": room}), members, copies))
+        n = edges.sparkSession.sparkContext.defaultParallelism
+        settled.append(_settle_small(edges.withColumns({"part": parts(n), "room": room}), members, copies))
     found_pairs = [_pairs(reduce(DataFrame.unionByName, runs), members, copies)] if runs else []
     pairs = reduce(DataFrame.unionByName, found_pairs + settled) if found_pairs + settled else (
         edges.sparkSession.createDataFrame([], _PAIR_SCHEMA)
