@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat_format, quality_rules
+from ledgerline.llm import chat_format, fingerprints, quality_rules, simhash
 from ledgerline.llm.common import table
 
 
@@ -36,6 +36,15 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_and_fingerprint(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, name = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     q = F.col(name)
@@ -48,5 +57,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_fingerprints": op2_fingerprints,
+    "op6_simhash": op6_simhash,
     "op8_quality_rules": op8_quality_rules,
 }
