@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat_format, fingerprints, quality_rules, simhash
+from ledgerline.llm import byte_bpe, chat_format, fingerprints, private_data, quality_rules, secrets_scan, simhash
 from ledgerline.llm.common import table
 
 
@@ -40,6 +40,27 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_and_fingerprint(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, spans = private_data.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", spans).select(
+        "doc_id", *[private_data.count_of(spans, k).alias(f"n_{k}") for k in private_data.KINDS],
+        F.sha2(private_data.spelled_out(spans, base_only=True), 256).alias("base_sha256"),
+        private_data.spelled_out(spans).alias("spans"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -55,9 +76,24 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of a document is its owner; a source's documents in one language are a repository."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    found = secrets_scan.scan(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+    return found.select(
+        "doc_id", *[private_data.count_of("spans", k).alias(f"n_{k}") for k in secrets_scan.BASE],
+        F.sha2(private_data.spelled_out("spans", base_only=True), 256).alias("base_sha256"),
+        private_data.spelled_out("spans").alias("spans"),
+        F.array_join(F.col("spans.verdict"), ",").alias("verdicts"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_fingerprints": op2_fingerprints,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op5_private_data": op5_private_data,
     "op6_simhash": op6_simhash,
     "op8_quality_rules": op8_quality_rules,
+    "op9_secrets": op9_secrets,
 }
