@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, chat_format, fingerprints, private_data, quality_rules, secrets_scan, simhash
+from ledgerline.llm import byte_bpe, chat_format, fingerprints, pfair_mix, private_data, quality_rules, secrets_scan, simhash, url_filters
 from ledgerline.llm.common import table
 
 
@@ -66,6 +66,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, (block, position) = pfair_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixed.select("doc_id", "source", F.col(block).alias("block"), F.col(position).alias("position"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, name = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     q = F.col(name)
@@ -88,12 +93,40 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The declared rules.
+URL_RULES = (
+    url_filters.UrlRule("allow", "com", "/"),
+    url_filters.UrlRule("block", "example.com", "/en/"),
+    url_filters.UrlRule("allow", "www.example.com", "/en/"),
+    url_filters.UrlRule("block", "net", "/es/"),
+    url_filters.UrlRule("block", "net", "/fr/"),
+)
+
+
+def page_document(url_col: str = "url"):
+    """The document that a page shows: the number that is a segment of its path."""
+    return F.try_to_number(F.regexp_extract(url_filters.path_of(F.col(url_col)), r"/([0-9]{1,18})(?:[./]|$)", 1), F.lit("9" * 18)).cast("long")
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is bad when its document is labelled low in quality or toxic."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", page_document().alias("doc_id"))
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    # Pages without a document spread over keys that no document has.
+    keyed = pages.withColumn("doc_id", F.coalesce("doc_id", -1 - F.abs(F.hash("url", "page_id").cast("long"))))
+    judged = url_filters.judge(keyed.join(labels, "doc_id", "left"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", F.round("bad_share", 6).alias("bad_share"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_fingerprints": op2_fingerprints,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_private_data": op5_private_data,
     "op6_simhash": op6_simhash,
+    "op7_pfair_mix": op7_pfair_mix,
     "op8_quality_rules": op8_quality_rules,
     "op9_secrets": op9_secrets,
+    "op10_url_filters": op10_url_filters,
 }
