@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, chat_format, fingerprints, pfair_mix, private_data, quality_rules, secrets_scan, simhash, url_filters
+from ledgerline.llm import byte_bpe, chat_format, fingerprints, language_id, pfair_mix, private_data, quality_rules, secrets_scan, simhash, url_filters
 from ledgerline.llm.common import table
 
 
@@ -108,6 +108,17 @@ def page_document(url_col: str = "url"):
     return F.try_to_number(F.regexp_extract(url_filters.path_of(F.col(url_col)), r"/([0-9]{1,18})(?:[./]|$)", 1), F.lit("9" * 18)).cast("long")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document; the page that shows it (the one with the least id) gives markup and address."""
+    pages = table(spark, sf_dir, "pages").select(
+        page_document().alias("doc_id"), "page_id", url_filters.host_of(F.col("url")).alias("host"),
+        language_id.declared_language(F.col("html")).alias("declared"))
+    shown = pages.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("page_id", "host", "declared")).alias("p"))
+    evidence = shown.select("doc_id", "p.host", "p.declared")
+    found = language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), evidence)
+    return found.withColumn("confidence", F.round("confidence", 6))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page is bad when its document is labelled low in quality or toxic."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", page_document().alias("doc_id"))
@@ -123,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_fingerprints": op2_fingerprints,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_language_id": op4_language_id,
     "op5_private_data": op5_private_data,
     "op6_simhash": op6_simhash,
     "op7_pfair_mix": op7_pfair_mix,
