@@ -29,7 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,3 +148,153 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     named = labelled.join(least, "root").select("print", "component_id")
     return rows.join(named, "print").select(F.col("_id").alias(id_col), F.col("print").alias("fingerprint"), "component_id")
+
+
+# Groups of similar texts: five-word shingles, similarity 0.8.
+
+#: Bytes of a long fingerprint, how many positional bytes make a posting, and how many postings there are.
+LONG_BYTES, POSTED_BYTES, POSTINGS = 128, 3, 128
+#: A text is compared with so many before it in each list.
+NEIGHBOURS = 32
+#: Fewest positional bytes that a pair must share before its bits are compared.
+LEAST_SHARED = 12
+#: What the similarity that long fingerprints show is off by at most, nearly always.
+MARGIN = 0.06
+
+_MIX = np.random.Generator(np.random.PCG64(SEED)).integers(1, 1 << 63, LONG_BYTES // 8, np.uint64) | np.uint64(1)
+_PLACES = np.array([[i, (i + 37) % LONG_BYTES, (i + 90) % LONG_BYTES] for i in range(POSTINGS)])
+
+
+def long_fingerprint(hashes: np.ndarray) -> bytes:
+    """LONG_BYTES * 8 bits, each set in over half of the shingles, from more hashes of each shingle."""
+    counts = np.zeros(8 * LONG_BYTES, np.int64)
+    for start in range(0, len(hashes), 2048):  # bounded memory for very long texts
+        h = hashes[start:start + 2048, None] * _MIX
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+        counts += np.unpackbits(h.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * counts > len(hashes)).tobytes()
+
+
+def most_bits(similarity: float) -> int:
+    """Differing bits of two long fingerprints whose shingle sets have this Jaccard similarity."""
+    cosine = 2 * similarity / (1 + similarity)
+    return round(8 * LONG_BYTES * np.arccos(cosine) / np.pi)
+
+
+def _posted(prints: DataFrame) -> DataFrame:
+    """Rows posting, node: the sets of positional bytes of each long fingerprint (columns node, print)."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
+                data = np.frombuffer(b"".join(part.column("print").to_pylist()), np.uint8).reshape(-1, LONG_BYTES)
+                keys = np.arange(POSTINGS, dtype=np.int64)[None, :]
+                for k in range(POSTED_BYTES):
+                    keys = keys << 8 | data[:, _PLACES[:, k]]
+                nodes = np.repeat(part.column("node").to_numpy(zero_copy_only=False), POSTINGS)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], names=["posting", "node"])
+
+    return prints.select("node", "print").mapInArrow(run, "posting long, node long")
+
+
+def _compared(pairs: DataFrame, bits: int) -> DataFrame:
+    """Rows u, v, bits: pairs whose prints (columns a, b) share enough positional bytes and differ in at most so many bits."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, LONG_BYTES) for c in "ab")
+            differing = a ^ b
+            n = np.bitwise_count(differing).sum(axis=1, dtype=np.int64)
+            near = ((differing == 0).sum(axis=1) >= LEAST_SHARED) & (n <= bits)
+            columns = [*batch.select(["u", "v"]).columns, pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "bits"]).filter(pa.array(near))
+
+    return pairs.mapInArrow(run, "u long, v long, bits long")
+
+
+def jaccard(a: str | None, b: str | None, words: int) -> float:
+    """Jaccard similarity of the shingle sets of two texts."""
+    x, y = (set(shingle_hashes(t, words).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def _similar(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Pairs u, v whose texts (columns a, b) have this similarity."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [jaccard(a.as_py(), b.as_py(), words) >= similarity for a, b in zip(batch.column("a"), batch.column("b"))]
+            yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    return pairs.mapInArrow(run, "u long, v long")
+
+
+def similar_pairs(prints: DataFrame, similarity: float) -> DataFrame:
+    """Rows u, v, bits: nodes whose long fingerprints (columns node, print) show this similarity.
+
+    Texts meet where they share a set of positional bytes, and each is compared with the
+    ``NEIGHBOURS`` before it in such a list.  Shorter lists are compared whole; in a longer one
+    each text still meets others of its group in each of its lists, and rows stay in proportion.
+    """
+    ordered = Window.partitionBy("posting").orderBy("node")
+    before = [F.lag("node", k).over(ordered).alias(f"b{k}") for k in range(1, NEIGHBOURS + 1)]
+    met = _posted(prints).select("node", *before).where("b1 IS NOT NULL")
+    pairs = met.select("node", F.explode(F.array_compact(F.array(*[f"b{k}" for k in range(1, NEIGHBOURS + 1)]))).alias("u"))
+    tallied = pairs.groupBy("u", F.col("node").alias("v")).agg(F.count(F.lit(1)).alias("shared"))
+    a = prints.select(F.col("node").alias("u"), F.col("print").alias("a"))
+    b = prints.select(F.col("node").alias("v"), F.col("print").alias("b"))
+    return _compared(tallied.join(a, "u").join(b, "v").select("u", "v", "a", "b"), most_bits(similarity))
+
+
+def similar_groups(prints: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Rows node, root of nodes that have similar ones; texts has node and text.
+
+    Pairs whose fingerprints show a similarity well above the wanted one are linked; of those
+    around it, the pairs that would join different groups are compared by their texts.
+    """
+    pairs = materialize(similar_pairs(prints, similarity - MARGIN), "similar-pairs")
+    sure = F.col("bits") <= most_bits(similarity + MARGIN)
+    links = pairs.where(sure).select("u", "v")
+    near = components(links)
+    root = lambda c: near.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    unsure = pairs.where(~sure).join(root("u"), "u", "left").join(root("v"), "v", "left").where(
+        F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
+    asked = materialize(unsure, "unsure-pairs")
+    nodes = asked.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    said = materialize(texts.join(nodes, "node", "left_semi").select("node", "text"), "asked-texts")
+    a = said.select(F.col("node").alias("u"), F.col("text").alias("a"))
+    b = said.select(F.col("node").alias("v"), F.col("text").alias("b"))
+    return components(links.unionByName(_similar(asked.join(a, "u").join(b, "v").select("u", "v", "a", "b"), words, similarity)))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of docs without near copies: of each group of similar texts, the row with the least id.
+
+    Texts of fewer words than a shingle are one shingle; texts without words are one group.
+    Null ids come last.
+    """
+    import pyarrow as pa
+
+    name, row = fresh(docs, "long_fingerprint", "row")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            values = [long_fingerprint(shingle_hashes(x.as_py(), words)) for x in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.binary())], names=[*batch.schema.names, name])
+
+    # Written, so that row numbers stay.
+    rows = materialize(docs.mapInArrow(run, schema).withColumn(row, F.monotonically_increasing_id()), "long-fingerprints")
+    order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    classes = materialize(rows.groupBy(F.col(name).alias("print")).agg(F.min(row).alias("node"), F.min(order).alias("first")), "classes")
+    texts = rows.select(F.col(row).alias("node"), F.col(text_col).alias("text"))
+    roots = similar_groups(classes, texts, words, similarity)
+    kept = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("first").alias("first"))
+    return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").drop(name, row)
