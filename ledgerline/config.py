@@ -49,6 +49,7 @@ class Project:
     top_n_vendors: int = 20
     drop_root: str = "out/drop"
     publish_mode: str = "history"
+    export_root: str = "out/csv"
 
     def path(self, relative: str) -> str:
         if "://" in relative or relative.startswith("/"):

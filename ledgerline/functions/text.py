@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
@@ -45,15 +46,15 @@ def sanitize_name(name: str) -> str:
 
 def sanitize_names(names: Iterable[str]) -> list[str]:
     """Safe names, later duplicates numbered _2, _3, ..."""
-    out: list[str] = []
-    for name in names:
-        base = sanitize_name(name)
-        unique, n = base, 1
-        while unique in out:
-            n += 1
-            unique = f"{base}_{n}"
-        out.append(unique)
-    return out
+    taken: dict[str, None] = {}
+    copies: Counter[str] = Counter()
+    for base in map(sanitize_name, names):
+        unique = base
+        while unique in taken:
+            copies[base] += 1
+            unique = f"{base}_{copies[base] + 1}"
+        taken[unique] = None
+    return list(taken)
 
 
 def sanitize_column(c: Column) -> Column:

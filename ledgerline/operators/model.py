@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.keys import record_id, vendor_id
 from ..functions.text import is_blank
-from ..schemas import FACT_TAIL, ID_COLUMN, ID_TAG
+from ..schemas import FACT_TAIL, FACT_TYPES, ID_COLUMN, ID_TAG
 from .dedupe import keep_one
 
 
@@ -41,6 +41,12 @@ def build_dim(norms: list[DataFrame], existing: DataFrame | None, created_at: st
     return new.withColumn("created_at_utc", F.lit(created_at))
 
 
+def empty_fact(spark: SparkSession, record_type: str) -> DataFrame:
+    """The fact table of a side that a batch has no feed for."""
+    columns = ", ".join(f"`{c}` {FACT_TYPES.get(c, 'string')}" for c in FACT_TAIL)
+    return spark.createDataFrame([], f"{ID_COLUMN[record_type]} string, {columns}")
+
+
 def build_fact(df: DataFrame, record_type: str, dedupe: bool = True) -> DataFrame:
     """Fact rows.  The vendor id is computed, not looked up: the dimension holds the same hash.
 

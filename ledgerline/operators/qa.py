@@ -52,6 +52,7 @@ def flag_rows(df: DataFrame, record_type: str, rules: Sequence[Rule], created_at
     ).select(*FLAGS)
 
 
+# Codes, severities and messages of all rules in this module.
 def missing_rules() -> list[Rule]:
     return [
         (is_blank(F.col("vendor_canonical")), "MISSING_VENDOR", "error",
@@ -103,22 +104,28 @@ def percentile_99(df: DataFrame) -> DataFrame:
     upper = F.when(F.col("r") + 1 < F.col("upto") + F.col("c"), F.col("v")).otherwise(
         F.coalesce("next_v", "p.next_low", "v")
     )
+    low, high = _wide(F.col("v")), _wide(upper)
     return values.select(
-        F.col("p.n").alias("n"), (F.col("v") * 100 + (upper - F.col("v")) * F.col("p.rest")).alias("thr100")
+        F.col("p.n").alias("n"), _wide(low * 100 + (high - low) * _wide(F.col("p.rest"))).alias("thr100")
     )
 
 
+def _wide(c: Column) -> Column:
+    """Whole numbers that a hundred times the largest amount fits."""
+    return c.cast("decimal(38,0)")
+
+
 def outlier_rules(df: DataFrame) -> list[Rule]:
     """Strictly above the 99th percentile, or above a fixed amount in a small batch."""
     thr100 = percentile_99(df).select(
-        F.when(F.col("n") < SMALL_BATCH_ROWS, SMALL_BATCH_CENTS * 100).otherwise(F.col("thr100")).alias("t")
+        F.when(F.col("n") < SMALL_BATCH_ROWS, _wide(F.lit(SMALL_BATCH_CENTS * 100))).otherwise(F.col("thr100")).alias("t")
     ).scalar()
     message = F.format_string(
         "Amount is unusually high (threshold: %d cents).",
-        ((thr100 - F.call_function("mod", thr100, F.lit(100))) / 100).cast("bigint"),
+        F.call_function("div", thr100, _wide(F.lit(100))),
     )
     return [
-        (F.col("amount_cents").try_cast("bigint") * 100 > thr100, "AMOUNT_OUTLIER", "warning", message)
+        (_wide(F.col("amount_cents").try_cast("bigint")) * 100 > thr100, "AMOUNT_OUTLIER", "warning", message)
     ]
 
 

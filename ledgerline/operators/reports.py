@@ -13,11 +13,16 @@ def with_matched(transactions: DataFrame, matches: DataFrame) -> DataFrame:
     ).drop("_hit")
 
 
+def _usd(cents: str) -> Column:
+    """Sum of cents in dollars; the sum is wider than a long."""
+    return F.sum(F.col(cents).cast("decimal(28,0)")).cast("double") / F.lit(100.0)
+
+
 def _measures() -> list[Column]:
     return [
         F.count("txn_id").alias("txn_count"),
         F.count_if("is_matched").alias("matched_count"),
-        (F.sum("amount_cents") / 100.0).cast("double").alias("spend_usd"),
+        _usd("amount_cents").alias("spend_usd"),
     ]
 
 
@@ -49,7 +54,7 @@ def top_vendors(transactions: DataFrame, n: int) -> DataFrame:
         transactions.filter("vendor_canonical is not null")
         .groupBy("batch_id", "vendor_canonical")
         .agg(
-            (F.sum("amount_cents") / 100.0).cast("double").alias("spend_usd"),
+            _usd("amount_cents").alias("spend_usd"),
             F.count("txn_id").alias("txn_count"),
         )
         .orderBy(F.desc("spend_usd"), "vendor_canonical")
@@ -57,6 +62,16 @@ def top_vendors(transactions: DataFrame, n: int) -> DataFrame:
     )
 
 
+def matches_by_score(matches: DataFrame) -> DataFrame:
+    """Matches, best score first (ties by transaction)."""
+    return matches.orderBy(F.desc("match_score"), "txn_id", "pay_id")
+
+
+def flags_by_severity(flags: DataFrame) -> DataFrame:
+    """Flags by severity and code (ties by record)."""
+    return flags.orderBy("severity", "flag_code", "record_type", "record_id")
+
+
 def dashboard_kpis(match_rate: DataFrame, exceptions: DataFrame) -> DataFrame:
     """One row: the latest month's counts and match rate, and all exceptions of the batch."""
     latest = match_rate.agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import Matching
 
@@ -64,6 +64,19 @@ def match_ledger(
     )
 
 
+def qa_ledger(spark: SparkSession, batch_id: str, now: str, rules_path: str) -> DataFrame:
+    return spark.createDataFrame([(batch_id, now, rules_path)], "batch_id string, qa_at_utc string, policy_rules_path string")
+
+
+def exception_ledger(exceptions: DataFrame, batch_id: str, now: str) -> DataFrame:
+    return exceptions.agg(F.count("*").alias("exception_count")).select(
+        F.lit(now).alias("created_at_utc"), F.lit(batch_id).alias("batch_id"), "exception_count")
+
+
+def report_ledger(spark: SparkSession, batch_id: str, now: str) -> DataFrame:
+    return spark.createDataFrame([(now, batch_id)], "created_at_utc string, batch_id string")
+
+
 def stage_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per stage table and batch."""
     return reduce(DataFrame.unionByName, [

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..config import Matching
 from ..functions.text import NOISE_WORDS
 from .feeds import BATCH, NOW, duckdb_feed
-from .queries import CFG, NO_WINDOW, TOLERANT, WIDE
+from .queries import CFG, HUGE_CENTS, NO_WINDOW, TOLERANT, WIDE
 
 _NOISE = ", ".join(f"'{w}'" for w in NOISE_WORDS)
 GREEDY_ROUNDS = 10
@@ -223,13 +223,13 @@ def _weekend() -> list[str]:
                    "'Transaction date is on a weekend.'")]
 
 
-def _outliers() -> list[str]:
+def _outliers(sides=_SIDES) -> list[str]:
     return [
         _flags(f"(SELECT f.*, q.thr FROM {s} f, (SELECT CASE WHEN count(*) < 20 THEN 200000 ELSE "
                f"round(quantile_cont(amount_cents, 0.99), 2) END AS thr FROM {s}) q)", r, i, "amount_cents > thr",
                "AMOUNT_OUTLIER", "warning",
                "'Amount is unusually high (threshold: ' || CAST(trunc(thr) AS bigint) || ' cents).'")
-        for s, r, i in _SIDES
+        for s, r, i in sides
     ]
 
 
@@ -297,6 +297,9 @@ _RATE = (f"SELECT batch_id, month, {_MEASURES}, round_even(count(*) FILTER (hit)
 _TOP = ("SELECT batch_id, vendor_canonical, CAST(sum(amount_cents) AS double) / 100.0::double AS spend_usd, "
         "count(*) AS txn_count FROM mtx WHERE vendor_canonical IS NOT NULL GROUP BY ALL ORDER BY spend_usd DESC, vendor_canonical LIMIT 20")
 
+_HUGE = (f"SELECT * REPLACE (CASE WHEN source_row_number % 500 = 0 THEN {HUGE_CENTS} - source_row_number "
+         "ELSE amount_cents END AS amount_cents) FROM mtx")
+
 _COPIES = """SELECT 'b' || substr(o_orderpriority, 1, 1) AS batch_id, sha256(o_custkey || '|' || o_orderstatus) AS row_hash,
     o_orderstatus || '.csv' AS source_file, o_orderkey AS source_row_number, o_totalprice AS amount FROM orders"""
 
@@ -398,6 +401,10 @@ def oracle_sql() -> dict[str, str]:
                 SELECT vendor_canonical AS name, false AS pay FROM ntx UNION ALL SELECT vendor_canonical, true FROM npay)
               WHERE name IS NOT NULL GROUP BY name) WHERE known OR tx
             UNION ALL SELECT DISTINCT vendor_canonical, '{NOW}' FROM npay WHERE vendor_canonical LIKE '% Group')"""),
+        "dim_vendor_rerun": _with(facts, f"""SELECT CASE WHEN tx THEN 'p1:a/b%' ELSE 'p2' END AS batch_id, {_VENDOR_ID} AS vendor_id,
+            vendor_canonical, CASE WHEN tx THEN 'first' ELSE 'second' END AS created_at_utc FROM (
+            SELECT vendor_canonical, bool_or(tx) AS tx FROM (SELECT vendor_canonical, true AS tx FROM ntx
+              UNION ALL SELECT vendor_canonical, false FROM npay) WHERE vendor_canonical IS NOT NULL GROUP BY 1)"""),
         "fact_transactions": _with(norm, _fact("mnorm", "txn")),
         "fact_vendor_payments": _with({**pay_clean, "mnorm": _normed("mclean")}, _fact("mnorm", "pay")),
         "qa_missing_fields": _with(
@@ -409,6 +416,10 @@ def oracle_sql() -> dict[str, str]:
         "qa_outliers": _with(facts, _all(_outliers())),
         "qa_policy_rules": _with(facts, _all(_policy())),
         "qa_flags": _with(facts, _all_flags()),
+        "qa_flags_one_feed": _with(
+            {**facts, "mflags": _all_flags()}, "SELECT * FROM mflags WHERE record_type = 'transactions'"),
+        "qa_outliers_huge": _with({**facts, "mhuge": _HUGE}, _outliers([("mhuge", "transactions", "txn_id")])[0]),
+        "flags_by_severity": _with(facts, _all_flags()),
         "vendor_similarity": _with(
             {"mname": "SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda t: upper(t[1]) || t[2:]), ' ') AS name FROM part",
              "mpair": """SELECT DISTINCT a.name AS va, b.name AS vb FROM orders o
@@ -423,6 +434,10 @@ def oracle_sql() -> dict[str, str]:
         "match_greedy": _with(matches, "SELECT * FROM matched"),
         "match_greedy_tolerance": _with(_matches(TOLERANT), "SELECT * FROM matched"),
         "match_greedy_nodate": _with(_matches(NO_WINDOW, "fine"), "SELECT * FROM matched"),
+        "match_greedy_rounds": _with(matches, "SELECT * FROM matched"),
+        "match_greedy_tolerance_rounds": _with(_matches(TOLERANT), "SELECT * FROM matched"),
+        "match_greedy_nodate_rounds": _with(_matches(NO_WINDOW, "fine"), "SELECT * FROM matched"),
+        "matches_by_score": _with(matches, "SELECT * FROM matched"),
         "unmatched_transactions": _with(matches, "SELECT * FROM mtx WHERE txn_id NOT IN (SELECT txn_id FROM matched)"),
         "unmatched_vendor_payments": _with(matches, "SELECT * FROM mpay WHERE pay_id NOT IN (SELECT pay_id FROM matched)"),
         "exc_low_confidence": _with(matches, _LOW),
@@ -435,6 +450,14 @@ def oracle_sql() -> dict[str, str]:
         "rpt_exceptions_by_code": _with(
             _with_exceptions(), "SELECT batch_id, exception_code, severity, count(*) AS exception_count FROM mexc GROUP BY ALL"),
         "rpt_top_vendors": _with(facts, _TOP),
+        "rpt_top_vendors_huge": _with({**facts, "mhuge": _HUGE}, _TOP.replace("FROM mtx", "FROM mhuge")),
+        "audit_ledgers": _with(_with_exceptions(), f"""SELECT 'qa_runs' AS ledger, '{BATCH}' AS batch_id, '{NOW}' AS at_utc,
+            'policy_rules.csv' AS policy_rules_path, NULL::bigint AS exception_count
+          UNION ALL SELECT 'exception_runs', '{BATCH}', '{NOW}', NULL, (SELECT count(*) FROM mexc)
+          UNION ALL SELECT 'report_runs', '{BATCH}', '{NOW}', NULL, NULL"""),
+        "publish_latest": _with(matches, f"SELECT month, vendor_canonical, count(*) AS txn_count FROM {_FLAGGED} GROUP BY ALL"),
+        "stage_export": _with(facts, f"""SELECT {_TX_HASH} AS row_hash, merchant, amount, memo FROM ({_TEXT})
+            UNION ALL SELECT row_hash, vendor_raw, CAST(amount_cents AS varchar), month FROM mtx"""),
         "dashboard_kpis": _with(
             {**_with_exceptions(), "mrate": _RATE},
             """SELECT month AS latest_month, txn_count AS transactions, matched_count AS matched, match_rate,

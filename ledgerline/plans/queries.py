@@ -18,21 +18,27 @@ from ..operators.cleaning import clean
 from ..operators.dedupe import keep_one
 from ..operators.exceptions import exceptions, from_low_confidence, preview
 from ..operators.mapping import map_source
-from ..operators.model import build_dim, build_fact, date_fields
+from ..operators.model import build_dim, build_fact, date_fields, empty_fact
 from ..operators.normalize import canonicalize, normalize
 from ..operators.reports import (
-    dashboard_kpis, exceptions_by_code, match_rate_by_month, spend_by_month_vendor, top_vendors,
-    with_matched,
+    dashboard_kpis, exceptions_by_code, flags_by_severity, match_rate_by_month, matches_by_score,
+    spend_by_month_vendor, top_vendors, with_matched,
 )
 from ..session import materialize, scratch
 from ..sources.files import ingest
-from ..sources.publish import combine_folder, publish
+from ..sources.publish import combine_folder, export_stages, publish
 from ..sources.store import Store, latest_batch
 from .feeds import ALIASES, BATCH, NOW, PAYMENT_HEADER, POLICY, TEXT_HEADER, read, spark_feed
-from .ledgers import clean_ledger, map_ledger, match_ledger, model_ledger, normalize_ledger, stage_counts
+from .ledgers import (
+    clean_ledger, exception_ledger, map_ledger, match_ledger, model_ledger, normalize_ledger, qa_ledger,
+    report_ledger, stage_counts,
+)
+from .runs import add_vendors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+HUGE_CENTS = 2**62
+
 CFG = Matching()
 TOLERANT = Matching(amount_tolerance_cents=25)
 NO_WINDOW = Matching(date_window_days=0, min_score=0.65)
@@ -359,6 +365,15 @@ def dim_vendor(spark, sf):
     return known.unionByName(new)
 
 
+def dim_vendor_rerun(spark, sf):
+    """Batch p1 brings the transactions' vendors, p2 the payments', and p1 runs again without its own."""
+    tx, pay = (canonicalize(spark_feed(spark, sf, f"typed_{f}"), ALIASES) for f in ("transactions", "payments"))
+    store = Store(spark, scratch(spark, "store"))
+    for batch, norms, now in (("p1:a/b%", [tx], "first"), ("p2", [tx, pay], "second"), ("p1:a/b%", [pay], "third")):
+        add_vendors(store, norms, batch, now)
+    return store.table("dim_vendor").select("batch_id", "vendor_id", "vendor_canonical", "created_at_utc")
+
+
 def fact_transactions(spark, sf):
     return build_fact(_normed(spark, sf, "transactions"), "transactions", dedupe=False)
 
@@ -403,14 +418,35 @@ def qa_flags(spark, sf):
     return qa.qa_flags(*_written_facts(spark, sf), POLICY, NOW)
 
 
+def _huge(facts: DataFrame) -> DataFrame:
+    """Facts of which a few hold a number as large as a reference number in the place of the amount."""
+    return facts.withColumn("amount_cents", F.when(
+        F.col("source_row_number") % 500 == 0, F.lit(HUGE_CENTS) - F.col("source_row_number")).otherwise(F.col("amount_cents")))
+
+
+def qa_outliers_huge(spark, sf):
+    tx = materialize(_huge(_facts(spark, sf)[0]), "huge")
+    return qa.flag_rows(tx, "transactions", qa.outlier_rules(tx), NOW)
+
+
+def qa_flags_one_feed(spark, sf):
+    """A batch whose second feed is late."""
+    tx, _ = _written_facts(spark, sf)
+    return qa.qa_flags(tx, empty_fact(spark, "vendor_payments"), POLICY, NOW)
+
+
+def flags_listed(spark, sf):
+    return flags_by_severity(qa_flags(spark, sf))
+
+
 # ---- matching ---------------------------------------------------------------------------
 
 def _pairs_query(cfg: Matching, kind: str = "typed") -> Query:
     return lambda spark, sf: candidates(*_written_facts(spark, sf, kind), cfg, BATCH)
 
 
-def _match_query(cfg: Matching, kind: str = "typed") -> Query:
-    return lambda spark, sf: assign(*_written_facts(spark, sf, kind), cfg, BATCH, NOW)
+def _match_query(cfg: Matching, kind: str = "typed", **limit: int) -> Query:
+    return lambda spark, sf: assign(*_written_facts(spark, sf, kind), cfg, BATCH, NOW, **limit)
 
 
 def vendor_similarities(spark, sf):
@@ -447,6 +483,10 @@ def unmatched_vendor_payments(spark, sf):
     return unmatched(pay, matches, "pay_id")
 
 
+def matches_listed(spark, sf):
+    return matches_by_score(_matched(spark, sf)[2])
+
+
 # ---- exceptions and reports -------------------------------------------------------------
 
 def exc_low_confidence(spark, sf):
@@ -476,6 +516,43 @@ def rpt_exceptions_by_code(spark, sf):
     return exceptions_by_code(all_exceptions(spark, sf))
 
 
+def rpt_top_vendors_huge(spark, sf):
+    return top_vendors(_huge(_facts(spark, sf)[0]), 20)
+
+
+def audit_ledgers(spark, sf):
+    """The ledgers of the quality, exception and report stages, side by side."""
+    parts = [
+        qa_ledger(spark, BATCH, NOW, "policy_rules.csv").withColumnRenamed("qa_at_utc", "at_utc"),
+        exception_ledger(all_exceptions(spark, sf), BATCH, NOW).withColumnRenamed("created_at_utc", "at_utc"),
+        report_ledger(spark, BATCH, NOW).withColumnRenamed("created_at_utc", "at_utc"),
+    ]
+    named = [p.withColumn("ledger", F.lit(n)) for n, p in zip(("qa_runs", "exception_runs", "report_runs"), parts)]
+    union = named[0].unionByName(named[1], allowMissingColumns=True).unionByName(named[2], allowMissingColumns=True)
+    return union.select("ledger", "batch_id", "at_utc", "policy_rules_path", F.col("exception_count").cast("bigint").alias("exception_count"))
+
+
+def publish_latest(spark, sf):
+    """A report published twice under its stable name, then read back: the later one stays."""
+    tx, _, matches = _matched(spark, sf)
+    root = scratch(spark, "drop")
+    spend = spend_by_month_vendor(with_matched(tx, matches))
+    for frame in (spend.limit(5), spend):
+        publish({"rpt_spend_by_month_vendor": frame}, root, BATCH, NOW, "latest")
+    df = combine_folder(spark, f"{root}/latest/rpt_spend_by_month_vendor")
+    return df.select("month", F.nullif("vendor_canonical", F.lit("")).alias("vendor_canonical"), F.col("txn_count").cast("bigint").alias("txn_count"))
+
+
+def stage_export(spark, sf):
+    """Two stage tables as CSV, read back by column name."""
+    root = scratch(spark, "csv")
+    tx, _ = _facts(spark, sf)
+    export_stages({"stg_transactions_raw": _staged(spark, sf, "transactions"), "fact_transactions": tx}, root)
+    raw, fact = (combine_folder(spark, f"{root}/{n}") for n in ("stg_transactions_raw", "fact_transactions"))
+    return raw.select("row_hash", "merchant", "amount", "memo").unionByName(
+        fact.select("row_hash", F.col("vendor_raw").alias("merchant"), F.col("amount_cents").alias("amount"), F.col("month").alias("memo")))
+
+
 def rpt_top_vendors(spark, sf):
     return top_vendors(_facts(spark, sf)[0], 20)
 
@@ -511,6 +588,7 @@ QUERIES: dict[str, Query] = {
     "dedupe_last": lambda spark, sf: keep_one(_copies(spark, sf), last=True),
     "date_fields": date_columns,
     "dim_vendor": dim_vendor,
+    "dim_vendor_rerun": dim_vendor_rerun,
     "fact_transactions": fact_transactions,
     "fact_vendor_payments": fact_vendor_payments,
     "qa_missing_fields": qa_missing_fields,
@@ -519,6 +597,9 @@ QUERIES: dict[str, Query] = {
     "qa_outliers": _flag_query(lambda df, record_type: qa.outlier_rules(df)),
     "qa_policy_rules": _flag_query(lambda df, record_type: qa.policy_rules(df, record_type, POLICY)),
     "qa_flags": qa_flags,
+    "qa_flags_one_feed": qa_flags_one_feed,
+    "qa_outliers_huge": qa_outliers_huge,
+    "flags_by_severity": flags_listed,
     "vendor_similarity": vendor_similarities,
     "match_candidates": _pairs_query(CFG),
     "match_candidates_tolerance": _pairs_query(TOLERANT),
@@ -528,6 +609,10 @@ QUERIES: dict[str, Query] = {
     "match_greedy": _match_query(CFG),
     "match_greedy_tolerance": _match_query(TOLERANT),
     "match_greedy_nodate": _match_query(NO_WINDOW, "fine"),
+    "match_greedy_rounds": _match_query(CFG, group_limit=0),
+    "match_greedy_tolerance_rounds": _match_query(TOLERANT, group_limit=0),
+    "match_greedy_nodate_rounds": _match_query(NO_WINDOW, "fine", group_limit=0),
+    "matches_by_score": matches_listed,
     "unmatched_transactions": unmatched_transactions,
     "unmatched_vendor_payments": unmatched_vendor_payments,
     "exc_low_confidence": exc_low_confidence,
@@ -537,5 +622,9 @@ QUERIES: dict[str, Query] = {
     "rpt_match_rate_by_month": rpt_match_rate_by_month,
     "rpt_exceptions_by_code": rpt_exceptions_by_code,
     "rpt_top_vendors": rpt_top_vendors,
+    "rpt_top_vendors_huge": rpt_top_vendors_huge,
     "dashboard_kpis": kpis,
+    "audit_ledgers": audit_ledgers,
+    "publish_latest": publish_latest,
+    "stage_export": stage_export,
 }

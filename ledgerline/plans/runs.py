@@ -13,18 +13,28 @@ from ..operators.candidates import candidates
 from ..operators.cleaning import clean
 from ..operators.exceptions import exceptions
 from ..operators.mapping import map_source
-from ..operators.model import build_dim, build_fact
+from ..operators.model import build_dim, build_fact, empty_fact
 from ..operators.normalize import normalize
 from ..operators.qa import qa_flags
 from ..operators.reports import (
     exceptions_by_code, match_rate_by_month, spend_by_month_vendor, top_vendors, with_matched,
 )
 from ..schemas import ID_COLUMN
+from ..session import materialize
 from ..sources.files import ingest
-from ..sources.publish import publish
+from ..sources.publish import DATASETS, export_stages, publish
 from ..sources.rules import load_aliases, load_policy_rules
 from ..sources.store import Store, latest_batch
-from .ledgers import clean_ledger, map_ledger, match_ledger, model_ledger, normalize_ledger
+from .ledgers import (
+    clean_ledger, exception_ledger, map_ledger, match_ledger, model_ledger, normalize_ledger, qa_ledger, report_ledger,
+)
+
+
+def add_vendors(store: Store, norms: list[DataFrame], batch_id: str, now: str) -> None:
+    """Vendors are only added: facts of other batches may point to those that this batch once brought."""
+    existing = store.table("dim_vendor") if store.exists("dim_vendor") else None
+    new = materialize(build_dim(norms, existing, now), "new-vendors")
+    store.append("dim_vendor", new.withColumn("batch_id", F.lit(batch_id)))
 
 
 class Run:
@@ -86,24 +96,27 @@ class Run:
     def model(self) -> None:
         norms, ledgers = [], []
         for name, norm in self._source("norm"):
+            if name not in ID_COLUMN:
+                continue  # only the two feeds have facts
             norms.append(norm)
             fact = self.store.replace(f"fact_{name}", self.batch_id, build_fact(norm, name, dedupe=False))
             ledgers.append(model_ledger(fact, name, self.now))
         if not norms:
             return
-        existing = None
-        if self.store.exists("dim_vendor"):
-            # this batch's own earlier rows count as new again, so a re-run replaces them
-            existing = self.store.table("dim_vendor").filter(F.col("batch_id") != self.batch_id)
-        self.store.replace("dim_vendor", self.batch_id, build_dim(norms, existing, self.now))
+        add_vendors(self.store, norms, self.batch_id, self.now)
         self.store.replace("modeling_runs", self.batch_id, reduce(DataFrame.unionByName, ledgers))
 
     def _facts(self) -> tuple[DataFrame, DataFrame]:
-        return tuple(self.store.batch(f"fact_{name}", self.batch_id) for name in ID_COLUMN)
+        """Facts of both sides; a side without feed is empty."""
+        return tuple(
+            self.store.batch(f"fact_{name}", self.batch_id) if self.store.exists(f"fact_{name}", self.batch_id)
+            else empty_fact(self.spark, name) for name in ID_COLUMN)
 
     def qa(self) -> None:
         rules = load_policy_rules(self.spark, self.project.path(self.project.policy_rules_path))
         self.store.replace("qa_flags", self.batch_id, qa_flags(*self._facts(), rules, self.now))
+        self.store.replace("qa_runs", self.batch_id, qa_ledger(
+            self.spark, self.batch_id, self.now, self.project.policy_rules_path))
 
     def match(self) -> None:
         tx, pay = self._facts()
@@ -114,9 +127,10 @@ class Run:
 
     def exceptions(self) -> None:
         flags, matches = self.store.batch("qa_flags", self.batch_id), self.store.batch("matches", self.batch_id)
-        self.store.replace("exceptions", self.batch_id, exceptions(
+        found = self.store.replace("exceptions", self.batch_id, exceptions(
             flags, *self._facts(), matches, self.project.matching.low_confidence_threshold,
             self.batch_id, self.now))
+        self.store.replace("exception_runs", self.batch_id, exception_ledger(found, self.batch_id, self.now))
 
     def report(self) -> None:
         tx, _ = self._facts()
@@ -128,18 +142,33 @@ class Run:
             "rpt_top_vendors": top_vendors(tx, self.project.top_n_vendors),
         }.items():
             self.store.replace(name, self.batch_id, df)
+        self.store.replace("report_runs", self.batch_id, report_ledger(self.spark, self.batch_id, self.now))
 
-    def publish(self) -> list[str]:
-        tx, pay = self._facts()
-        matches = self.store.batch("matches", self.batch_id)
+    def export(self) -> list[str]:
+        """Every stage table of the batch as CSV, and the rows that stayed without a match."""
         frames = {
-            name: self.store.batch(name, self.batch_id)
-            for name in ("qa_flags", "matches", "exceptions", "rpt_spend_by_month_vendor",
-                         "rpt_match_rate_by_month", "rpt_exceptions_by_code", "rpt_top_vendors")
+            table: self.store.batch(table, self.batch_id)
+            for source in self.project.sources
+            for table in (f"stg_{source}_raw", f"stg_{source}_mapped", f"clean_{source}", f"norm_{source}", f"fact_{source}")
+            if self.store.exists(table, self.batch_id)
         }
-        frames["unmatched_transactions"] = unmatched(tx, matches, "txn_id")
-        frames["unmatched_vendor_payments"] = unmatched(pay, matches, "pay_id")
-        return publish(frames, self.project.path(self.project.drop_root), self.batch_id, self.now,
+        frames |= {t: self.store.batch(t, self.batch_id) for t in ("match_candidates", *DATASETS) if self.store.exists(t, self.batch_id)}
+        return export_stages(frames | self._unmatched(), self.project.path(self.project.export_root))
+
+    def _unmatched(self) -> dict[str, DataFrame]:
+        """Facts without a match, of the sides that the batch has."""
+        if not self.store.exists("matches", self.batch_id):
+            return {}
+        matches = self.store.batch("matches", self.batch_id)
+        return {
+            f"unmatched_{name}": unmatched(self.store.batch(f"fact_{name}", self.batch_id), matches, id_column)
+            for name, id_column in ID_COLUMN.items() if self.store.exists(f"fact_{name}", self.batch_id)
+        }
+
+    def publish(self) -> list[str]:
+        """The sets that the batch has."""
+        frames = {n: self.store.batch(n, self.batch_id) for n in DATASETS if self.store.exists(n, self.batch_id)}
+        return publish(frames | self._unmatched(), self.project.path(self.project.drop_root), self.batch_id, self.now,
                        self.project.publish_mode)
 
     def to_facts(self) -> None:

@@ -1,4 +1,6 @@
-"""Column lists of the stored tables."""
+"""Column lists of the stored tables: their names and order are the contract."""
+
+# All lists below.
 
 META = ["batch_id", "ingested_at_utc", "source_name", "source_file", "source_row_number"]
 
@@ -29,5 +31,8 @@ EXCEPTIONS = [
     "vendor_id", "date", "amount_cents", "created_at_utc",
 ]
 
+# Types of FACT_TAIL.
+FACT_TYPES = {"source_row_number": "bigint", "is_weekend": "int", "amount_cents": "bigint", "vendor_norm_confidence": "double"}
+
 ID_COLUMN = {"transactions": "txn_id", "vendor_payments": "pay_id"}
 ID_TAG = {"transactions": "txn", "vendor_payments": "pay"}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 import json
 from collections import defaultdict
 from collections.abc import Sequence
@@ -19,6 +20,9 @@ from ..session import materialize
 from .xlsx import read_rows
 
 
+HEADER_CHARS = 1 << 20
+
+
 @dataclass(frozen=True)
 class FileInfo:
     path: str
@@ -70,22 +74,51 @@ def unique_headers(header: Sequence[str]) -> list[str]:
     return out
 
 
+def open_quote(line: str, inside: bool = False) -> bool:
+    """Whether a quoted field is still open after a line.
+
+    A quote opens a field only at its start; elsewhere in an unquoted field it is text.
+    """
+    start, i = not inside, 0
+    while i < len(line):
+        c = line[i]
+        if inside:
+            if c == '"':
+                if line[i + 1:i + 2] == '"':
+                    i += 1
+                else:
+                    inside = False
+        elif c == '"' and start:
+            inside = True
+        start = c == "," and not inside
+        i += 1
+    return inside
+
+
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """First record of a CSV file; only its first lines are read."""
+    """First record of a CSV file; its lines are read until no quoted field is open.
+
+    A header above ``HEADER_CHARS`` is an error instead of a file pulled to the driver.
+    """
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
     reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
     try:
-        text = ""
+        lines, size, inside = [], 0, False
         while (line := reader.readLine()) is not None:
-            text += line + "\n"
-            if text.strip() and text.count('"') % 2 == 0:
+            inside = open_quote(line if lines else line.removeprefix("\ufeff"), inside)
+            lines.append(line)
+            size += len(line) + 1
+            if size > HEADER_CHARS:
+                raise ValueError(f"the header of {path} has more than {HEADER_CHARS} characters")
+            if not inside and any(x.strip("\ufeff \t") for x in lines):
                 break
+        text = "\n".join(lines)
     finally:
         reader.close()
     text = text.removeprefix("\ufeff").strip("\r\n")
-    return unique_headers(next(csv.reader([text]), [])) if text else []
+    return unique_headers(next(csv.reader(io.StringIO(text, newline="")), [])) if text else []
 
 
 def files_with_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
@@ -103,8 +136,12 @@ def files_with_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
 
 
 def scan_csv(spark: SparkSession, paths: list[str], header: Sequence[str], multi_line: bool) -> DataFrame:
-    """Text columns plus path, block and order.  Blanks stay ``""`` and ``NA`` stays text."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    """Text columns plus path, block and order.  Blanks stay ``""`` and ``NA`` stays text.
+
+    A row with more fields than the header raises an error: nothing is dropped unseen.
+    """
+    surplus = "_surplus"
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, surplus]])
     df = (
         spark.read.schema(schema)
         .options(header=True, enforceSchema=True, quote='"', escape='"', multiLine=multi_line,
@@ -112,7 +149,11 @@ def scan_csv(spark: SparkSession, paths: list[str], header: Sequence[str], multi
         .csv(paths)
     )
     path = unescape_path(F.col("_metadata.file_path")).alias("_path")
-    columns = [F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in header]
+    too_long = F.raise_error(F.concat(
+        F.lit("a row has more fields than the header, "), F.col(surplus), F.lit(" among them: "), F.col("_metadata.file_path")))
+    checked = F.when(F.col(surplus).isNotNull(), too_long.cast("string"))
+    columns = [F.coalesce(checked, F.col(f"`{name}`"), F.lit("")).alias(name) if i == 0
+               else F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for i, name in enumerate(header)]
     return df.select(
         *columns, path, F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_order"),

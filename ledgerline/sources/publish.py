@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .files import list_files, read_header, scan_csv
+from .store import partition_value
 
 # The published datasets.
 DATASETS = (
@@ -24,9 +26,21 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def snapshot_name(now: str, batch_id: str) -> str:
-    """``<time>__<batch>``: 2025-12-26T22:59:57+00:00 becomes 20251226T225957Z0000."""
-    stamp = now.replace(":", "").replace("+", "Z").replace("-", "")
-    return f"{stamp}__{batch_id}"
+    """``<time>__<batch>``: 2025-12-26T22:59:57+00:00 becomes 20251226T225957Z0000.
+
+    A negative offset has an M in the place of the Z; a time without offset counts as UTC.
+    """
+    time = datetime.fromisoformat(now)
+    minutes = int((time.utcoffset() or timedelta()).total_seconds()) // 60
+    sign, (hours, rest) = "M" if minutes < 0 else "Z", divmod(abs(minutes), 60)
+    return f"{time:%Y%m%dT%H%M%S}{sign}{hours:02d}{rest:02d}__{batch_id}"
+
+
+def export_stages(frames: dict[str, DataFrame], root: str) -> list[str]:
+    """Stage tables of one batch as CSV folders, one for each name."""
+    for name, df in frames.items():
+        write_csv(df, f"{root}/{name}")
+    return [f"{root}/{name}" for name in frames]
 
 
 def publish(frames: dict[str, DataFrame], root: str, batch_id: str, now: str, mode: str) -> list[str]:
@@ -39,7 +53,7 @@ def publish(frames: dict[str, DataFrame], root: str, batch_id: str, now: str, mo
             continue
         path = f"{root}/latest/{name}"
         if mode == "history":
-            path = f"{root}/history/{name}/{name}__{snapshot_name(now, batch_id)}"
+            path = f"{root}/history/{name}/{name}__{partition_value(snapshot_name(now, batch_id))}"
         df = frames[name]
         if "batch_id" in df.columns:
             df = df.filter(F.col("batch_id") == batch_id)

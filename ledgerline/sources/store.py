@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+# Characters that Spark writes as %XX in partition folders, besides control characters.
+_ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^")
+
+
+def partition_value(value: str) -> str:
+    """A batch id as Spark names its folder, so that ids with any characters are found again."""
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED or c < " " else c for c in value)
+
 
 class Store:
     """Tables under one root.  A batch is the unit of replacement."""
@@ -13,7 +23,7 @@ class Store:
         self.root = root.rstrip("/")
 
     def _path(self, table: str, batch_id: str | None = None) -> str:
-        return f"{self.root}/{table}" + (f"/batch_id={batch_id}" if batch_id is not None else "")
+        return f"{self.root}/{table}" + (f"/batch_id={partition_value(batch_id)}" if batch_id is not None else "")
 
     def _fs(self, path: str):
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -26,10 +36,17 @@ class Store:
     def replace(self, table: str, batch_id: str, df: DataFrame) -> DataFrame:
         """Replace one batch, also by an empty result; other batches stay.
 
-        The batch's own folder is overwritten.  A dynamic partition overwrite would keep the
-        old rows when the new result is empty.
+        The new rows are written next to the table and then take the folder's place, so a write
+        that fails leaves the old rows, and the new ones may be made from them.  A dynamic
+        partition overwrite would keep the old rows when the new result is empty.
         """
-        df.drop("batch_id").write.mode("overwrite").parquet(self._path(table, batch_id))
+        fs, target = self._fs(self._path(table, batch_id))
+        _, made = self._fs(f"{self.root}/_new/{uuid.uuid4().hex}")
+        df.drop("batch_id").write.parquet(made.toString())
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        if not fs.rename(made, target):
+            raise OSError(f"cannot move {made} to {target}")
         return self.batch(table, batch_id)
 
     def purge(self, table: str, batch_id: str) -> None:

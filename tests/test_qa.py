@@ -32,7 +32,7 @@ def facts(spark, rows):
 def test_percentile(spark, values):
     row = qa.percentile_99(spark.createDataFrame([(v,) for v in values], "amount_cents bigint")).first()
     assert row.n == len(values)
-    assert row.thr100 / 100 == pytest.approx(np.percentile(values, 99), rel=1e-9, abs=1e-3)
+    assert float(row.thr100) / 100 == pytest.approx(np.percentile(values, 99), rel=1e-9, abs=1e-3)
 
 
 def test_percentile_random(spark):
@@ -40,7 +40,7 @@ def test_percentile_random(spark):
     for size in (25, 101, 400):
         values = [rng.choice([rng.randint(-10**9, 10**9), rng.randint(0, 50)]) for _ in range(size)]
         row = qa.percentile_99(spark.createDataFrame([(v,) for v in values], "amount_cents bigint")).first()
-        assert row.thr100 / 100 == pytest.approx(np.percentile(values, 99), rel=1e-12, abs=0.006)
+        assert float(row.thr100) / 100 == pytest.approx(np.percentile(values, 99), rel=1e-12, abs=0.006)
 
 
 def test_outliers(spark):

@@ -1,6 +1,7 @@
 """A whole project on three rows per feed, and the file scans."""
 
 import zipfile
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ledgerline.sources.store import Store
 
 NOW = "2025-12-26T22:59:57+00:00"
 
+# The four sample files.
 TRANSACTIONS = """Transaction ID,Post Date,Transaction Date,Merchant,Amount,Currency,Card Last4,Memo
 T1001,2025-12-02,2025-12-01,AMZN Mktp US*2H3K21,48.27,USD,1234,Laptop stand
 T1002,2025-12-03,2025-12-03,UBER TRIP HELP.UBER.COM,17.90,USD,1234,Client visit
@@ -31,7 +33,7 @@ POLICY = (
     "POLICY_REVIEW_OVER_20,amount_cents,>,2000,info,Review transactions over $20,transactions\n"
     ",amount_cents,>,1,,,\nNOTE,currency,==,USD,,,\n"
 )
-# Stored hashes of the rows above.
+# The stored hashes of the rows above.
 TX_HASHES = [
     "e0c5adae4b633561df3ead3c6f58533bd1ec20f12241b1ab009dc5185e5ee2dc",
     "30c00bc24dfe58bbd88b21bcd6743d6c413c354064d112fbe95d79eea50b3802",
@@ -142,6 +144,75 @@ def test_odd_files(spark, tmp_path):
     assert registry["in/f1.csv"].file_size_bytes == len('\ufeffA,B\n1,"x\ny"\nNA,null\n\n3,\n'.encode())
 
 
+def test_quotes_in_headers_and_fields(spark, tmp_path):
+    write(tmp_path, "in/a.csv", 'Item 5" size,B\n5" pipe,x\n"a ""q"", b",y\n')
+    write(tmp_path, "in/b.csv", '"two\nlines",B\n1,2\n')
+    rows = ingest(spark, f"{tmp_path}/in/*.csv", "s", "b", NOW, str(tmp_path)).rows.collect()
+    assert sorted((r.item_5_size, r.b) for r in rows if r.source_file == "in/a.csv") == [('5" pipe', "x"), ('a "q", b', "y")]
+    assert [(r.two_lines, r.b) for r in rows if r.source_file == "in/b.csv"] == [("1", "2")]
+
+
+def test_surplus_fields_and_endless_headers_raise(spark, tmp_path):
+    write(tmp_path, "in/a.csv", "A,B\n1,2\n1,2,EXTRA\n")
+    with pytest.raises(Exception, match="more fields than the header"):
+        ingest(spark, f"{tmp_path}/in/a.csv", "s", "b", NOW, str(tmp_path)).rows.collect()
+    write(tmp_path, "in/c.csv", '"never closed\n' + "x,y\n" * 300_000)
+    with pytest.raises(ValueError, match="header"):
+        ingest(spark, f"{tmp_path}/in/c.csv", "s", "b", NOW, str(tmp_path))
+
+
+def test_one_feed_and_a_third_source(spark, tmp_path, project):
+    write(tmp_path, "one/data/raw/transactions_x.csv", "Merchant,Post Date,Amount\nAcme,2025-12-02,4111111111111111\nAcme,2025-12-03,5\n")
+    write(tmp_path, "one/data/raw/other_x.csv", "Merchant,Post Date,Amount\nOther,2025-12-02,1\n")
+    sources = DEFAULT_SOURCES | {"other": replace(DEFAULT_SOURCES["transactions"], name="other", path="data/raw/other*.csv")}
+    run = Run(spark, Project(root=f"{tmp_path}/one", sources=sources, publish_mode="latest"), NOW, "2025-12-02T01:02:03+00:00/a%b=c")
+    run.to_facts()
+    run.post_model()
+    store = run.store
+    assert store.batch("norm_other", run.batch_id).count() == 1 and not store.exists("fact_other")
+    assert {r.exception_code for r in store.batch("exceptions", run.batch_id).collect()} >= {"UNMATCHED_TRANSACTION", "AMOUNT_OUTLIER"}
+    assert {r.vendor_canonical for r in store.table("dim_vendor").collect()} == {"Acme"}
+    assert store.table("mapping_runs").count() == 2 and store.batch("mapping_runs", run.batch_id).count() == 2
+    assert [store.batch(t, run.batch_id).count() for t in ("qa_runs", "exception_runs", "report_runs")] == [1, 1, 1]
+    published = run.publish()
+    assert published == run.publish() and len(published) == 8
+    assert not any("unmatched_vendor_payments" in p for p in published)
+    exported = {p.rsplit("/", 1)[1] for p in run.export()}
+    assert {"stg_other_raw", "norm_transactions", "fact_transactions", "qa_flags", "match_candidates", "unmatched_transactions"} <= exported
+    assert combine_folder(spark, f"{tmp_path}/one/out/csv/stg_transactions_raw").count() == 2
+
+
+def test_rerun_keeps_vendors_of_other_batches(spark, tmp_path):
+    def feed(root, vendor):
+        write(tmp_path, "r/data/raw/transactions_x.csv", f"Merchant,Post Date,Amount\n{vendor},2025-12-02,5\n")
+        run = Run(spark, Project(root=f"{tmp_path}/r", sources=DEFAULT_SOURCES), NOW, root)
+        run.to_facts()
+        return run.store
+
+    for batch, vendor in (("p1", "Acme"), ("p2", "Acme"), ("p1", "Beta")):
+        store = feed(batch, vendor)
+    assert {r.vendor_canonical for r in store.table("dim_vendor").collect()} == {"Acme", "Beta"}
+    facts = store.table("fact_transactions")
+    assert facts.join(store.table("dim_vendor"), "vendor_id", "left_anti").count() == 0
+
+
+@pytest.mark.parametrize("batch", ["bt:1", "50%", "a/b", "k=v", "q'\"*?[{^\\#", "plain"])
+def test_batch_ids_of_any_characters(spark, tmp_path, batch):
+    store = Store(spark, str(tmp_path))
+    df = spark.range(2).select(F.lit(batch).alias("batch_id"), "id")
+    store.append("t", df)
+    assert store.exists("t", batch) and store.batch("t", batch).count() == 2
+    store.replace("t", batch, store.batch("t", batch).where("id > 0"))
+    assert [tuple(r) for r in store.table("t").collect()] == [(batch, 1)]
+    store.purge("t", batch)
+    assert not store.exists("t", batch)
+
+
+def test_snapshot_names():
+    assert snapshot_name("2025-01-02T03:04:05", "b") == "20250102T030405Z0000__b"
+    assert snapshot_name("2025-01-02T03:04:05-05:30", "b") == "20250102T030405M0530__b"
+
+
 def test_unique_headers():
     assert unique_headers(["A", "A", "a", "", "A.1"]) == ["A", "A.2", "a", "Unnamed: 3", "A.1"]
 
