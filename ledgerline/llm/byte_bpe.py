@@ -34,11 +34,12 @@ from pyspark.sql import types as T
 from ledgerline.llm.common import fresh, slices, whole_text
 from ledgerline.session import ship_functions
 
-BLOCK_BYTES = 4 << 20
-WORD_BYTES = 1 << 19
+BLOCK_BYTES = 2 << 20
+BLOCK_IDS = 1 << 18
+WORD_BYTES = 1 << 18
 LONG_WORD = 64
-REMEMBERED = 400_000
-MEMORY = "300MB"
+REMEMBERED = 300_000
+MEMORY = "200MB"
 
 ship_functions(__name__)
 ship_functions("ledgerline.llm.common")
@@ -201,64 +202,76 @@ class Encoder:
         return self.con.execute("SELECT word, id FROM state ORDER BY word, pos").fetchnumpy()
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", name: str = "ids") -> tuple[DataFrame, str]:
-    """The frame with one more column, the token ids of the text as array<int>; and its name."""
+def _encoding(batches: Iterator, shared, pattern: str, text_col: str, name: str) -> Iterator:
+    """Batches with the token ids of the text as one more column."""
     import pyarrow as pa
 
-    (name,) = fresh(docs, name)
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))])
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    encoder = None
+    for batch in batches:
+        encoder = encoder or Encoder(shared.value, pattern)
+        for part in slices(batch, text_col, BLOCK_BYTES):
+            offsets, ids = encoder.block(part.column(text_col).to_pylist())
+            listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*part.columns, listed], names=[*part.schema.names, name])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
-        for batch in batches:
-            encoder = encoder or Encoder(shared.value, pattern)
-            for part in slices(batch, text_col, BLOCK_BYTES):
-                offsets, ids = encoder.block(part.column(text_col).to_pylist())
-                listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, listed], names=[*part.schema.names, name])
 
-    return docs.mapInArrow(run, schema), name
+def _decoding(batches: Iterator, shared, ids_col: str, name: str) -> Iterator:
+    """Batches with the bytes that the ids stand for as one more column."""
+    import pyarrow as pa
+
+    con = None
+    for batch in batches:
+        if con is None:
+            con = _connection()
+            pieces = shared.value
+            con.register("vocabulary", pa.table({
+                "id": pa.array(pieces.values(), pa.int32()), "piece": pa.array([p.hex() for p in pieces], pa.string())}))
+            con.execute("CREATE TABLE pieces AS SELECT * FROM vocabulary")
+            con.unregister("vocabulary")
+        lengths = batch.column(ids_col).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        block = (np.cumsum(lengths) - lengths) // BLOCK_IDS
+        edges = [0, *(np.nonzero(np.diff(block))[0] + 1), batch.num_rows]
+        for start, end in zip(edges, edges[1:]):
+            part = batch.slice(start, end - start)
+            con.register("encoded", pa.table({"doc": np.arange(part.num_rows), "ids": part.column(ids_col)}))
+            found = con.execute(DECODING).fetchall()
+            con.unregister("encoded")
+            values: list[bytes] = [b""] * part.num_rows
+            for doc, data in found:
+                values[doc] = data
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.binary())], names=[*part.schema.names, name])
+
+
+def _with_column(frame: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([*frame.schema.fields, T.StructField(name, kind)])
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", name: str = "ids") -> tuple[DataFrame, str]:
+    """The frame with one more column, the token ids of the text as array<int>; and its name."""
+    (name,) = fresh(docs, name)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    return docs.mapInArrow(
+        lambda batches: _encoding(batches, shared, pattern, text_col, name), _with_column(docs, name, T.ArrayType(T.IntegerType()))), name
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", name: str = "decoded") -> tuple[DataFrame, str]:
     """The frame with one more column, the bytes that the ids stand for; and its name."""
-    import pyarrow as pa
-
     (name,) = fresh(encoded, name)
-    schema = T.StructType([*encoded.schema.fields, T.StructField(name, T.BinaryType())])
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
+    return encoded.mapInArrow(
+        lambda batches: _decoding(batches, shared, ids_col, name), _with_column(encoded, name, T.BinaryType())), name
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = None
-        for batch in batches:
-            if con is None:
-                con = _connection()
-                pieces = shared.value
-                con.register("vocabulary", pa.table({
-                    "id": pa.array(pieces.values(), pa.int32()), "piece": pa.array([p.hex() for p in pieces], pa.string())}))
-                con.execute("CREATE TABLE pieces AS SELECT * FROM vocabulary")
-                con.unregister("vocabulary")
-            lengths = batch.column(ids_col).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            block = (np.cumsum(lengths) - lengths) // (BLOCK_BYTES // 8)
-            edges = [0, *(np.nonzero(np.diff(block))[0] + 1), batch.num_rows]
-            for start, end in zip(edges, edges[1:]):
-                part = batch.slice(start, end - start)
-                con.register("encoded", pa.table({"doc": np.arange(part.num_rows), "ids": part.column(ids_col)}))
-                found = con.execute(DECODING).fetchall()
-                con.unregister("encoded")
-                values: list[bytes] = [b""] * part.num_rows
-                for doc, data in found:
-                    values[doc] = data
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.binary())], names=[*part.schema.names, name])
-
-    return encoded.mapInArrow(run, schema), name
-
-
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows id, ids, decoded."""
+
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Rows of the kept columns, ids and decoded: both steps in one pass, so each task has one Python process."""
     ranks = read_ranks(path)
-    only = docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"))
-    encoded, ids = encode(only, ranks, pattern, "_text")
-    decoded, data = decode(encoded.select("_id", ids), ranks, ids)
-    return decoded.select(F.col("_id").alias(id_col), F.col(ids).alias("ids"), F.col(data).alias("decoded"))
+    only = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], whole_text(text_col).alias("_text"))
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    kept = only.drop("_text")
+    schema = T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
+
+    def run(batches: Iterator) -> Iterator:
+        encoded = (b.drop_columns(["_text"]) for b in _encoding(batches, shared, pattern, "_text", "ids"))
+        return _decoding(encoded, shared, "ids", "decoded")
+
+    return only.mapInArrow(run, schema).select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], "ids", "decoded")

@@ -46,6 +46,8 @@ def test_empty_table_and_clashing_name(empty, odd):
     assert byte_bpe.round_trip(empty, PATH, public_tokenizers.PATTERN).collect() == []
     encoded, name = byte_bpe.encode(odd, RANKS, public_tokenizers.PATTERN)
     assert name != "ids" and set(encoded.columns) == {*odd.columns, name}
+    decoded, data = byte_bpe.decode(encoded, RANKS, name)
+    assert all(bytes(r[data]).decode() == (r.text or "") for r in decoded.collect())
 
 
 def test_query(spark, odd, tmp_path, library):
