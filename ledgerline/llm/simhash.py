@@ -154,7 +154,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: Bytes of a long fingerprint, how many positional bytes make a posting, and how many postings there are.
 LONG_BYTES, POSTED_BYTES, POSTINGS = 128, 3, 128
-#: A text is compared with so many before it in each list.
+#: A text is compared with so many before it in each list: short lists are compared whole, and in a
+#: longer one each text still meets others of its group in each of its lists.
 NEIGHBOURS = 32
 #: Fewest positional bytes that a pair must share before its bits are compared.
 LEAST_SHARED = 12
@@ -184,7 +185,7 @@ def most_bits(similarity: float) -> int:
 
 
 def _posted(prints: DataFrame) -> DataFrame:
-    """Rows posting, node: the sets of positional bytes of each long fingerprint (columns node, print)."""
+    """Rows posting, node, root: the sets of positional bytes of each long fingerprint (columns node, root, print)."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,10 +196,10 @@ def _posted(prints: DataFrame) -> DataFrame:
                 keys = np.arange(POSTINGS, dtype=np.int64)[None, :]
                 for k in range(POSTED_BYTES):
                     keys = keys << 8 | data[:, _PLACES[:, k]]
-                nodes = np.repeat(part.column("node").to_numpy(zero_copy_only=False), POSTINGS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], names=["posting", "node"])
+                named = [np.repeat(part.column(c).to_numpy(zero_copy_only=False), POSTINGS) for c in ("node", "root")]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *map(pa.array, named)], names=["posting", "node", "root"])
 
-    return prints.select("node", "print").mapInArrow(run, "posting long, node long")
+    return prints.select("node", "root", "print").mapInArrow(run, "posting long, node long, root long")
 
 
 def _compared(pairs: DataFrame, bits: int) -> DataFrame:
@@ -235,17 +236,17 @@ def _similar(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def similar_pairs(prints: DataFrame, similarity: float) -> DataFrame:
-    """Rows u, v, bits: nodes whose long fingerprints (columns node, print) show this similarity.
+def similar_pairs(prints: DataFrame, similarity: float, neighbours: int) -> DataFrame:
+    """Rows u, v, bits: nodes of different roots whose long fingerprints (columns node, root, print) show this similarity.
 
-    Texts meet where they share a set of positional bytes, and each is compared with the
-    ``NEIGHBOURS`` before it in such a list.  Shorter lists are compared whole; in a longer one
-    each text still meets others of its group in each of its lists, and rows stay in proportion.
+    Texts meet where they share a set of positional bytes, and each is compared with so many
+    before it in such a list.
     """
     ordered = Window.partitionBy("posting").orderBy("node")
-    before = [F.lag("node", k).over(ordered).alias(f"b{k}") for k in range(1, NEIGHBOURS + 1)]
-    met = _posted(prints).select("node", *before).where("b1 IS NOT NULL")
-    pairs = met.select("node", F.explode(F.array_compact(F.array(*[f"b{k}" for k in range(1, NEIGHBOURS + 1)]))).alias("u"))
+    before = F.array_compact(F.array(*[F.lag(F.struct("node", "root"), k).over(ordered) for k in range(1, neighbours + 1)]))
+    met = _posted(prints).select("node", "root", before.alias("before")).where(F.size("before") > 0)
+    others = met.select("node", F.filter("before", lambda x: x["root"] != F.col("root")).alias("others"))
+    pairs = others.where(F.size("others") > 0).select("node", F.explode("others.node").alias("u"))
     tallied = pairs.groupBy("u", F.col("node").alias("v")).agg(F.count(F.lit(1)).alias("shared"))
     a = prints.select(F.col("node").alias("u"), F.col("print").alias("a"))
     b = prints.select(F.col("node").alias("v"), F.col("print").alias("b"))
@@ -253,18 +254,27 @@ def similar_pairs(prints: DataFrame, similarity: float) -> DataFrame:
 
 
 def similar_groups(prints: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Rows node, root of nodes that have similar ones; texts has node and text.
+    """Rows node, root of nodes that have similar ones; prints has node and print, texts node and text.
 
-    Pairs whose fingerprints show a similarity well above the wanted one are linked; of those
-    around it, the pairs that would join different groups are compared by their texts.
+    First each text is compared with the one before it in each of its lists, which connects
+    most of a group, however large, by pairs in proportion to its texts.  Then it is compared
+    with ``NEIGHBOURS`` before it that the first links left in other groups.  Pairs whose
+    fingerprints show a similarity well above the wanted one are linked; of those around it, the
+    pairs that would join different groups are compared by their texts.
     """
-    pairs = materialize(similar_pairs(prints, similarity - MARGIN), "similar-pairs")
-    sure = F.col("bits") <= most_bits(similarity + MARGIN)
+    floor, sure = similarity - MARGIN, F.col("bits") <= most_bits(similarity + MARGIN)
+
+    def rooted(roots: DataFrame) -> DataFrame:
+        return prints.join(roots, "node", "left").select("node", "print", F.coalesce("root", "node").alias("root"))
+
+    first = materialize(similar_pairs(prints.withColumn("root", F.col("node")), floor, 1), "adjacent-pairs")
+    rest = materialize(similar_pairs(rooted(components(first.where(sure))), floor, NEIGHBOURS), "other-pairs")
+    pairs = first.unionByName(rest)
     links = pairs.where(sure).select("u", "v")
     near = components(links)
     root = lambda c: near.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
     unsure = pairs.where(~sure).join(root("u"), "u", "left").join(root("v"), "v", "left").where(
-        F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
+        F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v").distinct()
     asked = materialize(unsure, "unsure-pairs")
     nodes = asked.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     said = materialize(texts.join(nodes, "node", "left_semi").select("node", "text"), "asked-texts")
