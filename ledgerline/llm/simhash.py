@@ -156,7 +156,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 LONG_BYTES, POSTED_BYTES, POSTINGS = 128, 3, 128
 #: A text is compared with so many before it in each list: short lists are compared whole, and in a
 #: longer one each text still meets others of its group in each of its lists.
-NEIGHBOURS = 32
+NEIGHBOURS = 12
+#: Of those, so many nearest ones of any one group: a text beside a large group meets other members in its other lists.
+OF_ONE_GROUP = 3
 #: Fewest positional bytes that a pair must share before its bits are compared.
 LEAST_SHARED = 12
 #: What the similarity that long fingerprints show is off by at most, nearly always.
@@ -245,7 +247,9 @@ def similar_pairs(prints: DataFrame, similarity: float, neighbours: int) -> Data
     ordered = Window.partitionBy("posting").orderBy("node")
     before = F.array_compact(F.array(*[F.lag(F.struct("node", "root"), k).over(ordered) for k in range(1, neighbours + 1)]))
     met = _posted(prints).select("node", "root", before.alias("before")).where(F.size("before") > 0)
-    others = met.select("node", F.filter("before", lambda x: x["root"] != F.col("root")).alias("others"))
+    nearer = lambda x, i: F.size(F.filter(F.slice("before", F.lit(1), i), lambda y: y["root"] == x["root"]))
+    others = met.select("node", F.filter(
+        "before", lambda x, i: (x["root"] != F.col("root")) & (nearer(x, i) < OF_ONE_GROUP)).alias("others"))
     pairs = others.where(F.size("others") > 0).select("node", F.explode("others.node").alias("u"))
     tallied = pairs.groupBy("u", F.col("node").alias("v")).agg(F.count(F.lit(1)).alias("shared"))
     a = prints.select(F.col("node").alias("u"), F.col("print").alias("a"))
@@ -258,29 +262,37 @@ def similar_groups(prints: DataFrame, texts: DataFrame, words: int, similarity:
 
     First each text is compared with the one before it in each of its lists, which connects
     most of a group, however large, by pairs in proportion to its texts.  Then it is compared
-    with ``NEIGHBOURS`` before it that the first links left in other groups.  Pairs whose
-    fingerprints show a similarity well above the wanted one are linked; of those around it, the
-    pairs that would join different groups are compared by their texts.
+    with ``NEIGHBOURS`` before it that the first links left in other groups.
     """
-    floor, sure = similarity - MARGIN, F.col("bits") <= most_bits(similarity + MARGIN)
+    roots = prints.select("node", F.col("node").alias("root")).limit(0)
+    links = None
+    for neighbours in (1, NEIGHBOURS):
+        rooted = prints.join(roots, "node", "left").select("node", "print", F.coalesce("root", "node").alias("root"))
+        pairs = materialize(similar_pairs(rooted, similarity - MARGIN, neighbours), "similar-pairs")
+        links = _links(pairs, links, texts, words, similarity)
+        roots = components(links)
+    return roots
 
-    def rooted(roots: DataFrame) -> DataFrame:
-        return prints.join(roots, "node", "left").select("node", "print", F.coalesce("root", "node").alias("root"))
 
-    first = materialize(similar_pairs(prints.withColumn("root", F.col("node")), floor, 1), "adjacent-pairs")
-    rest = materialize(similar_pairs(rooted(components(first.where(sure))), floor, NEIGHBOURS), "other-pairs")
-    pairs = first.unionByName(rest)
-    links = pairs.where(sure).select("u", "v")
-    near = components(links)
+def _links(pairs: DataFrame, links: DataFrame | None, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links u, v from earlier links and new pairs.
+
+    Pairs whose fingerprints show a similarity well above the wanted one are linked; of those
+    around it, the pairs that would join different groups are compared by their texts.
+    """
+    sure = F.col("bits") <= most_bits(similarity + MARGIN)
+    found = pairs.where(sure).select("u", "v")
+    found = found if links is None else links.unionByName(found)
+    near = components(found)
     root = lambda c: near.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-    unsure = pairs.where(~sure).join(root("u"), "u", "left").join(root("v"), "v", "left").where(
-        F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v").distinct()
-    asked = materialize(unsure, "unsure-pairs")
+    asked = materialize(pairs.where(~sure).join(root("u"), "u", "left").join(root("v"), "v", "left").where(
+        F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v"), "unsure-pairs")
     nodes = asked.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     said = materialize(texts.join(nodes, "node", "left_semi").select("node", "text"), "asked-texts")
     a = said.select(F.col("node").alias("u"), F.col("text").alias("a"))
     b = said.select(F.col("node").alias("v"), F.col("text").alias("b"))
-    return components(links.unionByName(_similar(asked.join(a, "u").join(b, "v").select("u", "v", "a", "b"), words, similarity)))
+    similar = _similar(asked.join(a, "u").join(b, "v").select("u", "v", "a", "b"), words, similarity)
+    return materialize(found.unionByName(similar), "links-so-far")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
