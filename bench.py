@@ -14,7 +14,7 @@ from ledgerline.session import local_session  # noqa: E402
 
 HEADLINE = [
     "csv_scan_raw", "row_hash", "clean_status", "vendor_canonical", "dedupe_first", "fact_transactions",
-    "qa_flags", "match_candidates", "match_greedy", "exceptions", "rpt_spend_by_month_vendor",
+    "qa_flags", "match_candidates", "match_greedy", "match_greedy_rounds", "exceptions", "rpt_spend_by_month_vendor",
 ]
 
 
