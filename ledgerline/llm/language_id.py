@@ -135,6 +135,20 @@ def _says(column: Column, languages: list[str], right: float, values: dict[str,
     return [F.when(known & (said == x), float(np.log(right))).when(known, float(np.log(wrong))).otherwise(F.lit(0.0)) for x in languages]
 
 
+def _sample(known: DataFrame) -> DataFrame:
+    """At most SAMPLE ids of each of the MOST_LANGUAGES languages with most of them, by least hash.
+
+    Ids are ranked in 256 parts of a language first, so that the last ranking sees so many samples
+    at most, however many texts declare one language.
+    """
+    hashed = known.withColumn("_hash", F.xxhash64("_id")).withColumn("_part", F.pmod("_hash", F.lit(256)))
+    for keys in (["declared", "_part"], ["declared"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_hash", "_id"))
+        hashed = hashed.withColumn("_rank", rank).where(F.col("_rank") <= SAMPLE).drop("_rank")
+    sizes = hashed.groupBy("declared").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.col("_n").desc(), "declared").limit(MOST_LANGUAGES)
+    return hashed.join(F.broadcast(sizes), "declared").select("_id", "declared")  # at most MOST_LANGUAGES rows
+
+
 def identify(docs: DataFrame, evidence: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
     """Rows id, language, confidence, text_language, declared, host: one for each row of docs.
 
@@ -142,10 +156,7 @@ def identify(docs: DataFrame, evidence: DataFrame, id_col: str = "doc_id", text_
     text's site stands for its host.
     """
     known = evidence.select(F.col(id_col).alias("_id"), "declared", F.col("host"))
-    ranked = known.where("declared IS NOT NULL AND _id IS NOT NULL").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("declared").orderBy(F.xxhash64("_id"), "_id")))
-    sample = ranked.where(F.col("_rank") <= SAMPLE).groupBy("declared").agg(F.collect_list("_id").alias("_ids"), F.count(F.lit(1)).alias("_n"))
-    chosen = sample.orderBy(F.col("_n").desc(), "declared").limit(MOST_LANGUAGES).select(F.explode("_ids").alias("_id"), "declared")
+    chosen = _sample(known.where("declared IS NOT NULL AND _id IS NOT NULL").select("_id", "declared"))
     only = docs.select(F.col(id_col).alias("_id"), F.col(site_col).cast("string").alias("_site"), whole_text(text_col).alias("_text"))
     # At most SAMPLE * MOST_LANGUAGES rows are broadcast.
     languages, model = train(only.join(F.broadcast(chosen), "_id").select("_text", "declared"), "_text", "declared")
