@@ -42,24 +42,43 @@ def _lcs_bits(a: Column, b: Column) -> Column:
     return F.length(a) - F.bit_count(row)
 
 
-def _lcs_table(a: Column, b: Column) -> Column:
-    """Longest common subsequence, any length: one table row per character of ``a``."""
-    zero = F.lit(0)
+def _lcs_words(a: Column, b: Column) -> Column:
+    """Longest common subsequence, any length: the same recurrence over several longs with a carry.
 
-    def fill(right: Column) -> Column:
-        def next_row(prev: Column, ch: Column) -> Column:
-            def cell(row: Column, x: Column) -> Column:
-                j = F.size(row)
-                grown = F.when(x == ch, F.get(prev, j - 1) + 1).otherwise(
-                    F.greatest(F.get(prev, j), F.get(row, j - 1))
-                )
-                return F.concat(row, F.array(grown))
+    The match positions of each distinct character of ``a`` are worked out once; a character of
+    ``b`` then costs one look-up and one step for each long.
+    """
+    zero, full = F.lit(0).cast("bigint"), F.lit((1 << _WORD) - 1)
+
+    def positions(chars: Column) -> Column:
+        longs = F.sequence(F.lit(0), F.floor((F.size(chars) - 1) / _WORD).cast("int"))
+
+        def of(ch: Column, k: Column) -> Column:
+            part = F.slice(chars, k * _WORD + 1, F.lit(_WORD))
+            bits = F.transform(part, lambda x, i: F.when(x == ch, F.call_function("shiftleft", zero + 1, i)).otherwise(zero))
+            return F.aggregate(bits, zero, lambda acc, x: acc.bitwiseOR(x))
+
+        known = F.array_distinct(chars)
+        return F.map_from_arrays(known, F.transform(known, lambda ch: F.transform(longs, lambda k: of(ch, k))))
+
+    def step(row: Column, matches: Column) -> Column:
+        def add(acc: Column, x: Column) -> Column:
+            v, u = x["v"], x["v"].bitwiseAND(x["m"])
+            return let(v + u + acc["carry"], lambda total: F.struct(
+                F.concat(acc["row"], F.array(total.bitwiseOR(v - u).bitwiseAND(full))).alias("row"),
+                F.shiftright(total, _WORD).alias("carry"),
+            ))
 
-            return F.aggregate(right, F.array(zero), cell)
+        start = F.struct(F.array().cast("array<bigint>").alias("row"), zero.alias("carry"))
+        pairs = F.zip_with(row, matches, lambda v, m: F.struct(v.alias("v"), m.alias("m")))
+        return F.when(matches.isNull(), row).otherwise(F.aggregate(pairs, start, add)["row"])
 
-        return F.aggregate(_chars(a), F.array_repeat(zero, F.size(right) + 1), next_row)
+    def count(known: Column) -> Column:
+        start = F.array_repeat(full, F.ceil(F.length(a) / _WORD).cast("int"))
+        row = F.aggregate(_chars(b), start, lambda acc, ch: step(acc, F.try_element_at(known, ch)))
+        return F.aggregate(row, F.lit(0), lambda n, v: n + _WORD - F.bit_count(v))
 
-    return F.element_at(let(_chars(b), fill), -1)
+    return let(let(_chars(a), positions), count)
 
 
 def lcs_length(a: Column, b: Column) -> Column:
@@ -68,7 +87,7 @@ def lcs_length(a: Column, b: Column) -> Column:
         F.when((F.length(a) == 0) | (F.length(b) == 0), 0)
         .when(F.length(a) <= _WORD, _lcs_bits(a, b))
         .when(F.length(b) <= _WORD, _lcs_bits(b, a))
-        .otherwise(_lcs_table(a, b))
+        .otherwise(_lcs_words(a, b))
     )
 
 

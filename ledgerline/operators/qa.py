@@ -20,7 +20,7 @@ Rule = tuple[Column, str, str, Column]
 
 # The outlier rule below its minimum row count.
 SMALL_BATCH_ROWS, SMALL_BATCH_CENTS = 20, 200_000
-_BIN_BITS = 21
+_BIN_BITS = (42, 21)
 
 
 def flag_rows(df: DataFrame, record_type: str, rules: Sequence[Rule], created_at: str) -> DataFrame:
@@ -75,26 +75,30 @@ def weekend_rules(df: DataFrame, record_type: str) -> list[Rule]:
 def percentile_99(df: DataFrame) -> DataFrame:
     """One row: ``n`` and ``thr100``, a hundred times the exact 99th percentile.
 
-    The built-in exact percentile merges every distinct value in one task.  Here a first pass
-    counts rows per bin of 2**21 cents and finds the bin with the wanted rank; a second pass
-    counts the values of that bin alone.  Both running sums see at most one row per bin or per
-    value within a bin.  Linear interpolation at rank (n - 1) * 0.99 has two decimals, so it
+    The built-in exact percentile merges every distinct value in one task.  Here passes count
+    rows per bin of 2**42 and then, within the bin that holds the wanted rank, of 2**21 cents; a
+    last pass counts the values of that bin alone.  So every running sum sees at most 2**22 rows,
+    whatever the amounts.  Linear interpolation at rank (n - 1) * 0.99 has two decimals, so it
     is done in integers.
     """
     cents = df.select(F.col("amount_cents").try_cast("bigint").alias("v")).filter("v is not null")
-    in_bin = F.shiftright("v", _BIN_BITS)
-    bins = cents.groupBy(in_bin.alias("bin")).agg(F.count("*").alias("c"), F.min("v").alias("low"))
-    ranked = bins.selectExpr(
-        "bin", "c",
-        "sum(c) over () as n",
-        "sum(c) over (order by bin) - c as before",
-        "lead(low) over (order by bin) as next_low",
-    ).selectExpr("*", "((n - 1) * 99) div 100 as rank", "((n - 1) * 99) % 100 as rest")
-    pick = ranked.filter("rank >= before and rank < before + c")
-    picked = pick.select(F.struct("bin", "before", "rank", "rest", "next_low", "n").alias("p")).scalar()
+    picked, rows = None, cents
+    for bits in _BIN_BITS:
+        bins = rows.groupBy(F.shiftright("v", bits).alias("bin")).agg(F.count("*").alias("c"), F.min("v").alias("low"))
+        ranked = bins.selectExpr(
+            "bin", "c", "sum(c) over () as n", "sum(c) over (order by bin) - c as before", "lead(low) over (order by bin) as next_low",
+        )
+        if picked is None:
+            ranked = ranked.selectExpr("*", "((n - 1) * 99) div 100 as rank", "((n - 1) * 99) % 100 as rest")
+        else:  # ranks and the next value count on from the wider bin
+            ranked = ranked.withColumn("w", picked).selectExpr(
+                "bin", "c", "w.n as n", "before + w.before as before", "coalesce(next_low, w.next_low) as next_low",
+                "w.rank as rank", "w.rest as rest")
+        chosen = ranked.filter("rank >= before and rank < before + c")
+        picked = chosen.select(F.struct("bin", "before", "rank", "rest", "next_low", "n").alias("p")).scalar()
+        rows = cents.filter(F.shiftright("v", bits) == picked.getField("bin"))
     values = (
-        cents.filter(in_bin == picked.getField("bin"))
-        .groupBy("v").agg(F.count("*").alias("c"))
+        rows.groupBy("v").agg(F.count("*").alias("c"))
         .selectExpr("v", "c", "sum(c) over (order by v) - c as upto", "lead(v) over (order by v) as next_v")
         .withColumn("p", picked)
         .selectExpr("*", "p.rank - p.before as r")

@@ -27,7 +27,7 @@ def facts(spark, rows):
 
 
 @pytest.mark.parametrize("values", [
-    list(range(1, 38)), [5] * 30, [-7, 3_000_000, 9_000_000] * 9, [1] * 99 + [10**12], [1], [0] * 20,
+    list(range(1, 38)), [5] * 30, [-7, 3_000_000, 9_000_000] * 9, [1] * 99 + [10**12], [1], [0] * 20, [2**62 - i for i in range(30)] + [-2**62] * 3,
 ])
 def test_percentile(spark, values):
     row = qa.percentile_99(spark.createDataFrame([(v,) for v in values], "amount_cents bigint")).first()
