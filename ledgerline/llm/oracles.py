@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from ledgerline.llm import url_filters
 from ledgerline.llm.quality_rules import RULES, STOP_WORDS
+from ledgerline.llm.queries import URL_RULES
 
 OP1 = r"""
 WITH turns AS (
@@ -74,4 +76,65 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, kept, broken FROM judged
 """
 
-ORACLES = {"op1_chat_format": OP1, "op8_quality_rules": OP8}
+def _url_sql() -> str:
+    u = url_filters
+    levels = [f"t{k}" for k in range(u.DEPTH + 1)]
+    firsts = [f"g{k}" for k in range(u.DEPTH + 1)]
+    named = ", ".join(f"coalesce(cut[{k + 1}], '') AS g{k}" for k in range(u.DEPTH))
+    ctes = [rf"""
+labelled AS (SELECT doc_id, max((quality = 0 OR toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{u.UPPER}', '{u.LOWER}') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)),
+cuts AS (
+  SELECT *, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s:
+      CASE WHEN regexp_matches(regexp_replace(s, '\.[A-Za-z]{{2,5}}$', ''), '{u.VARIABLE}') THEN '*' ELSE s END) AS cut,
+    TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})(?:[./]|$)', 1) AS BIGINT) AS doc_id FROM parts),
+urls AS (
+  SELECT page_id, host, path, {named}, CASE WHEN len(cut) > {u.DEPTH} THEN '**' ELSE '' END AS g{u.DEPTH}, l.bad
+  FROM cuts c LEFT JOIN labelled l ON l.doc_id = c.doc_id),
+tree_0 AS (
+  SELECT host, {', '.join(firsts)}, {', '.join(f'{g} AS {t}' for g, t in zip(firsts, levels))}, count(*) AS n,
+    count(bad) AS labelled, count(*) FILTER (bad = 1) AS bad FROM urls GROUP BY ALL)"""]
+    for step in range(2 * u.DEPTH):
+        k, last, here = step % u.DEPTH, f"tree_{step}", f"tree_{step + 1}"
+        parent, key = ", ".join(["host", *levels[:k]]), ", ".join(["host", *levels[:k + 1]])
+        if step < u.DEPTH:
+            marked, sums = "*", "sum(n) AS c"
+            window = f"sum(c) OVER p AS whole, count(*) OVER p AS siblings"
+            rule = f"siblings >= {u.MANY_SIBLINGS} AND c < {u.RARE_SHARE} * whole"
+        else:
+            marked, sums = "~", "sum(labelled)::DOUBLE AS l, sum(bad)::DOUBLE AS b"
+            window = "sum(l) OVER p AS ls, sum(b) OVER p AS bs, count(*) OVER p AS siblings"
+            gap = "abs(b / l - (bs - b) / (ls - l))"
+            error = "sqrt((bs / ls) * (1 - bs / ls) * (1 / l + 1 / (ls - l)))"
+            rule = f"siblings > 1 AND NOT CASE WHEN l > 0 AND ls - l > 0 THEN {gap} > {u.SIGNIFICANT} * {error} ELSE false END"
+        ctes.append(f"""
+mark_{step} AS (
+  SELECT {key} FROM (SELECT *, {window} FROM (SELECT {key}, {sums} FROM {last} GROUP BY ALL) WINDOW p AS (PARTITION BY {parent}))
+  WHERE {levels[k]} <> '' AND {rule}),
+{here} AS (
+  SELECT t.* REPLACE (CASE WHEN m.host IS NOT NULL THEN '{marked}' ELSE t.{levels[k]} END AS {levels[k]})
+  FROM {last} t LEFT JOIN mark_{step} m ON {' AND '.join(f't.{c} = m.{c}' for c in ['host', *levels[:k + 1]])})""")
+    fits = lambda r: f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))"
+    ordered = sorted(URL_RULES, key=lambda r: (-len(r.name), r.name))
+    case = lambda field: "CASE " + " ".join(f"WHEN {fits(r)} THEN '{getattr(r, field)}'" for r in ordered)
+    leaf = ", ".join(["host", *levels])
+    listed = ", ".join(levels)
+    return f"""
+WITH {','.join(ctes)},
+shares AS (
+  SELECT *, (sum(bad) OVER (PARTITION BY {leaf}) + {u.PRIOR} * host_share) / (sum(labelled) OVER (PARTITION BY {leaf}) + {u.PRIOR}) AS share
+  FROM (SELECT *, (sum(bad) OVER (PARTITION BY host) + {u.PRIOR} * coalesce(sum(bad) OVER () / nullif(sum(labelled) OVER (), 0), 0))
+      / (sum(labelled) OVER (PARTITION BY host) + {u.PRIOR}) AS host_share FROM tree_{2 * u.DEPTH}))
+SELECT page_id, host, path, {case('name')} END AS rule,
+  {case('verdict')} WHEN share > {u.REJECT} THEN 'block' ELSE 'allow' END AS verdict,
+  '/' || array_to_string(list_filter([{listed}], lambda t: t <> ''), '/') AS template, round(share, 6) AS bad_share
+FROM urls JOIN shares USING (host, {', '.join(firsts)})
+"""
+
+
+OP10 = _url_sql()
+
+ORACLES = {"op1_chat_format": OP1, "op8_quality_rules": OP8, "op10_url_filters": OP10}
