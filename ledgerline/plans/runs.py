@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
+from collections.abc import Callable
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,7 +21,7 @@ from ..operators.reports import (
     exceptions_by_code, match_rate_by_month, spend_by_month_vendor, top_vendors, with_matched,
 )
 from ..schemas import ID_COLUMN
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from ..sources.files import ingest
 from ..sources.publish import DATASETS, export_stages, publish
 from ..sources.rules import load_aliases, load_policy_rules
@@ -30,6 +31,17 @@ from .ledgers import (
 )
 
 
+def _stage(run: Callable[[Run], None]) -> Callable[[Run], None]:
+    """A stage stores its results, so what it wrote on the way can go."""
+
+    @wraps(run)
+    def scoped(self: Run) -> None:
+        with scratch_scope(self.spark, run.__name__):
+            run(self)
+
+    return scoped
+
+
 def add_vendors(store: Store, norms: list[DataFrame], batch_id: str, now: str) -> None:
     """Vendors are only added: facts of other batches may point to those that this batch once brought."""
     existing = store.table("dim_vendor") if store.exists("dim_vendor") else None
@@ -59,6 +71,7 @@ class Run:
             if self.store.exists(table, self.batch_id):
                 yield name, self.store.batch(table, self.batch_id)
 
+    @_stage
     def ingest(self) -> None:
         registries = []
         for name, source in self.project.sources.items():
@@ -71,6 +84,7 @@ class Run:
         if registries:
             self.store.replace("ingest_files", self.batch_id, reduce(DataFrame.unionByName, registries))
 
+    @_stage
     def map(self) -> None:
         for name, raw in self._source("stg", "_raw"):
             out = self.store.replace(
@@ -78,11 +92,13 @@ class Run:
             )
             self.store.append("mapping_runs", map_ledger(out, name, self.now))
 
+    @_stage
     def clean(self) -> None:
         for name, mapped in self._source("stg", "_mapped"):
             out = self.store.replace(f"clean_{name}", self.batch_id, clean(mapped))
             self.store.append("cleaning_runs", clean_ledger(out, name, self.now))
 
+    @_stage
     def normalize(self) -> None:
         rules = load_aliases(self.spark, self.project.path(self.project.vendor_aliases_path))
         for name, cleaned in self._source("clean"):
@@ -93,6 +109,7 @@ class Run:
             self.store.append("normalization_runs", normalize_ledger(
                 out, name, self.now, self.project.vendor_aliases_path if rules else None))
 
+    @_stage
     def model(self) -> None:
         norms, ledgers = [], []
         for name, norm in self._source("norm"):
@@ -112,12 +129,14 @@ class Run:
             self.store.batch(f"fact_{name}", self.batch_id) if self.store.exists(f"fact_{name}", self.batch_id)
             else empty_fact(self.spark, name) for name in ID_COLUMN)
 
+    @_stage
     def qa(self) -> None:
         rules = load_policy_rules(self.spark, self.project.path(self.project.policy_rules_path))
         self.store.replace("qa_flags", self.batch_id, qa_flags(*self._facts(), rules, self.now))
         self.store.replace("qa_runs", self.batch_id, qa_ledger(
             self.spark, self.batch_id, self.now, self.project.policy_rules_path))
 
+    @_stage
     def match(self) -> None:
         tx, pay = self._facts()
         cfg = self.project.matching
@@ -125,6 +144,7 @@ class Run:
         matches = self.store.replace("matches", self.batch_id, assign(tx, pay, cfg, self.batch_id, self.now))
         self.store.replace("matching_runs", self.batch_id, match_ledger(tx, pay, matches, cfg, self.batch_id, self.now))
 
+    @_stage
     def exceptions(self) -> None:
         flags, matches = self.store.batch("qa_flags", self.batch_id), self.store.batch("matches", self.batch_id)
         found = self.store.replace("exceptions", self.batch_id, exceptions(
@@ -132,6 +152,7 @@ class Run:
             self.batch_id, self.now))
         self.store.replace("exception_runs", self.batch_id, exception_ledger(found, self.batch_id, self.now))
 
+    @_stage
     def report(self) -> None:
         tx, _ = self._facts()
         flagged = with_matched(tx, self.store.batch("matches", self.batch_id))

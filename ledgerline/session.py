@@ -5,6 +5,9 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +45,25 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_SCOPE: ContextVar[str] = ContextVar("scope", default="")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, within the folder of the scope where there is one."""
+    return f"{shared_dir(spark)}/ledgerline/{_SCOPE.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Written tables of the block go when it ends: for steps that have stored their results by then."""
+    folder = f"{_SCOPE.get()}{name}-{uuid.uuid4().hex}/"
+    token = _SCOPE.set(folder)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/ledgerline/{folder}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline import session
 from ledgerline.config import DEFAULT_SOURCES, Project
 from ledgerline.plans.ledgers import stage_counts
 from ledgerline.plans.runs import Run
@@ -182,7 +183,8 @@ def test_one_feed_and_a_third_source(spark, tmp_path, project):
     assert combine_folder(spark, f"{tmp_path}/one/out/csv/stg_transactions_raw").count() == 2
 
 
-def test_rerun_keeps_vendors_of_other_batches(spark, tmp_path):
+def test_rerun_keeps_vendors_of_other_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: f"{tmp_path}/shared")
     def feed(root, vendor):
         write(tmp_path, "r/data/raw/transactions_x.csv", f"Merchant,Post Date,Amount\n{vendor},2025-12-02,5\n")
         run = Run(spark, Project(root=f"{tmp_path}/r", sources=DEFAULT_SOURCES), NOW, root)
@@ -192,6 +194,7 @@ def test_rerun_keeps_vendors_of_other_batches(spark, tmp_path):
     for batch, vendor in (("p1", "Acme"), ("p2", "Acme"), ("p1", "Beta")):
         store = feed(batch, vendor)
     assert {r.vendor_canonical for r in store.table("dim_vendor").collect()} == {"Acme", "Beta"}
+    assert [f for f in (tmp_path / "shared").rglob("*") if f.is_file()] == [], "stages leave no scratch"
     facts = store.table("fact_transactions")
     assert facts.join(store.table("dim_vendor"), "vendor_id", "left_anti").count() == 0
 
