@@ -156,9 +156,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 LONG_BYTES, POSTED_BYTES, POSTINGS = 128, 3, 128
 #: A text is compared with so many before it in each list: short lists are compared whole, and in a
 #: longer one each text still meets others of its group in each of its lists.
-NEIGHBOURS = 12
-#: Of those, so many nearest ones of any one group: a text beside a large group meets other members in its other lists.
-OF_ONE_GROUP = 3
+NEIGHBOURS = 8
+#: Of those, so many nearest of any one group: a text beside a large group meets other members in its other lists.
+OF_ONE_GROUP = 1
 #: Fewest positional bytes that a pair must share before its bits are compared.
 LEAST_SHARED = 12
 #: What the similarity that long fingerprints show is off by at most, nearly always.
@@ -238,15 +238,16 @@ def _similar(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def similar_pairs(prints: DataFrame, similarity: float, neighbours: int) -> DataFrame:
+def similar_pairs(prints: DataFrame, similarity: float, neighbours: int, postings: int = POSTINGS) -> DataFrame:
     """Rows u, v, bits: nodes of different roots whose long fingerprints (columns node, root, print) show this similarity.
 
-    Texts meet where they share a set of positional bytes, and each is compared with so many
-    before it in such a list.
+    Texts meet where they share a set of positional bytes, of the first so many sets, and each
+    is compared with so many before it in such a list.
     """
     ordered = Window.partitionBy("posting").orderBy("node")
     before = F.array_compact(F.array(*[F.lag(F.struct("node", "root"), k).over(ordered) for k in range(1, neighbours + 1)]))
-    met = _posted(prints).select("node", "root", before.alias("before")).where(F.size("before") > 0)
+    posted = _posted(prints).where(F.shiftright("posting", 8 * POSTED_BYTES) < postings)
+    met = posted.select("node", "root", before.alias("before")).where(F.size("before") > 0)
     nearer = lambda x, i: F.size(F.filter(F.slice("before", F.lit(1), i), lambda y: y["root"] == x["root"]))
     others = met.select("node", F.filter(
         "before", lambda x, i: (x["root"] != F.col("root")) & (nearer(x, i) < OF_ONE_GROUP)).alias("others"))
@@ -260,15 +261,15 @@ def similar_pairs(prints: DataFrame, similarity: float, neighbours: int) -> Data
 def similar_groups(prints: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """Rows node, root of nodes that have similar ones; prints has node and print, texts node and text.
 
-    First each text is compared with the one before it in each of its lists, which connects
+    First each text is compared with the one before it in half of its lists, which connects
     most of a group, however large, by pairs in proportion to its texts.  Then it is compared
     with ``NEIGHBOURS`` before it that the first links left in other groups.
     """
     roots = prints.select("node", F.col("node").alias("root")).limit(0)
     links = None
-    for neighbours in (1, NEIGHBOURS):
+    for neighbours, postings in ((1, POSTINGS // 2), (NEIGHBOURS, POSTINGS)):
         rooted = prints.join(roots, "node", "left").select("node", "print", F.coalesce("root", "node").alias("root"))
-        pairs = materialize(similar_pairs(rooted, similarity - MARGIN, neighbours), "similar-pairs")
+        pairs = materialize(similar_pairs(rooted, similarity - MARGIN, neighbours, postings), "similar-pairs")
         links = _links(pairs, links, texts, words, similarity)
         roots = components(links)
     return roots
