@@ -24,6 +24,7 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -154,15 +155,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: Bytes of a long fingerprint, how many positional bytes make a posting, and how many postings there are.
 LONG_BYTES, POSTED_BYTES, POSTINGS = 128, 3, 128
-#: A text is compared with so many before it in each list: short lists are compared whole, and in a
-#: longer one each text still meets others of its group in each of its lists.
-NEIGHBOURS = 8
-#: Of those, so many nearest of any one group: a text beside a large group meets other members in its other lists.
+#: Of the texts before a text in a list that it is compared with, so many nearest of any one group: a text beside a large group meets other members in its other lists.
 OF_ONE_GROUP = 1
 #: Fewest positional bytes that a pair must share before its bits are compared.
 LEAST_SHARED = 12
 #: What the similarity that long fingerprints show is off by at most, nearly always.
 MARGIN = 0.06
+#: Shingles are ordered by the counts of so many buckets over one in so many texts.
+ORDER_BUCKETS, ORDER_SAMPLE = 1 << 18, 8
 
 _MIX = np.random.Generator(np.random.PCG64(SEED)).integers(1, 1 << 63, LONG_BYTES // 8, np.uint64) | np.uint64(1)
 _PLACES = np.array([[i, (i + 37) % LONG_BYTES, (i + 90) % LONG_BYTES] for i in range(POSTINGS)])
@@ -258,41 +258,129 @@ def similar_pairs(prints: DataFrame, similarity: float, neighbours: int, posting
     return _compared(tallied.join(a, "u").join(b, "v").select("u", "v", "a", "b"), most_bits(similarity))
 
 
-def similar_groups(prints: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Rows node, root of nodes that have similar ones; prints has node and print, texts node and text.
+def shingle_counts(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
+    """In how many texts of a sample the shingles of each of ``ORDER_BUCKETS`` buckets are: a table of fixed size."""
+    import pyarrow as pa
 
-    First each text is compared with the one before it in half of its lists, which connects
-    most of a group, however large, by pairs in proportion to its texts.  Then it is compared
-    with ``NEIGHBOURS`` before it that the first links left in other groups.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(ORDER_BUCKETS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                counts += np.bincount(_order_bucket(np.unique(shingle_hashes(x.as_py(), words))), minlength=ORDER_BUCKETS)
+        used = np.nonzero(counts)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
+
+    sample = docs.select(text_col).where(F.pmod(F.xxhash64(text_col), F.lit(ORDER_SAMPLE)) == 0)
+    found = sample.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(ORDER_BUCKETS, np.int64)
+    table[found["bucket"].to_numpy()] = found["n"].to_numpy()
+    return table
+
+
+def _order_bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(ORDER_BUCKETS - 1)).astype(np.int64)
+
+
+def prefix(unique: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a text, rare ones first: two texts of this similarity share one of them.
+
+    They have at least similarity * size shingles in common, so the first common one in the order
+    comes before so many others of either text.  Any order that all texts share will do.
+    """
+    order = np.lexsort((unique, counts[_order_bucket(unique)]))
+    return unique[order[:len(unique) - math.ceil(similarity * len(unique) - 1e-6) + 1]]
+
+
+def size_counts(unique: np.ndarray) -> bytes:
+    """How many shingles fall in each of 256 parts, modulo 256."""
+    return np.bincount((unique >> np.uint64(56)).astype(np.int64), minlength=256).astype(np.uint8).tobytes()
+
+
+def _possible(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose counts (columns a, b; sizes n, m) don't rule out this similarity: differing shingles are at least the counts' differences."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, 256) for c in "ab")
+            least = np.minimum(a - b, b - a).sum(axis=1, dtype=np.int64)
+            both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            near = least <= both * (1 - similarity) / (1 + similarity) + 1e-6
+            yield batch.select(["u", "v", "shared"]).filter(pa.array(near))
+
+    return pairs.mapInArrow(run, "u long, v long, shared long")
+
+
+def met_pairs(marks: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Rows u, v, shared: every pair of nodes of different roots that may have this similarity.
+
+    marks has node, size, counts and prefix.  Nodes meet where their prefixes share a shingle, so no
+    pair of this similarity is left out; pairs go by bounds that hold for all of them.
+    """
+    rooted = marks.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "size", "prefix")
+    posted = rooted.select("node", "root", "size", F.posexplode("prefix").alias("place", "shingle"))
+    of_one = Window.partitionBy("shingle")
+    several = materialize(posted.withColumn("least", F.min("root").over(of_one)).withColumn("most", F.max("root").over(of_one)).where(
+        "least < most").drop("least", "most"), "shared-prefixes")
+    a, b = (several.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size", "place")]) for x in "uv")
+    sizes = F.least("size_u", "size_v") >= similarity * F.greatest("size_u", "size_v") - 1e-6
+    # Common shingles are at most those up to this one and those after it.
+    most = F.least("place_u", "place_v") + 1 + F.least(F.col("size_u") - F.col("place_u"), F.col("size_v") - F.col("place_v")) - 1
+    enough = most >= similarity / (1 + similarity) * (F.col("size_u") + F.col("size_v")) - 1e-6
+    pairs = a.join(b, "shingle").where((F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & sizes & enough)
+    tallied = pairs.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v")).agg(F.count(F.lit(1)).alias("shared"))
+    of = lambda x, c, n: marks.select(F.col("node").alias(x), F.col("counts").alias(c), F.col("size").alias(n))
+    return _possible(tallied.join(of("u", "a", "n"), "u").join(of("v", "b", "m"), "v"), similarity)
+
+
+def settle(links: DataFrame, marks: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Rows node, root after every pair of this similarity is linked, from the links found so far.
+
+    Of the pairs that may be similar, the one that shares most for each node is compared first; then
+    all that still are in different groups are.
     """
-    roots = prints.select("node", F.col("node").alias("root")).limit(0)
-    links = None
-    for neighbours, postings in ((1, POSTINGS // 2), (NEIGHBOURS, POSTINGS)):
-        rooted = prints.join(roots, "node", "left").select("node", "print", F.coalesce("root", "node").alias("root"))
-        pairs = materialize(similar_pairs(rooted, similarity - MARGIN, neighbours, postings), "similar-pairs")
-        links = _links(pairs, links, texts, words, similarity)
+    roots = components(links)
+    pairs = materialize(met_pairs(marks, roots, similarity), "met-pairs")
+    best = pairs.groupBy("v").agg(F.max_by("u", "shared").alias("u")).select("u", "v")
+    for asked in (best, pairs.select("u", "v")):
+        links = materialize(links.unionByName(_confirmed(asked, roots, texts, words, similarity)), "links-so-far")
         roots = components(links)
     return roots
 
 
-def _links(pairs: DataFrame, links: DataFrame | None, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links u, v from earlier links and new pairs.
+def _confirmed(pairs: DataFrame, roots: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Of the pairs u, v that would join different groups, those whose texts have this similarity."""
+    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    asked = materialize(pairs.join(root("u"), "u", "left").join(root("v"), "v", "left").where(
+        F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v"), "unsure-pairs")
+    nodes = asked.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    said = materialize(texts.join(nodes, "node", "left_semi").select("node", "text"), "asked-texts")
+    a = said.select(F.col("node").alias("u"), F.col("text").alias("a"))
+    b = said.select(F.col("node").alias("v"), F.col("text").alias("b"))
+    return _similar(asked.join(a, "u").join(b, "v").select("u", "v", "a", "b"), words, similarity)
+
+
+def similar_groups(prints: DataFrame, marks: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Rows node, root of nodes that have similar ones; prints has node and print, texts node and text.
+
+    First each text is compared with the one before it in half of its lists, which connects
+    most of a group, however large, by pairs in proportion to its texts.  That only saves pairs:
+    what it leaves in different groups is settled exactly.
+    """
+    rooted = prints.select("node", "print", F.col("node").alias("root"))
+    pairs = materialize(similar_pairs(rooted, similarity - MARGIN, 1, POSTINGS // 2), "similar-pairs")
+    return settle(_links(pairs, texts, words, similarity), marks, texts, words, similarity)
+
+
+def _links(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links u, v from pairs u, v, bits.
 
     Pairs whose fingerprints show a similarity well above the wanted one are linked; of those
     around it, the pairs that would join different groups are compared by their texts.
     """
     sure = F.col("bits") <= most_bits(similarity + MARGIN)
     found = pairs.where(sure).select("u", "v")
-    found = found if links is None else links.unionByName(found)
-    near = components(found)
-    root = lambda c: near.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-    asked = materialize(pairs.where(~sure).join(root("u"), "u", "left").join(root("v"), "v", "left").where(
-        F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v"), "unsure-pairs")
-    nodes = asked.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    said = materialize(texts.join(nodes, "node", "left_semi").select("node", "text"), "asked-texts")
-    a = said.select(F.col("node").alias("u"), F.col("text").alias("a"))
-    b = said.select(F.col("node").alias("v"), F.col("text").alias("b"))
-    similar = _similar(asked.join(a, "u").join(b, "v").select("u", "v", "a", "b"), words, similarity)
+    similar = _confirmed(pairs.where(~sure).select("u", "v"), components(found), texts, words, similarity)
     return materialize(found.unionByName(similar), "links-so-far")
 
 
@@ -304,20 +392,31 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """
     import pyarrow as pa
 
-    name, row = fresh(docs, "long_fingerprint", "row")
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())])
+    name, size, parts, first, row = fresh(docs, "long_fingerprint", "size", "counts", "prefix", "row")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType()), T.StructField(size, T.LongType()),
+                           T.StructField(parts, T.BinaryType()), T.StructField(first, T.ArrayType(T.LongType()))])
+    shared = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, text_col, words))
+
+    def marks_of(text: str | None) -> tuple:
+        hashes = shingle_hashes(text, words)
+        unique = np.unique(hashes)
+        return long_fingerprint(hashes), len(unique), size_counts(unique), prefix(unique, shared.value, similarity).view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
-            values = [long_fingerprint(shingle_hashes(x.as_py(), words)) for x in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.binary())], names=[*batch.schema.names, name])
+            values = [marks_of(x.as_py()) for x in texts]
+            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            made = [pa.array([v[i] for v in values], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, name, size, parts, first])
 
     # Written, so that row numbers stay.
     rows = materialize(docs.mapInArrow(run, schema).withColumn(row, F.monotonically_increasing_id()), "long-fingerprints")
     order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row"))
     classes = materialize(rows.groupBy(F.col(name).alias("print")).agg(F.min(row).alias("node"), F.min(order).alias("first")), "classes")
     texts = rows.select(F.col(row).alias("node"), F.col(text_col).alias("text"))
-    roots = similar_groups(classes, texts, words, similarity)
+    marks = rows.select(F.col(row).alias("node"), F.col(size).alias("size"), F.col(parts).alias("counts"), F.col(first).alias("prefix")).join(
+        classes.select("node"), "node", "left_semi")
+    roots = similar_groups(classes, marks, texts, words, similarity)
     kept = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("first").alias("first"))
-    return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").drop(name, row)
+    return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").drop(name, size, parts, first, row)

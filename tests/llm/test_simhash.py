@@ -125,3 +125,39 @@ def test_long_fingerprints_show_similarity():
             a, b = (np.frombuffer(simhash.long_fingerprint(x), np.uint8) for x in (both, other))
             off.append(int(np.bitwise_count(a ^ b).sum()) - simhash.most_bits(similarity))
         assert abs(np.mean(off)) < 12
+
+
+def plain_kept(rows, similarity=0.8):
+    """Ids of rows without a similar one before them in their component, over all pairs."""
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for _, t, _ in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(a & b)
+            if both >= similarity * (len(a) + len(b) - both):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [rows[i][0] for i in range(len(rows)) if find(i) == i]
+
+
+def test_every_pair_at_the_threshold_is_found(frame):
+    """Pairs of a similarity of just 0.8 and just below, far apart among texts that share a passage."""
+    rnd = random.Random(11)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    passage, bases, rows = words(60), [], []
+    for _ in range(120):
+        bases.append(words(60) + passage + words(60))
+    changed = [list(b) for b in bases]
+    for k, text in enumerate(changed):
+        at = rnd.randrange(10, 30)
+        text[at:at + 15 + k % 3] = words(15 + k % 3)  # 19 to 21 shingles of 176
+    rows = [(i, " ".join(t), "s") for i, t in enumerate(bases + changed)]
+    want = plain_kept(rows)
+    assert 120 < len(want) < 240
+    assert sorted(r.doc_id for r in simhash.keep_one(frame(rows)).collect()) == want
