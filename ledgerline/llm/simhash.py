@@ -291,6 +291,11 @@ def prefix(unique: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndar
     return unique[order[:len(unique) - math.ceil(similarity * len(unique) - 1e-6) + 1]]
 
 
+def shingle_digest(unique: np.ndarray) -> bytes:
+    """Of the set of shingles, so that only texts of equal sets have it in common."""
+    return xxhash.xxh3_128_digest(unique.tobytes())
+
+
 def size_counts(unique: np.ndarray) -> bytes:
     """How many shingles fall in each of 256 parts, modulo 256."""
     return np.bincount((unique >> np.uint64(56)).astype(np.int64), minlength=256).astype(np.uint8).tobytes()
@@ -373,15 +378,13 @@ def similar_groups(prints: DataFrame, marks: DataFrame, texts: DataFrame, words:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links u, v from pairs u, v, bits.
+    """Links u, v whose texts have this similarity, of pairs u, v, bits: for each v the nearest u before it.
 
-    Pairs whose fingerprints show a similarity well above the wanted one are linked; of those
-    around it, the pairs that would join different groups are compared by their texts.
+    These are at most as many as texts, and enough to span a group whose members are that near.
     """
-    sure = F.col("bits") <= most_bits(similarity + MARGIN)
-    found = pairs.where(sure).select("u", "v")
-    similar = _confirmed(pairs.where(~sure).select("u", "v"), components(found), texts, words, similarity)
-    return materialize(found.unionByName(similar), "links-so-far")
+    nearest = pairs.groupBy("v").agg(F.min(F.struct("bits", "u")).alias("near")).select("near.u", "v")
+    none = nearest.select(F.col("u").alias("node"), F.col("u").alias("root")).limit(0)
+    return materialize(_confirmed(nearest, none, texts, words, similarity), "links-so-far")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -392,31 +395,34 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """
     import pyarrow as pa
 
-    name, size, parts, first, row = fresh(docs, "long_fingerprint", "size", "counts", "prefix", "row")
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType()), T.StructField(size, T.LongType()),
+    name, digest, size, parts, first, row = fresh(docs, "long_fingerprint", "digest", "size", "counts", "prefix", "row")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType()), T.StructField(digest, T.BinaryType()), T.StructField(size, T.LongType()),
                            T.StructField(parts, T.BinaryType()), T.StructField(first, T.ArrayType(T.LongType()))])
     shared = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, text_col, words))
 
     def marks_of(text: str | None) -> tuple:
         hashes = shingle_hashes(text, words)
         unique = np.unique(hashes)
-        return long_fingerprint(hashes), len(unique), size_counts(unique), prefix(unique, shared.value, similarity).view(np.int64)
+        return long_fingerprint(hashes), shingle_digest(unique), len(unique), size_counts(unique), prefix(unique, shared.value, similarity).view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             values = [marks_of(x.as_py()) for x in texts]
-            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            kinds = (pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
             made = [pa.array([v[i] for v in values], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, name, size, parts, first])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, name, digest, size, parts, first])
 
     # Written, so that row numbers stay.
     rows = materialize(docs.mapInArrow(run, schema).withColumn(row, F.monotonically_increasing_id()), "long-fingerprints")
     order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row"))
-    classes = materialize(rows.groupBy(F.col(name).alias("print")).agg(F.min(row).alias("node"), F.min(order).alias("first")), "classes")
+    # Texts of equal shingle sets are one node; their fingerprints may differ where shingles repeat.
+    classes = materialize(rows.groupBy(digest).agg(
+        F.min(F.struct(F.col(row).alias("node"), F.col(name).alias("print"))).alias("c"), F.min(order).alias("first"),
+    ).select("c.node", "c.print", "first"), "classes")
     texts = rows.select(F.col(row).alias("node"), F.col(text_col).alias("text"))
     marks = rows.select(F.col(row).alias("node"), F.col(size).alias("size"), F.col(parts).alias("counts"), F.col(first).alias("prefix")).join(
         classes.select("node"), "node", "left_semi")
     roots = similar_groups(classes, marks, texts, words, similarity)
     kept = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("first").alias("first"))
-    return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").drop(name, size, parts, first, row)
+    return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").drop(name, digest, size, parts, first, row)

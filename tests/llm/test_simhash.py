@@ -161,3 +161,16 @@ def test_every_pair_at_the_threshold_is_found(frame):
     want = plain_kept(rows)
     assert 120 < len(want) < 240
     assert sorted(r.doc_id for r in simhash.keep_one(frame(rows)).collect()) == want
+
+
+def test_no_link_without_the_texts(frame, monkeypatch):
+    """Fingerprints that claim too much join nothing: here all are equal."""
+    monkeypatch.setattr(simhash, "long_fingerprint", lambda hashes: bytes(simhash.LONG_BYTES))
+    rnd = random.Random(5)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for k in range(12):  # 25 shingles; the second shares 22 of them (0.786), the third 23 (0.85)
+        text = words(29)
+        rows += [(3 * k + i, " ".join(text[:29 - n] + words(n)), "s") for i, n in enumerate((0, 3, 2))]
+    kept = sorted(r.doc_id for r in simhash.keep_one(frame(rows)).collect())
+    assert kept == plain_kept(rows) and {3 * k + 1 for k in range(12)} <= set(kept)
