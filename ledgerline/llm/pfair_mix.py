@@ -6,11 +6,11 @@ that may be placed, the one with the earliest deadline takes the next slot.  Wit
 sum to one every deadline is met, so after any number of slots a source has less than one block
 more or less than its share.
 
-Weights are rounded to multiples of 1 / ``PERIOD``, so the schedule repeats after PERIOD slots
-and a block's slot follows from its number by division.  The driver schedules one period for
-each phase; a phase ends where a source runs out, and the weights of the others are scaled up.
-What the driver handles and broadcasts is bounded by ``MOST_SOURCES`` squared rows and
-MOST_SOURCES * PERIOD numbers, whatever the number of documents.
+Weights are exact ratios of whole numbers, so this holds for the target weights themselves after
+any number of slots.  A phase ends where a source runs out, and the weights of the others are
+scaled up.  One task hands out the slots, one for each block, in constant memory and a few
+microseconds a slot, and writes them as a table; blocks are joined to it.  The driver holds and
+broadcasts a row for each of at most ``MOST_SOURCES`` sources, whatever the number of documents.
 
 Rows are numbered within a source without gathering it: hash buckets of about ``BUCKET`` rows
 are counted, the counts are summed up, and rows are numbered within their bucket.
@@ -24,14 +24,18 @@ columns stay, a new column gets another name if its name is taken.
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
-from collections.abc import Iterable
+import math
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import count, islice
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.llm.common import fresh
+from ledgerline.session import materialize, ship_functions
+
+ship_functions(__name__)
 
 PERIOD = 1024
 MOST_SOURCES = 256
@@ -40,55 +44,79 @@ BUCKET = 2048
 
 
 def shares(weights: dict, period: int = PERIOD) -> dict:
-    """Whole slots of a period for each source, at least one, by largest remainder."""
-    total = sum(weights.values())
-    spare = period - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    slots = {s: 1 + int(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], str(s)))[: period - sum(slots.values())]:
-        slots[s] += 1
-    return slots
-
-
-def schedule(slots: dict, period: int = PERIOD) -> dict[object, list[int]]:
-    """For each source the places of its blocks within a period: earliest deadline first among released blocks."""
-    names = sorted(slots, key=str)
-    waiting = sorted((-(-0 * period // slots[s]), k, 1) for k, s in enumerate(names))
-    heapq.heapify(waiting)
+    """Exact slots of a period for each source, at least one; to look at one period, the mix goes by the weights themselves."""
+    left, spare, slots = {s: Fraction(w) for s, w in weights.items()}, Fraction(period), {}
+    while True:
+        total = sum(left.values())
+        small = [s for s, w in left.items() if w * spare < total]
+        if not small:
+            return slots | {s: w * spare / total for s, w in left.items()}
+        for s in small:
+            slots[s] = Fraction(1)
+            del left[s]
+        spare -= len(small)
+
+
+def earliest_deadline_first(weights: list[int]) -> Iterator[int]:
+    """The source of each slot, without end: the earliest deadline among released blocks, for exact weights."""
+    total = sum(weights)
+    waiting = [(0, k, 1) for k in range(len(weights))]
     ready: list[tuple[int, int, int]] = []
-    places: dict[object, list[int]] = {s: [] for s in names}
-    for t in range(period):
+    for t in count():
         while waiting and waiting[0][0] <= t:
             _, k, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-i * period // slots[names[k]]), k, i))
+            heapq.heappush(ready, (-(-i * total // weights[k]), k, i))
         deadline, k, i = heapq.heappop(ready)
         assert t < deadline, "a deadline is missed"
-        source = names[k]
-        places[source].append(t)
-        if i < slots[source]:
-            heapq.heappush(waiting, (i * period // slots[source], k, i + 1))
+        yield k
+        heapq.heappush(waiting, (i * total // weights[k], k, i + 1))
+
+
+def schedule(slots: dict, period: int = PERIOD) -> dict[object, list[int]]:
+    """For each source the places of its blocks within a period."""
+    names = sorted(slots, key=str)
+    places: dict[object, list[int]] = {s: [] for s in names}
+    for t, k in enumerate(islice(earliest_deadline_first(whole([slots[s] for s in names])), period)):
+        places[names[k]].append(t)
     return places
 
 
-def phases(blocks: dict, weights: dict, period: int = PERIOD) -> Iterable[tuple[object, int, int, int, list[int]]]:
-    """Source, its first block and the one after its last in a phase, the phase's first slot, places in a period."""
-    used, start = dict.fromkeys(blocks, 0), 0
-    active = {s: w for s, w in weights.items() if blocks.get(s)}
+def whole(weights: list[float | Fraction]) -> list[int]:
+    """Whole numbers in exactly the ratios of the weights."""
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*[w.denominator for w in exact])
+    return [int(w * scale) for w in exact]
+
+
+def slots_of(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int]]:
+    """Source and block of each slot, until every source has run out; sources have blocks and positive weights."""
+    used, ratios = [0] * len(blocks), whole(weights)
+    active = list(range(len(blocks)))
     while active:
-        places = schedule(shares(active, period), period)
+        for k in earliest_deadline_first([ratios[s] for s in active]):
+            s = active[k]
+            yield s, used[s]
+            used[s] += 1
+            if used[s] == blocks[s]:
+                active.remove(s)
+                break
+
+
+def _slots(spark: SparkSession, groups: list[list[tuple[int, int, float]]]) -> DataFrame:
+    """Rows _code, _block, _slot: the slot of each block; groups of (code, blocks, weight) follow one after the other."""
+    import pyarrow as pa
 
-        def last_slot(s: object) -> int:
-            whole, part = divmod(blocks[s] - used[s] - 1, len(places[s]))
-            return whole * period + places[s][part]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            start = 0
+            for codes, blocks, weights in [tuple(zip(*g)) for g in groups if g]:
+                slots = slots_of(blocks, weights)
+                while part := list(islice(slots, 50_000)):
+                    columns = [[codes[s] for s, _ in part], [b for _, b in part], range(start, start + len(part))]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["_code", "_block", "_slot"])
+                    start += len(part)
 
-        length = min(map(last_slot, active)) + 1
-        for s in list(active):
-            placed = length // period * len(places[s]) + bisect_left(places[s], length % period)
-            yield s, used[s], used[s] + placed, start, places[s]
-            used[s] += placed
-            if used[s] >= blocks[s]:
-                del active[s]
-        start += length
+    return materialize(spark.range(0, 1, 1, 1).mapInArrow(run, "_code long, _block long, _slot long"), "slots")
 
 
 def mix(docs: DataFrame, source_col: str = "source", order_cols: tuple[str, ...] = ("doc_id",), weights: dict | None = None,
@@ -103,31 +131,32 @@ def mix(docs: DataFrame, source_col: str = "source", order_cols: tuple[str, ...]
     if len(counts) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     target = {s: (weights.get(s, 0) if weights is not None else n ** power) for s, n in counts.items()}
+    codes = {s: k for k, s in enumerate(sorted(counts, key=str))}
     blocks = {s: -(-n // block) for s, n in counts.items()}
-    plan, start = [], 0
-    for group in ({s: w for s, w in target.items() if w > 0}, {s: counts[s] for s, w in target.items() if not w > 0}):
-        plan += [(s, first, after, start + at, places) for s, first, after, at, places in phases(blocks, group)]
-        start += sum(blocks[s] for s in group)
+    slots = _slots(spark, [[(codes[s], blocks[s], target[s]) for s in codes if target[s] > 0],
+                           [(codes[s], blocks[s], counts[s]) for s in codes if not target[s] > 0]])
     # Structs of the source, so that a null source equals itself.
     key = F.struct(F.col(source_col).cast("string").alias("s"))
-    sizes = spark.createDataFrame([((s,), max(1, -(-n // BUCKET))) for s, n in counts.items()],
-                                  "_source struct<s:string>, _buckets long")
-    places = spark.createDataFrame([((s,), a, b, t, p) for s, a, b, t, p in plan],
-                                   "_source struct<s:string>, _from long, _to long, _start long, _places array<int>")
+    sizes = spark.createDataFrame([((s,), codes[s], max(1, -(-n // BUCKET))) for s, n in counts.items()],
+                                  "_source struct<s:string>, _code long, _buckets long")
     rows = docs.select(F.struct("*").alias("_row"), key.alias("_source"), F.xxhash64(*order_cols).alias("_hash"),
                        F.struct(*order_cols).alias("_order"))
     bucketed = rows.join(F.broadcast(sizes), "_source").select(  # at most MOST_SOURCES rows
-        "_row", "_source", "_hash", "_order", F.pmod("_hash", "_buckets").alias("_bucket"))
-    sums = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = bucketed.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
-        "_source", "_bucket", F.coalesce(F.sum("_n").over(sums), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_source", "_bucket").orderBy("_hash", "_order"))
-    numbered = bucketed.withColumn("_within", within).join(before, ["_source", "_bucket"]).select(
-        "_row", "_source", (F.col("_before") + F.col("_within") - 1).alias("_n"),
+        "_row", "_code", "_hash", "_order", F.pmod("_hash", "_buckets").alias("_bucket"))
+    sums = Window.partitionBy("_code").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = bucketed.groupBy("_code", "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_code", "_bucket", "_n", F.coalesce(F.sum("_n").over(sums), F.lit(0)).alias("_before"))
+    # The slots of a bucket's blocks, which follow one another.
+    first = F.floor(F.col("_before") / block)
+    spans = before.select("_code", "_bucket", "_before", F.explode(
+        F.sequence(first, F.floor((F.col("_before") + F.col("_n") - 1) / block))).alias("_block"))
+    placed = spans.join(slots, ["_code", "_block"]).groupBy("_code", "_bucket", "_before").agg(
+        F.sort_array(F.collect_list(F.struct("_block", "_slot"))).alias("_slots"))
+    within = F.row_number().over(Window.partitionBy("_code", "_bucket").orderBy("_hash", "_order"))
+    numbered = bucketed.withColumn("_within", within).join(placed, ["_code", "_bucket"]).select(
+        "_row", "_slots", first.alias("_first"), (F.col("_before") + F.col("_within") - 1).alias("_n"),
     ).withColumn("_block", F.floor(F.col("_n") / block))
-    placed = numbered.join(F.broadcast(places), "_source").where("_block >= _from AND _block < _to")
-    nth, size = F.col("_block") - F.col("_from"), F.size("_places")
-    slot = F.col("_start") + F.floor(nth / size) * PERIOD + F.get("_places", F.pmod(nth, size).cast("int"))
-    return placed.select(
+    slot = F.get("_slots", (F.col("_block") - F.col("_first")).cast("int"))["_slot"]
+    return numbered.select(
         "_row.*", F.col("_block").cast("long").alias(block_name), (slot * block + F.pmod("_n", F.lit(block))).cast("long").alias(position),
     ), (block_name, position)

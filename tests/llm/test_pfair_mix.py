@@ -67,3 +67,33 @@ def test_odd_rows_and_empty_table(odd, empty):
 def test_too_many_sources(frame):
     with pytest.raises(ValueError):
         pfair_mix.mix(frame([(i, "t", f"s{i}") for i in range(pfair_mix.MOST_SOURCES + 1)]))
+
+
+@pytest.mark.parametrize("sources", [20, 200])
+def test_deviation_from_the_target_weights_themselves(frame, sources):
+    """One source has half of the weight; after any number of slots all are less than a block off."""
+    sizes = {f"s{i:03}": 1800 if i == 0 else 40 for i in range(sources)}
+    target = {s: 0.5 if s == "s000" else 0.5 / (sources - 1) for s in sizes}
+    rows = [(i, "t", s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    mixed, (_, position) = pfair_mix.mix(frame(rows), weights=target, block=1)
+    order = [s for _, s in sorted((r[position], r.source) for r in mixed.collect())]
+    assert len(order) == len(rows)
+    total, used = sum(target.values()), Counter()
+    for t, s in enumerate(order, 1):
+        used[s] += 1
+        assert all(abs(used[x] - t * w / total) < 1 + 1e-9 for x, w in target.items())
+        if used[s] == sizes[s]:
+            break
+    assert t > 700
+
+
+def test_long_schedules_stay_within_one_block():
+    weights = [7.3, *[0.1 + i / 7 for i in range(20)]]
+    total, used = sum(weights), [0] * len(weights)
+    for t, (s, block) in enumerate(pfair_mix.slots_of([10**9] * len(weights), weights), 1):
+        assert block == used[s]
+        used[s] += 1
+        if t % 997 == 0:
+            assert all(abs(n - t * w / total) < 1 for n, w in zip(used, weights))
+        if t == 200_000:
+            break
