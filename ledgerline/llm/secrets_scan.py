@@ -5,7 +5,7 @@ signed tokens, vendor-prefixed keys, long mixed strings).  The hash of each cand
 counted over the whole corpus by distinct repositories and owners.  A value that many owners
 hold is an example that was copied around; one that few hold and that looks random is live.
 Base spans always stay; of the further kinds, those judged live are added where they overlap no
-base span.
+base span (a key block where its header does).  The value of a key block is its body.
 
 Only candidates are shuffled: first reduced to one row for each (hash, repository, owner), so
 that a value copied into a third of the corpus is counted on the map side; the verdicts are
@@ -43,7 +43,11 @@ ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 FURTHER = (
-    ("block", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")),
+    # From the header to the END line; without one, the header lines and base64 that follow.
+    ("block", re.compile(
+        r"(?P<header>-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)(?:"
+        r"(?P<body>(?:[^-]++|-(?!----(?:BEGIN|END) ))*+)-----END [A-Z ]{0,40}PRIVATE KEY-----"
+        r"|(?P<cut>\s*+(?:[A-Za-z-]++:\x20[^\n]*+\n)*+(?:[A-Za-z0-9+/=\s]|\\[nr])*+))")),
     ("signed", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")),
     ("vendor", re.compile(r"\b(?:gh[opsu]_[A-Za-z0-9]{30,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{30,}+)")),
     ("mixed", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}+={0,2}")),
@@ -51,6 +55,8 @@ FURTHER = (
 KINDS = (*BASE, *(k for k, _ in FURTHER))
 PLACEHOLDER = re.compile(r"(?i)example|changeme|placeholder|dummy|sample|your[_-]|x{6,}|\*{4,}|(.)\1{7,}")
 
+LINE_ENDS, ZERO_BYTES = re.compile(r"\\[nr]|\s+"), re.compile("A{8,}")
+
 Candidate = tuple[str, int, int, str]
 
 
@@ -61,16 +67,30 @@ def base_candidates(text: str) -> list[Candidate]:
     return found + [("hex", *m.span(), m[0]) for m in HEX.finditer(text)]
 
 
+def _value(kind: str, match: re.Match) -> str:
+    """What is hashed: of a key block the body without line ends, so that keys differ; the header where there is none."""
+    if kind != "block":
+        return match[0]
+    return LINE_ENDS.sub("", match["body"] or match["cut"] or "") or match["header"]
+
+
+def _random(kind: str, value: str) -> bool:
+    """Whether a value looks random; encoded keys hold runs of zero bytes, which read as A."""
+    looked_at = ZERO_BYTES.sub("", value) if kind == "block" else value
+    return not PLACEHOLDER.search(looked_at) and entropy(looked_at) >= LIVE_ENTROPY
+
+
 def further_candidates(text: str, base: list[Candidate]) -> list[Candidate]:
-    """Candidates of the further kinds that overlap none before them."""
+    """Candidates of the further kinds that overlap none before them; a key block only has its header kept clear."""
     taken = sorted((a, b) for _, a, b, _ in base)
     found: list[Candidate] = []
     for kind, pattern in FURTHER:
-        new = [(kind, *m.span(), m[0]) for m in pattern.finditer(text) if kind != "mixed" or _mixed(m[0])]
+        new = [((kind, *m.span(), _value(kind, m)), m.end("header") if kind == "block" else m.end())
+               for m in pattern.finditer(text) if kind != "mixed" or _mixed(m[0])]
         ends, i = 0, 0
         kept = []
-        for c in new:  # both lists are in order of start
-            while i < len(taken) and taken[i][0] < c[2]:
+        for c, clear in new:  # both lists are in order of start
+            while i < len(taken) and taken[i][0] < clear:
                 ends = max(ends, taken[i][1])
                 i += 1
             if ends <= c[1]:
@@ -107,7 +127,7 @@ def candidates(docs: DataFrame, text_col: str, name: str) -> DataFrame:
         base = base_candidates(text)
         both = [*base, *further_candidates(text, base)]
         return [{"kind": k, "start": a, "end": b, "hash": hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest()[:32],
-                 "random": not PLACEHOLDER.search(v) and entropy(v) >= LIVE_ENTROPY} for k, a, b, v in both]
+                 "random": _random(k, v)} for k, a, b, v in both]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
