@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, chat_format, fingerprints, language_id, pfair_mix, private_data, quality_rules, secrets_scan, simhash, url_filters
+from ledgerline.llm import (
+    byte_bpe, chat_format, fingerprints, language_id, pfair_mix, private_data, quality_rules, resampling, secrets_scan, simhash,
+    url_filters,
+)
 from ledgerline.llm.common import table
 
 
@@ -130,6 +133,11 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", F.round("bad_share", 6).alias("bad_share"))
 
 
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.draw(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_fingerprints": op2_fingerprints,
@@ -141,4 +149,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secrets": op9_secrets,
     "op10_url_filters": op10_url_filters,
+    "op13_resampling": op13_resampling,
 }
