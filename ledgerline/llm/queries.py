@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
-    byte_bpe, chat_format, fingerprints, language_id, pfair_mix, private_data, quality_rules, resampling, secrets_scan, simhash,
-    url_filters,
+    byte_bpe, chat_format, fingerprints, katz, language_id, pfair_mix, private_data, quality_rules, resampling, secrets_scan,
+    simhash, spelling, url_filters,
 )
 from ledgerline.llm.common import table
 
@@ -133,6 +133,16 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", F.round("bad_share", 6).alias("bad_share"))
 
 
+def op11_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.lowered_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = spelling.count_words(runs.select(spelling.with_slips(F.col("run"), F.col("doc_id")).alias("word")))
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resampling.draw(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -149,5 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secrets": op9_secrets,
     "op10_url_filters": op10_url_filters,
+    "op11_katz": op11_katz,
+    "op12_spelling": op12_spelling,
     "op13_resampling": op13_resampling,
 }
