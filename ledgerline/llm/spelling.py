@@ -1,26 +1,26 @@
 """Spelling variants: words one edit apart, found by pivotal bigrams, and the usual form of each.
 
-Bigrams are ordered by the number of words that hold them, rare ones first.  A word's *prefix* is its
-three first bigrams in that order (and further places of the third); its two *pivots* are the disjoint
-bigrams of the prefix that fewest words hold, chosen by dynamic programming.  One edit destroys at most
-one of two disjoint bigrams.  Of two words one edit apart, take the one whose prefix ends first in the
-order: one of its pivots survives in the other word, in whose prefix it must be, as that ends later.
-
-Position limits: a surviving bigram lies as far from the start of both words with the edit behind it, or
-as far from the end with the edit before it, and all on its untouched side is the same.  On the other
-side, of which the shorter word has t letters, the edit lies either behind the first half, which is then
-the same, or before the rest, which then ends both words.  So the index posts each prefix bigram under
-the hash of what would be the same in each of these cases, pivots look the hashes up, and what meets
-shares all but half of one side.  Words decide: pairs are verified.
-
-The form of a word is its near word of most occurrences, where it has ``RATIO`` times the word's own;
-following forms to the last gives the root.  Occurrences grow tenfold with each step, so the chains are
-short and doubling ends after a few joins.
-
-Texts are split and counted with combination before the shuffle.  The index has rows in proportion to
-words (and to the length of words that repeat a rare bigram), with ids instead of words; joins on its
-hashes and on ids are split by the skew join.  The bigrams of the alphabet, at most its size squared,
-are the only thing the driver sees.
+Bigrams are ordered by how many places of words hold them, rare ones first.  A word's *prefix* is its
+three first bigrams in that order, places of equal bigrams counted singly.  Of two words one edit apart
+take the one whose prefix ends first in the order: a bigram of its prefix that the edit leaves is in the
+other's prefix as well, as that ends later.  A word's two *pivots* are disjoint bigrams of its prefix,
+the cheapest such pair by dynamic programming over places.  An edit lies behind the first pivot or before
+the second, since they are disjoint.
+
+Position limits: behind the first pivot, so all up to its end is the same in both words; or before the
+second, so all from it on is.  Where that side is short, the other one is halved: the edit lies behind its
+first half or before the rest, so one of them is the same too.  The index posts, for each bigram of a word's
+prefix, the start and end that a partner would share in each of these cases, with the letters left over
+between them; pivots look the same up.  Words decide: what meets is verified on the letters left over.
+
+A bigram that a word repeats counts in its three places nearest to either side, enough for the partner's
+prefix, so a word has a bounded number of postings however long it is.  Words are numbered by falling
+occurrences, so that the near word of least number is the usual form; following forms to the last, where
+each has ``RATIO`` times the occurrences of the one before, doubling ends after a few joins.
+
+Texts are split and counted with combination before the shuffle.  Joins are on shared letters and on
+numbers and are split by the skew join; a word has no more near words than letters have places and kinds.
+The bigrams of the alphabet, at most its size squared, are the only thing that the driver sees.
 
 Defined results: null and empty texts have no words; a null id counts as an empty one; very long texts
 and words are taken whole; repeated rows count as further occurrences; ties among near words go to the
@@ -30,6 +30,7 @@ smallest in code-point order; an empty table gives no rows; other columns are ig
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby, takewhile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,19 +44,19 @@ LEAST_LETTERS = 7
 LEAST_COUNT = 2
 RATIO = 10
 SLIP = 31
-RUNS = "[A-Za-zÀ-ÿ]+"
+LETTERS = "A-Za-zÀ-ÿ"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-PREFIX, PIVOTS = 3, 2  # bigrams that one edit leaves at least one of: 2 * 1 + 1, and 1 + 1 of them disjoint
-MODULUS, BASE = (1 << 61) - 1, 1_000_003  # of the hash of stretches of a word
+PREFIX = 3  # one edit destroys two bigrams at most
+LONG = 6  # letters of a shared side that need no half of the other side
 
-Gram = tuple[int, int]  # place in the order, place in the word
+Place = tuple[int, int]  # of a bigram: in the order, in the word
 
 
 def lowered_runs(docs: DataFrame, text_col: str = "text", least: int = LEAST_LETTERS) -> DataFrame:
     """The rows of docs with one more column, run, for each run of at least so many letters; only A-Z is lower-cased."""
-    runs = F.regexp_extract_all(whole_text(text_col), F.lit(f"({RUNS})"), 1)
-    return docs.select("*", F.explode(runs).alias("run")).where(F.length("run") >= least).withColumn("run", F.translate("run", UPPER, LOWER))
+    runs = F.regexp_extract_all(whole_text(text_col), F.lit(f"[{LETTERS}]{{{least},}}"), 0)
+    return docs.select("*", F.explode(runs).alias("run")).withColumn("run", F.translate("run", UPPER, LOWER))
 
 
 def with_slips(run: Column, key: Column, every: int = SLIP) -> Column:
@@ -67,9 +68,17 @@ def with_slips(run: Column, key: Column, every: int = SLIP) -> Column:
 
 
 def count_words(words: DataFrame, word_col: str = "word", least: int = LEAST_LETTERS, often: int = LEAST_COUNT) -> DataFrame:
-    """Rows word, n and a row id, of words that are long and frequent enough; written, so that the ids stay."""
+    """Rows word and n of words that are long (four letters at least) and frequent enough."""
+    if least < PREFIX + 1:
+        raise ValueError(f"words need {PREFIX + 1} letters at least")
     counted = words.where(F.length(word_col) >= least).groupBy(F.col(word_col).alias("word")).agg(F.count(F.lit(1)).alias("n"))
-    return materialize(counted.where(F.col("n") >= often).withColumn("id", F.monotonically_increasing_id()), "words")
+    return counted.where(F.col("n") >= often)
+
+
+def numbered(words: DataFrame) -> DataFrame:
+    """Words with an id that grows as occurrences fall, and with the word among equals; written, so that it stays."""
+    known = materialize(words.select("word", "n"), "words")
+    return materialize(known.orderBy(F.desc("n"), "word").withColumn("id", F.monotonically_increasing_id()), "numbered")
 
 
 def bigram_counts(words: DataFrame) -> dict[str, int]:
@@ -90,107 +99,103 @@ def bigram_counts(words: DataFrame) -> dict[str, int]:
     return {r.gram: r.n for r in counted.collect()}
 
 
-def prefix_of(word: str, order: dict[str, int]) -> list[Gram]:
-    """The first bigrams in the order, all places of the last one included."""
+def prefix_of(word: str, order: dict[str, int]) -> tuple[list[Place], list[Place], int]:
+    """Places of the first bigrams in the order, of equal ones those nearest to the start or to the end; and where the prefix ends."""
     grams = sorted((order[g], i) for i, g in enumerate(map(str.__add__, word, word[1:])))
-    last = grams[PREFIX - 1][0]
-    return grams[:PREFIX] + [g for g in grams[PREFIX:] if g[0] == last]
-
-
-def pivots_of(prefix: list[Gram], cost: list[int]) -> list[Gram]:
-    """Disjoint bigrams of least total cost: best[k] is the best choice of k among the places so far."""
-    at = sorted(prefix, key=lambda g: g[1])
-    best: list[list[tuple[int, list[Gram]] | None]] = [[(0, [])] + [None] * PIVOTS]
-    free = 0  # how many of the places end before this one begins
-    for i, gram in enumerate(at):
-        while at[free][1] + 2 <= gram[1]:
-            free += 1
-        now = list(best[i])
-        for k in range(1, PIVOTS + 1):
-            before = best[free][k - 1]
-            if before is not None:
-                made = (before[0] + cost[gram[0]], [*before[1], gram])
-                if now[k] is None or made[0] < now[k][0]:
-                    now[k] = made
-        best.append(now)
-    return best[-1][PIVOTS][1]
-
-
-def stretch_hashes(word: str) -> tuple[list[int], list[int]]:
-    """Hashes of all first parts of a word, and powers, from which the hash of any stretch follows."""
-    sums, powers = [0], [1]
-    for c in word:
-        sums.append((sums[-1] * BASE + ord(c)) % MODULUS)
-        powers.append(powers[-1] * BASE % MODULUS)
-    return sums, powers
-
-
-def posts(word: str, place: int, sums: list[int], powers: list[int]) -> Iterator[int]:
-    """Hashes of what two words share around a bigram that one edit on either side of it leaves."""
-    size = len(word)
-    part = lambda a, b: (sums[b] - sums[a] * powers[b - a]) % MODULUS
-    end = place + 2
-    for t in (size - end - 1, size - end):  # letters behind the bigram in the shorter word
-        if t >= 0:
-            half = t // 2
-            yield hash((0, t, part(0, end + half)))
-            yield hash((1, t, part(0, end), part(size - t + half, size)))
-    for t in (place - 1, place):  # letters before it in the shorter word
-        if t >= 0:
-            half = t // 2
-            yield hash((2, t, part(place - half, size)))
-            yield hash((3, t, part(place, size), part(0, t - half)))
-
-
-def index_of(words: DataFrame) -> DataFrame:
-    """Rows key, id, ends (where the prefix ends in the order) and pivot: the postings of all words."""
-    counts = bigram_counts(words)
-    ranked = sorted(counts, key=lambda g: (counts[g], g))
-    order, cost = {g: i for i, g in enumerate(ranked)}, [counts[g] for g in ranked]
+    ends = grams[PREFIX - 1][0]
+    from_start: list[Place] = []
+    from_end: list[Place] = []
+    for _, equal in groupby(takewhile(lambda g: g[0] <= ends, grams), key=lambda g: g[0]):
+        places = list(equal)
+        from_start += places[:PREFIX]
+        from_end += places[-PREFIX:]
+    return from_start, from_end, ends
+
+
+def pivots_of(from_start: list[Place], from_end: list[Place], cost: list[int]) -> tuple[int, int]:
+    """Places of the cheapest pair of disjoint bigrams, the first from the start, the second from the end.
+
+    Going along the word, the best pair so far ends here or is the one before; what a pair that ends
+    here begins with is the cheapest bigram that ends before it.
+    """
+    firsts = sorted((i, cost[g]) for g, i in from_start)
+    best, cheapest, at = None, None, 0
+    for place, price in sorted((i, cost[g]) for g, i in from_end):
+        while at < len(firsts) and firsts[at][0] + 2 <= place:
+            if cheapest is None or firsts[at][1] < cheapest[0]:
+                cheapest = firsts[at][1], firsts[at][0]
+            at += 1
+        if cheapest is not None and (best is None or cheapest[0] + price < best[0]):
+            best = cheapest[0] + price, cheapest[1], place
+    return best[1:]
+
+
+def shared_before(word: str, end: int) -> set[tuple[int, int]]:
+    """Lengths of the start and the end that a word one edit away, made behind the first letters, may share."""
+    rest = len(word) - end
+    if end >= LONG:
+        return {(end, 0)}
+    # by the letters behind in the shorter word, one less than here or as many
+    return {case for t in (rest - 1, rest) if t >= 0 for case in ((end + t // 2, 0), (end, t - t // 2))}
+
+
+def shared_behind(word: str, place: int) -> set[tuple[int, int]]:
+    """The same for an edit made before a place."""
+    return {(start, end) for end, start in shared_before(word, len(word) - place)}
+
+
+def posts(word: str, cases: set[tuple[int, int]]) -> Iterator[tuple[str, str]]:
+    """What is shared, and the letters left over between."""
+    for start, end in cases:
+        yield f"{word[:start]}|{word[len(word) - end:]}", word[start:len(word) - end]
+
+
+def index_of(words: DataFrame, order: dict[str, int], cost: list[int], looking: bool) -> DataFrame:
+    """Rows key, rest, id and ends of all words: what their pivots look up, or the postings of their prefixes."""
 
     def post(batches):
         import pyarrow as pa
 
-        schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("ends", pa.int32()), ("pivot", pa.bool_())])
-        rows: list[list] = [[], [], [], []]
+        schema = pa.schema([("key", pa.string()), ("rest", pa.string()), ("id", pa.int64()), ("ends", pa.int32())])
         for batch in batches:
-            for word, key in zip(batch.column("word").to_pylist(), batch.column("id").to_pylist()):
-                prefix = prefix_of(word, order)
-                pivots = set(pivots_of(prefix, cost))
-                hashes = stretch_hashes(word)
-                for gram in prefix:
-                    found = list(posts(word, gram[1], *hashes))
-                    for column, more in zip(rows, (found, [key] * len(found), [prefix[-1][0]] * len(found), [gram in pivots] * len(found))):
-                        column += more
-                if len(rows[0]) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
-                    rows = [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
-
-    return words.select("word", "id").mapInArrow(post, "key long, id long, ends int, pivot boolean")
+            rows: list[list] = [[], [], [], []]
+            for word, number in zip(batch.column("word").to_pylist(), batch.column("id").to_pylist()):
+                from_start, from_end, ends = prefix_of(word, order)
+                if looking:
+                    first, second = pivots_of(from_start, from_end, cost)
+                    cases = shared_before(word, first + 2) | shared_behind(word, second)
+                else:
+                    cases = set().union(*[shared_before(word, i + 2) for _, i in from_start], *[shared_behind(word, i) for _, i in from_end])
+                for key, rest in posts(word, cases):
+                    for column, value in zip(rows, (key, rest, number, ends)):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
+
+    return words.select("word", "id").mapInArrow(post, "key string, rest string, id long, ends int")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
-    """Rows a, b (ids, both ways): pairs of words exactly one insertion, deletion or replacement apart."""
-    index = materialize(index_of(words), "spelling-index")
-    looking = index.where("pivot").select("key", F.col("id").alias("a"), F.col("ends").alias("a_ends"))
-    met = looking.join(index.select("key", F.col("id").alias("b"), F.col("ends").alias("b_ends")), "key").where(
-        "a <> b AND a_ends <= b_ends")
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    for end in ("a", "b"):
-        pairs = pairs.join(words.select(F.col("id").alias(end), F.col("word").alias(f"{end}_word"), F.col("n").alias(f"{end}_n")), end)
-    near = pairs.where(F.levenshtein("a_word", "b_word", 1) == 1)
-    return near.select("a", "b_word", "b_n").unionByName(near.select(F.col("b").alias("a"), F.col("a_word").alias("b_word"), F.col("a_n").alias("b_n")))
+    """Rows a and b (ids), both ways and each once: pairs of words exactly one insertion, deletion or replacement apart."""
+    counts = bigram_counts(words)
+    ranked = sorted(counts, key=lambda g: (counts[g], g))
+    order, cost = {g: i for i, g in enumerate(ranked)}, [counts[g] for g in ranked]
+    looking = index_of(words, order, cost, True).select("key", *[F.col(c).alias(f"a_{c}") for c in ("rest", "id", "ends")])
+    met = looking.join(index_of(words, order, cost, False), "key").where(
+        "a_ends < ends OR a_ends = ends AND a_id < id").where(F.levenshtein("a_rest", "rest", 1) == 1)
+    both = F.explode(F.array(F.struct(F.col("a_id").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("a_id").alias("b"))))
+    # All of a word's near words in one place: the pairs are reduced and grouped without another shuffle.
+    return met.select(both.alias("pair")).select("pair.*").repartition("a").dropDuplicates(["a", "b"])
 
 
 def group_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     """Rows word, n, n_near, form, form_n and root of counted words (see ``count_words``)."""
-    best = near_pairs(words).groupBy(F.col("a").alias("id")).agg(
-        F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("b_n")).alias("less"), F.col("b_word").alias("word"))).alias("top"))
-    usual = -F.col("top.less") >= ratio * F.col("n")
-    judged = materialize(words.join(best, "id", "left").select(
+    words = numbered(words)
+    best = near_pairs(words).groupBy("a").agg(F.count(F.lit(1)).alias("n_near"), F.min("b").alias("top"))
+    usual = words.select(F.col("id").alias("top"), F.col("word").alias("top_word"), F.col("n").alias("top_n"))
+    found = F.col("top_n") >= ratio * F.col("n")
+    judged = materialize(words.join(best.join(usual, "top"), F.col("id") == F.col("a"), "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-        F.when(usual, F.col("top.word")).alias("form"), F.when(usual, -F.col("top.less")).alias("form_n")), "forms")
+        F.when(found, F.col("top_word")).alias("form"), F.when(found, F.col("top_n")).alias("form_n")), "forms")
     steps = judged.where("form IS NOT NULL").select("word", F.col("form").alias("root"))
     while True:  # each round doubles the steps that a root is away
         further = steps.select(F.col("word").alias("root"), F.col("root").alias("further"))

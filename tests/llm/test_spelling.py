@@ -83,14 +83,20 @@ def test_all_pairs(spark, letters):
 def test_pivots_are_the_cheapest_disjoint_pair():
     rnd = random.Random(5)
     for _ in range(300):
-        word = "".join(rnd.choice("abcd") for _ in range(rnd.randint(7, 14)))
+        word = "".join(rnd.choice("abcd") for _ in range(rnd.randint(4, 14)))
         grams = sorted({a + b for a in "abcd" for b in "abcd"})
         order, cost = {g: i for i, g in enumerate(grams)}, [rnd.randint(1, 50) for _ in grams]
-        prefix = spelling.prefix_of(word, order)
-        found = spelling.pivots_of(prefix, cost)
-        assert abs(found[0][1] - found[1][1]) >= 2
-        assert sum(cost[g] for g, _ in found) == min(
-            cost[a[0]] + cost[b[0]] for a, b in itertools.combinations(prefix, 2) if abs(a[1] - b[1]) >= 2)
+        from_start, from_end, ends = spelling.prefix_of(word, order)
+        first, second = spelling.pivots_of(from_start, from_end, cost)
+        assert max(g for g, _ in from_start) == ends and second - first >= 2
+        assert cost[order[word[first:first + 2]]] + cost[order[word[second:second + 2]]] == min(
+            cost[a[0]] + cost[b[0]] for a in from_start for b in from_end if b[1] - a[1] >= 2)
+
+
+def test_postings_of_a_word_are_bounded():
+    for word in ("ab" * 5000, "a" * 10_000, "abc" * 3000 + "x"):
+        from_start, from_end, _ = spelling.prefix_of(word, {g: i for i, g in enumerate(["cx", "ab", "bc", "ca", "ba", "aa"])})
+        assert len(from_start) <= 9 and len(from_end) <= 9
 
 
 def test_chain_of_forms_and_long_words(spark):
