@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import url_filters
+from ledgerline.llm import katz, resampling, spelling, url_filters
 from ledgerline.llm.quality_rules import RULES, STOP_WORDS
 from ledgerline.llm.queries import URL_RULES
 
@@ -137,4 +137,140 @@ FROM urls JOIN shares USING (host, {', '.join(firsts)})
 
 OP10 = _url_sql()
 
-ORACLES = {"op1_chat_format": OP1, "op8_quality_rules": OP8, "op10_url_filters": OP10}
+#: The table of CRC-32 by its rule: eight steps for each byte.
+CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY i) AS crc_steps FROM range(256) r(i))"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text, in a query that also reads ``crc_table``."""
+    octets = f"list_transform(range(1, 1 + strlen({text})), lambda i: ('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), "
+            "lambda c, b: xor(c >> 8, crc_steps[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def lower_sql(text: str) -> str:
+    return f"translate({text}, '{spelling.UPPER}', '{spelling.LOWER}')"
+
+
+def _lost_sql(level: str, counts: str) -> str:
+    """CTE: what a count r of 1 to GT_UP_TO loses, from a table of kinds with their counts n."""
+    top = katz.GT_UP_TO
+    return f"""
+{level}_kinds AS (
+  SELECT r, (SELECT count(*) FROM {counts} WHERE n = r) AS k, (SELECT count(*) FROM {counts} WHERE n = r + 1) AS k_next FROM range(1, {top + 1}) x(r)),
+{level}_rest AS (
+  SELECT CASE WHEN ones > 0 THEN ({top + 1} * many)::DOUBLE / ones ELSE 1.0 END AS rest FROM (
+    SELECT count(*) FILTER (n = 1) AS ones, count(*) FILTER (n = {top + 1}) AS many FROM {counts})),
+{level}_lost AS (
+  SELECT r, k, CASE WHEN kept > 0 AND kept < 1 THEN r * (1 - kept) ELSE 0.5 END AS e FROM (
+    SELECT r, k, CASE WHEN rest < 1 THEN (CASE WHEN k > 0 THEN ((r + 1) * k_next)::DOUBLE / k / r ELSE 0.0 END - rest) / (1 - rest) ELSE 0.0 END AS kept
+    FROM {level}_kinds, {level}_rest))"""
+
+
+_LOG = f"round(log10({{}}) * {katz.PLACES})::BIGINT"
+
+OP11 = f"""
+WITH {CRC_TABLE},
+texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, {crc32_sql("coalesce(doc_id::VARCHAR, '')")} % {katz.FOLDS} = {katz.HELD_OUT} AS held_out,
+    list_filter(string_split_regex({lower_sql("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents, crc_table),
+tokens AS (
+  SELECT rid, held_out, unnest(list_prepend(' ', words)) AS v, unnest(list_append(words, chr(10))) AS w FROM texts),
+singles AS (SELECT w, count(*) AS n FROM tokens WHERE NOT held_out GROUP BY w),
+pairs AS (SELECT v, w, count(*) AS n FROM tokens WHERE NOT held_out GROUP BY v, w),
+sizes AS (SELECT coalesce(sum(n), 0)::BIGINT AS total, count(*) AS kinds FROM singles),
+{_lost_sql("one", "singles")},
+{_lost_sql("two", "pairs")},
+unknown AS (
+  SELECT CASE WHEN total > 0 THEN ((SELECT sum(k * e ORDER BY r) FROM one_lost)
+    + (SELECT count(*) FROM singles WHERE n > {katz.GT_UP_TO}) * (SELECT e FROM one_lost WHERE r = {katz.GT_UP_TO})) / total ELSE 1.0 END AS p FROM sizes),
+words AS (
+  SELECT w, n, (n - e) / total AS p FROM singles, sizes, one_lost WHERE r = least(n, {katz.GT_UP_TO})),
+histories AS (SELECT v, sum(n)::BIGINT AS n FROM pairs GROUP BY v),
+followed AS (
+  SELECT v, w, (pairs.n - e) / h.n AS p, e, h.n AS of FROM pairs JOIN histories h USING (v), two_lost WHERE r = least(pairs.n, {katz.GT_UP_TO})),
+weights AS (SELECT v, sum(e) / max(of) / (1 - sum(words.p)) AS weight FROM followed JOIN words USING (w) GROUP BY v),
+scored AS (
+  SELECT rid, count(*) AS n_tokens, count(o.n) AS n_known,
+    sum({_LOG.format("(coalesce(o.n, 0) + 0.5::DOUBLE) / (total + 0.5::DOUBLE * (kinds + 1))")})::BIGINT AS base,
+    sum(CASE WHEN f.p IS NOT NULL THEN {_LOG.format("f.p")} ELSE
+      {_LOG.format("coalesce(o.p, u.p)")} + coalesce({_LOG.format("h.weight")}, 0) END)::BIGINT AS score
+  FROM tokens t LEFT JOIN words o ON t.w = o.w LEFT JOIN followed f ON t.v = f.v AND t.w = f.w LEFT JOIN weights h ON t.v = h.v, unknown u, sizes
+  GROUP BY rid)
+SELECT doc_id, held_out, n_tokens::BIGINT AS n_tokens, n_known::BIGINT AS n_known, total AS train_tokens,
+  base::DOUBLE / {katz.PLACES} AS base_score, score::DOUBLE / {katz.PLACES} AS score
+FROM texts JOIN scored USING (rid), sizes
+"""
+
+OP12 = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, {lower_sql("run")} AS run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[{spelling.LETTERS}]+')) AS run FROM documents)
+  WHERE length(run) >= {spelling.LEAST_LETTERS} GROUP BY ALL),
+hashed AS (SELECT run, k, {crc32_sql("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM runs, crc_table),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % {spelling.SLIP} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed)
+  WHERE length(word) >= {spelling.LEAST_LETTERS} GROUP BY word HAVING sum(k) >= {spelling.LEAST_COUNT}),
+holes AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM holes a JOIN holes b USING (i, cut) WHERE a.word <> b.word
+  UNION SELECT h.word, w.word FROM holes h JOIN words w ON h.cut = w.word
+  UNION SELECT w.word, h.word FROM holes h JOIN words w ON h.cut = w.word),
+best AS (
+  SELECT near.word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS top, max(n) AS top_n
+  FROM near JOIN words ON near.other = words.word GROUP BY near.word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top_n >= {spelling.RATIO} * w.n THEN top END AS form,
+    CASE WHEN top_n >= {spelling.RATIO} * w.n THEN top_n END AS form_n FROM words w LEFT JOIN best b USING (word)),
+steps AS (
+  SELECT word, word AS here, 0 AS far FROM forms
+  UNION ALL SELECT s.word, f.form, far + 1 FROM steps s JOIN forms f ON s.here = f.word WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(here, far) AS root FROM steps GROUP BY word) USING (word)
+"""
+
+
+def _features_sql(name: str, table: str) -> str:
+    """CTE: row, words of the row, feature."""
+    words = rf"regexp_extract_all({lower_sql("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+{name}_words AS (SELECT *, {words} AS words FROM (SELECT row_number() OVER () AS rid, * FROM {table})),
+{name} AS (
+  SELECT rid, unnest(words) AS f FROM {name}_words
+  UNION ALL SELECT rid, words[i] || ' ' || words[i + 1] FROM (SELECT rid, words, unnest(range(1, len(words))) AS i FROM {name}_words))"""
+
+
+OP13 = f"""
+WITH {CRC_TABLE},
+{_features_sql("sources", "documents")},
+{_features_sql("targets", "benchmark")},
+kinds AS (
+  SELECT f, {crc32_sql("f")} % {resampling.BUCKETS} AS bucket FROM (SELECT f FROM sources UNION SELECT f FROM targets), crc_table),
+counts AS (
+  SELECT bucket, coalesce(s, 0)::DOUBLE AS s, coalesce(t, 0)::DOUBLE AS t FROM
+    (SELECT bucket, count(*) AS s FROM sources JOIN kinds USING (f) GROUP BY bucket)
+    FULL JOIN (SELECT bucket, count(*) AS t FROM targets JOIN kinds USING (f) GROUP BY bucket) USING (bucket)),
+totals AS (SELECT sum(s) + {resampling.BUCKETS} AS of_source, sum(t) + {resampling.BUCKETS} AS of_target FROM counts),
+gains AS (SELECT bucket, floor({resampling.SCALE} * ln((t + 1) * of_source / ((s + 1) * of_target)))::BIGINT AS gain FROM counts, totals),
+weights AS (
+  SELECT rid, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM sources JOIN kinds USING (f) JOIN gains USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-{resampling.SCALE} * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM (SELECT *, ('0x' || substr(sha256('{resampling.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM sources_words)
+    LEFT JOIN weights USING (rid)),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n_features, weight) AS place, count(*) OVER () AS able
+  FROM scored WHERE n_words >= {resampling.LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {resampling.PERCENT} * able // 100 THEN place END AS rank FROM ranked
+UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM scored WHERE n_words < {resampling.LEAST_WORDS}
+"""
+
+ORACLES = {
+    "op1_chat_format": OP1, "op8_quality_rules": OP8, "op10_url_filters": OP10, "op11_katz": OP11, "op12_spelling": OP12,
+    "op13_resampling": OP13,
+}
