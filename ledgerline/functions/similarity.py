@@ -91,12 +91,13 @@ def lcs_length(a: Column, b: Column) -> Column:
     )
 
 
-def _tokens(s: Column) -> Column:
+def tokens(s: Column) -> Column:
+    """Distinct tokens between white space."""
     return F.array_distinct(F.filter(F.split(strip(s), r"\s+"), lambda t: t != ""))
 
 
-def _joined(tokens: Column) -> Column:
-    return F.array_join(F.array_sort(tokens), " ")
+def _joined(parts: Column) -> Column:
+    return F.array_join(F.array_sort(parts), " ")
 
 
 def _ratio(distance: Column, total: Column) -> Column:
@@ -131,7 +132,7 @@ def token_set_ratio(a: Column, b: Column) -> Column:
             _joined(F.array_except(t["b"], t["a"])).alias("b"),
         )
 
-    ratio = let(F.struct(_tokens(a).alias("a"), _tokens(b).alias("b")), lambda t: let(texts(t), _best_ratio))
+    ratio = let(F.struct(tokens(a).alias("a"), tokens(b).alias("b")), lambda t: let(texts(t), _best_ratio))
     return F.when((strip(a) == "") | (strip(b) == ""), 0.0).otherwise(ratio)
 
 

@@ -10,9 +10,13 @@ groups: such an edge comes before all its neighbours in the scan, so taking it i
 edge without a rival of equal score uses up the smaller group in one step.  Rounds go on until
 no edge is left; nothing is capped.
 
-Once all open edges fit one task, the scan is finished without further rounds.  With tolerance
-0 edges never leave their amount, so amounts whose open edges fit one task are finished after
-each round, several to a task, and only larger amounts stay in the rounds.
+Chains of edges that wait for each other are settled within a round.  An edge that is the best of
+one group and second at the other, of which one fact is left, is taken if and only if that
+group's best edge is not; following these, doubling the steps each time, every chain that
+ends in a certain edge is decided after as many joins as its length has digits in base 2.
+
+Edges never leave their amount or, with a tolerance, their island of linked amounts.  Amounts whose
+open edges fit one task are finished there, several to a task; larger ones go through rounds.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from ..config import Matching
 from ..schemas import MATCHES
 from ..session import materialize, ship_functions
 from .candidates import in_band, match_type, score, side, similarity_floor, vendor_pairs, with_cells
+from .islands import with_islands
+from .names import LEAST_FLOOR, similar_names
 
 ship_functions(__name__)
 
@@ -59,9 +65,15 @@ def group_edges(tx: DataFrame, pay: DataFrame, cfg: Matching) -> DataFrame:
     """Edges between groups that reach ``min_score``.
 
     Vendors that are too unlike to reach it drop out first, so the join is on the partner's
-    name, amount and date cell instead of on the amount alone.
+    name, amount and date cell instead of on the amount alone.  Names are compared where an index
+    lets them meet; only a floor too low for one compares those of each cell.
     """
-    pairs = vendor_pairs(tx, pay, cfg, similarity_floor(cfg))
+    floor = similarity_floor(cfg)
+    if floor > LEAST_FLOOR:
+        names = [df.select(f"{end}_vendor").filter(f"{end}_vendor <> ''").distinct() for end, df in (("t", tx), ("p", pay))]
+        pairs = similar_names(*names, floor)
+    else:
+        pairs = vendor_pairs(tx, pay, cfg, floor)
     t_groups, p_groups = with_cells(_groups(tx, "t").join(pairs, "t_vendor"), _groups(pay, "p"), cfg)
     days, cents = F.col("p_day") - F.col("t_day"), F.col("p_cents") - F.col("t_cents")
     return (
@@ -119,8 +131,8 @@ class _Members:
         return self._made[end] if end in self._made else _members(self._sides[end], self._edges, end)
 
 
-def _best(edges: DataFrame) -> DataFrame:
-    """Mark edges that are the best of both groups; name the next rival of equal score."""
+def _ranked(edges: DataFrame) -> DataFrame:
+    """Rank edges at both groups, mark those that are the best of both; name the next rival of equal score."""
     for end, other in (("p", "t"), ("t", "p")):
         w = Window.partitionBy(f"{end}_key").orderBy(
             F.desc("score"), F.desc("vendor_sim"), F.asc(f"{other}_pos")
@@ -129,8 +141,42 @@ def _best(edges: DataFrame) -> DataFrame:
         edges = edges.withColumns({f"{end}_order": F.row_number().over(w), "_next": following})
         tied = (F.col("_next.score") == F.col("score")) & (F.col("_next.vendor_sim") == F.col("vendor_sim"))
         edges = edges.withColumn(f"{other}_rival", F.when(tied, F.col(f"_next.{other}_pos"))).drop("_next")
-    best = (F.col("t_order") == 1) & (F.col("p_order") == 1)
-    return edges.withColumn("best", best).drop("t_order", "p_order")
+    return edges.withColumn("best", (F.col("t_order") == 1) & (F.col("p_order") == 1))
+
+
+def _waiting(edges: DataFrame) -> DataFrame:
+    """Each group's best edge: taken for certain, or if ``next``, its other end, does not take its own, or unknown."""
+    ends = []
+    for end, other in (("t", "p"), ("p", "t")):
+        group = {e: F.concat(F.lit(e), f"{e}_key") for e in _ENDS}
+        last_one = F.col(f"{other}_n") - F.col(f"{other}_done") == 1
+        waits = (F.col(f"{other}_order") == 2) & last_one
+        ends.append(edges.where(F.col(f"{end}_order") == 1).select(
+            group[end].alias("group"), F.when(waits, group[other]).alias("next"), waits.alias("odd"),
+            F.when(F.col(f"{other}_order") == 1, True).alias("taken"), "t_key", "p_key"))
+    return ends[0].unionByName(ends[1])
+
+
+def _follow_chains(edges: DataFrame) -> DataFrame:
+    """Mark, besides edges that are the best of both groups, those that chains of waiting edges decide.
+
+    A group takes its best edge if the one it waits for does or does not, as the number of steps to
+    that one is even or odd; each join doubles the steps.
+    """
+    state = materialize(_waiting(edges), "waiting")
+    if state.where("next IS NOT NULL").isEmpty():
+        return edges
+    while not state.where("next IS NOT NULL").isEmpty():
+        ahead = state.select(F.col("group").alias("next"), *[F.col(c).alias(f"its_{c}") for c in ("next", "odd", "taken")])
+        waits, arrives = F.col("next").isNotNull(), F.col("its_next").isNull()
+        state = materialize(state.join(ahead, "next", "left").select(
+            "group", F.when(waits, F.col("its_next")).alias("next"),
+            F.when(waits & ~arrives, F.col("odd") != F.col("its_odd")).otherwise(F.col("odd")).alias("odd"),
+            F.when(~waits, F.col("taken")).when(arrives, F.col("its_taken") != F.col("odd")).alias("taken"),
+            "t_key", "p_key"), "waiting")
+    sure = state.where("taken").select("t_key", "p_key").distinct().withColumn("_sure", F.lit(True))
+    joined = edges.join(sure, ["t_key", "p_key"], "left")
+    return joined.withColumn("best", F.col("best") | F.col("_sure").isNotNull()).drop("_sure")
 
 
 def _take(edges: DataFrame) -> DataFrame:
@@ -343,31 +389,41 @@ def assign(
     found = edges.agg(size, *more).first()
     copies, total = {e: bool(found[e]) for e in _ENDS}, found["size"]
     columns, runs, settled = edges.columns, [], []
-    one_amount = cfg.amount_tolerance_cents == 0
-
-    def parts(n: int):
-        """Amounts spread over ``n`` parts; with a tolerance amounts are linked: one part."""
-        return F.pmod(F.xxhash64("t_cents"), F.lit(n)) if one_amount else F.lit(0).cast("bigint")
-
-    while total > group_limit:
-        chosen = _take(_best(edges))
+    cores = edges.sparkSession.sparkContext.defaultParallelism
+
+    def settle(open_edges: DataFrame) -> None:
+        """Finish all edges: amounts or islands spread over parts of a quarter of the limit."""
+        n = max(cores, 1 + 4 * total // max(group_limit, 1))
+        part = F.pmod(F.xxhash64("unit"), F.lit(n))
+        settled.append(_settle_small(open_edges.withColumns({"part": part, "room": room}), members, copies))
+
+    def in_units(open_edges: DataFrame) -> DataFrame:
+        """With the amount, or the island of amounts, that an edge never leaves."""
+        if cfg.amount_tolerance_cents:
+            return with_islands(open_edges, cfg.amount_tolerance_cents, "unit")
+        return open_edges.withColumn("unit", F.col("t_cents"))
+
+    while total:
+        if 0 < total <= group_limit:
+            settle(in_units(edges))
+            break
+        if group_limit:
+            edges = materialize(in_units(edges), "units") if cfg.amount_tolerance_cents else in_units(edges)
+            large = materialize(edges.groupBy("unit").agg(size).filter(F.col("size") > group_limit).select("unit"), "large")
+            settle(edges.join(large, "unit", "left_anti"))
+            if large.isEmpty():
+                break
+            edges = edges.join(large, "unit", "left_semi").select(*columns)
+        ranked = materialize(_ranked(edges), "ranked")
+        chosen = _take(_follow_chains(ranked).drop("t_order", "p_order"))
         if runs and any(copies.values()):
             chosen = _lengthen(materialize(chosen, "best"), members)
         state = materialize(_use_up(chosen), "round")
         runs.append(state.filter("take > 0").select(*_RUN))
         edges = state.select(*columns).filter(room > 0)
-        if one_amount:
-            n = 1 + 4 * edges.agg(size).first()["size"] // max(group_limit, 1)  # a part: a quarter of the limit
-            sizes = edges.groupBy("t_cents").agg(size)
-            large = materialize(sizes.filter(F.col("size") > group_limit).select("t_cents"), "large")
-            small = edges.join(large, "t_cents", "left_anti").withColumns({"part": parts(n), "room": room})
-            settled.append(_settle_small(small, members, copies))
-            edges = edges.join(large, "t_cents", "left_semi")
-        edges = materialize(_move_heads(edges, members) if any(copies.values()) else edges, "open")
+        if any(copies.values()):
+            edges = materialize(_move_heads(edges, members), "open")
         total = edges.agg(size).first()["size"]
-    if total:
-        n = edges.sparkSession.sparkContext.defaultParallelism
-        settled.append(_settle_small(edges.withColumns({"part": parts(n), "room": room}), members, copies))
     found_pairs = [_pairs(reduce(DataFrame.unionByName, runs), members, copies)] if runs else []
     pairs = reduce(DataFrame.unionByName, found_pairs + settled) if found_pairs + settled else (
         edges.sparkSession.createDataFrame([], _PAIR_SCHEMA)

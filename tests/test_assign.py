@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.config import Matching
+from ledgerline.operators import assign as module
 from ledgerline.operators.assign import assign, unmatched
 from ledgerline.operators.candidates import candidates, match_type
+from ledgerline.operators.islands import with_islands
 
 SCHEMA = "{} string, vendor_canonical string, date string, amount_cents bigint, source_file string, source_row_number bigint"
 VENDORS = ["Red Widget", "Red Widget Group", "red widget", "Blue Gear", "Blue Gear Ltda", None]
@@ -60,6 +62,9 @@ def found(tx, pay, cfg, **kw):
         (5, 60, [100, 200], 8, Matching(date_window_days=0, min_score=0.65), 200_000),
         (6, 60, [100, 200], 8, Matching(min_score=0.2), 200_000),
         (7, 60, [-5, 0, 5], 9, Matching(date_window_days=2, amount_tolerance_cents=5, min_score=0.5), 0),
+        (8, 150, range(-300, 300), 5, Matching(amount_tolerance_cents=7, min_score=0.5), 40),
+        (9, 150, range(-300, 300), 5, Matching(amount_tolerance_cents=7, min_score=0.5), 0),
+        (10, 120, range(0, 40), 3, Matching(amount_tolerance_cents=3, min_score=0.3), 25),
     ],
 )
 def test_equals_plain_scan(spark, seed, n, amounts, days, cfg, limit):
@@ -69,6 +74,53 @@ def test_equals_plain_scan(spark, seed, n, amounts, days, cfg, limit):
     assert found(tx, pay, cfg, group_limit=limit) == expected
 
 
+def chain(spark, length, tolerance=30_000):
+    """Facts in a line of amounts, each within reach of its neighbours alone, nearer ones to the end."""
+    cents, rows = 0, ([], [])
+    for i in range(length + 1):
+        rows[i % 2].append((f"{i:06d}", "Acme", "2025-01-01", cents, "a.csv", i))
+        cents += tolerance - 2_000 - i
+    return tuple(spark.createDataFrame(r, SCHEMA.format(c)).repartition(4) for r, c in zip(rows, ("txn_id", "pay_id")))
+
+
+@pytest.mark.parametrize("length", [1, 2, 7, 10_000])
+def test_chain_takes_few_rounds(spark, monkeypatch, length):
+    rounds = []
+    monkeypatch.setattr(module, "_ranked", lambda edges, ranked=module._ranked: rounds.append(1) or ranked(edges))
+    tx, pay = chain(spark, length)
+    got = {frozenset(r[:2]) for r in found(tx, pay, Matching(amount_tolerance_cents=30_000), group_limit=0)}
+    assert got == {frozenset((f"{i - 1:06d}", f"{i:06d}")) for i in range(length, 0, -2)}
+    assert len(rounds) <= 2
+
+
+def test_tolerance_splits_into_many_parts(spark, monkeypatch):
+    parts = []
+    settle = module._settle_small
+    monkeypatch.setattr(module, "_settle_small", lambda edges, *rest: parts.append(edges.select("part", "unit").distinct().collect()) or settle(edges, *rest))
+    tx, pay = feeds(spark, 3, 400, range(0, 60_000, 7), 3)
+    cfg = Matching(amount_tolerance_cents=20, min_score=0.5)
+    assert found(tx, pay, cfg) == plain_scan(tx, pay, cfg)
+    assert len({r.part for r in parts[0]}) > 1 and len({r.unit for r in parts[0]}) > 20
+
+
+def test_islands(spark):
+    rng = random.Random(6)
+    rows = [(a, a + rng.randint(-9, 9)) for a in (rng.randint(-700, 700) for _ in range(90))]
+    edges = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "t_cents bigint, p_cents bigint, i int")
+    for block in (2, 5, 65_536):
+        got = {r.i: r.island for r in with_islands(edges, 9, "island", block).collect()}
+        cells, root = [{a // 19, b // 19} for a, b in rows], {}
+        for pair in cells:
+            low, high = min(pair), max(pair)
+            root.setdefault(low, low), root.setdefault(high, high)
+        for pair in sorted(cells, key=max):
+            root[max(pair)] = root[min(pair)] if len(pair) == 2 else root[max(pair)]
+        find = lambda c: c if root[c] == c else find(root[c])
+        want = {i: find(min(pair)) for i, pair in enumerate(cells)}
+        assert len(got) == len(rows) and len(set(want.values())) > 5
+        assert {frozenset(i for i in got if got[i] == g) for g in got.values()} == {frozenset(i for i in want if want[i] == g) for g in want.values()}
+
+
 def test_copies_match_in_source_order(spark):
     tx, pay = feeds(spark, 9, 300, [100], 1, ["Acme"])
     expected = plain_scan(tx, pay, Matching())
