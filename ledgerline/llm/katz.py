@@ -48,7 +48,7 @@ ORDER = 2
 GT_UP_TO = 5
 FOLDS, HELD_OUT = 5, 1
 
-BLOCK_BYTES = 8 << 20  # text of a block
+BLOCK_BYTES = 4 << 20  # text of a block
 GROUP_TOKENS = 1 << 20  # tokens for each range of hashes
 PLACES = 10 ** 9
 
@@ -134,8 +134,8 @@ class Block:
         sizes = np.asarray(sizes, np.int64)
         begins = np.cumsum(sizes + 2) - sizes - 2
         total = int((sizes + 2).sum())
-        self.text = np.repeat(np.arange(len(sizes)), sizes + 2)
-        self.offset = np.arange(total) - begins[self.text]
+        self.text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 2)
+        self.offset = (np.arange(total) - begins[self.text]).astype(np.int32)
         marks = np.empty(total, np.uint64)
         inner = np.ones(total, bool)
         inner[begins], inner[begins + sizes + 1] = False, False
@@ -149,7 +149,7 @@ class Block:
                 key = np.concatenate([key[:1], joined_hash(key[:-1], marks[1:])])
             valid = np.flatnonzero(self.offset >= k - 1)
             distinct, first, which = np.unique(key[valid], return_index=True, return_inverse=True)
-            at = np.full(total, -1, np.int64)
+            at = np.full(total, -1, np.int32)
             at[valid] = which
             self.keys.append(distinct)
             self.first.append(valid[first])
@@ -275,7 +275,7 @@ def part_scores(state: DataFrame, counted: DataFrame, stats: dict[int, list[int]
             of = history[mine]
             used = np.unique(of)
             parts.append({
-                "kind": ["history"] * len(used), "level": [k] * len(used), "key": block.keys[k - 2][used].view(np.int64), "n": seen[k - 2][used].astype(np.int64),
+                "kind": np.full(len(used), "history"), "level": np.full(len(used), k), "key": block.keys[k - 2][used].view(np.int64), "n": seen[k - 2][used].astype(np.int64),
                 "lost": np.bincount(of, loses(k, seen[k - 1][mine]), len(seen[k - 2]))[used],
                 "lower": np.bincount(of, chances[k - 2][shorter[mine]], len(seen[k - 2]))[used]})
         log = np.zeros(len(text), np.int64)
@@ -288,13 +288,13 @@ def part_scores(state: DataFrame, counted: DataFrame, stats: dict[int, list[int]
             open_tokens[tried[hit]] = False
             missed, history = tried[~hit], histories[k - 1][gram[~hit]]
             backed = seen[k - 2][history] > 0
-            pairs, times = np.unique(text[missed[backed]] * len(seen[k - 2]) + history[backed], return_counts=True)
+            pairs, times = np.unique(text[missed[backed]].astype(np.int64) * len(seen[k - 2]) + history[backed], return_counts=True)
             parts.append({
-                "kind": ["need"] * len(pairs), "block": [row["block"]] * len(pairs), "row": pairs // max(len(seen[k - 2]), 1),
-                "level": [k] * len(pairs), "key": block.keys[k - 2][pairs % max(len(seen[k - 2]), 1)].view(np.int64), "times": times})
+                "kind": np.full(len(pairs), "need"), "block": np.full(len(pairs), row["block"]), "row": pairs // max(len(seen[k - 2]), 1),
+                "level": np.full(len(pairs), k), "key": block.keys[k - 2][pairs % max(len(seen[k - 2]), 1)].view(np.int64), "times": times})
         log[open_tokens] = _rounded(chances[0])[own[0][open_tokens]]
         parts.append({
-            "kind": ["text"] * texts, "block": [row["block"]] * texts, "row": np.arange(texts), "id": row["ids"], "held_out": row["held"],
+            "kind": np.full(texts, "text"), "block": np.full(texts, row["block"]), "row": np.arange(texts), "id": row["ids"], "held_out": row["held"],
             "n_tokens": [s + 1 for s in row["sizes"]], "n_known": known, "base": base, "seen": _sums(text, log, texts)})
         made = []
         for part in parts:
