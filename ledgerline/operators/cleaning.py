@@ -8,11 +8,14 @@ from ..functions.parse import parse_cents, parse_date, parse_status
 from .dedupe import keep_one
 
 
-def clean(df: DataFrame, dedupe: bool = True) -> DataFrame:
-    """Parse ``date_raw`` and ``amount_raw``; identical source rows collapse to the first."""
+def clean(df: DataFrame, dedupe: bool = True, run_year: int | None = None) -> DataFrame:
+    """Parse ``date_raw`` and ``amount_raw``; identical source rows collapse to the first.
+
+    Two-digit years are read from the run's year, so that a batch cleaned again gives the same dates.
+    """
     if dedupe and "row_hash" in df.columns:
         df = keep_one(df)
-    day = parse_date(F.col("date_raw"))
+    day = parse_date(F.col("date_raw"), run_year)
     df = df.withColumns(
         {"_day": day, "amount_cents": parse_cents(F.col("amount_raw"))}
     ).withColumns(

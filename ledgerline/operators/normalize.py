@@ -4,34 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import is_blank, title_case, vendor_clean
 from ..sources.rules import AliasRule
+from .aliases import with_alias
 from .dedupe import keep_one
 
 # Confidence by method.
 ALIAS_CONFIDENCE, FALLBACK_CONFIDENCE, MISSING_CONFIDENCE = 0.95, 0.60, 0.0
 
 
-def first_alias(raw: Column, cleaned: Column, rules: Sequence[AliasRule]) -> Column:
-    """Struct (canonical, pattern) of the first rule that matches either text, else NULL."""
-    hits = [
-        F.when(
-            raw.rlike(f"(?iu){r.pattern}") | ((cleaned != "") & cleaned.rlike(f"(?iu){r.pattern}")),
-            F.struct(F.lit(r.canonical).alias("canonical"), F.lit(r.pattern).alias("pattern")),
-        )
-        for r in rules
-    ]
-    none = F.lit(None).cast("struct<canonical:string,pattern:string>")
-    return F.coalesce(*hits, none)
-
-
 def canonicalize(df: DataFrame, rules: Sequence[AliasRule]) -> DataFrame:
     """Add the cleaned and canonical vendor with method, confidence and notes."""
     raw = F.col("vendor_raw")
     df = df.withColumn("vendor_clean", vendor_clean(raw))
-    df = df.withColumn("_alias", first_alias(raw, F.col("vendor_clean"), rules))
+    df = with_alias(df, rules, "_alias")
     blank, hit, rest = is_blank(raw), F.col("_alias").isNotNull(), F.col("vendor_clean") != ""
     return df.withColumns(
         {

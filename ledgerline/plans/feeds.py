@@ -105,6 +105,9 @@ def _typed_payments(sha: str, cents: str = _COARSE) -> str:
 
 _FINE = "CAST(floor(cents / 10000) * 10000 AS bigint)"
 
+# Amounts on either side of a multiple of a hundred, up to 60 cents off: bands of any width straddle cells.
+_SPREAD = {side: f"({_FINE} {sign} k % 61)" for side, sign in (("transactions", "+"), ("payments", "-"))}
+
 FEEDS: dict[str, Callable[[str], str]] = {
     "text_transactions": _text_transactions,
     "text_payments": _text_payments,
@@ -112,6 +115,8 @@ FEEDS: dict[str, Callable[[str], str]] = {
     "typed_payments": _typed_payments,
     "fine_transactions": lambda sha: _typed_transactions(sha, _FINE),
     "fine_payments": lambda sha: _typed_payments(sha, _FINE),
+    "spread_transactions": lambda sha: _typed_transactions(sha, _SPREAD["transactions"]),
+    "spread_payments": lambda sha: _typed_payments(sha, _SPREAD["payments"]),
 }
 
 

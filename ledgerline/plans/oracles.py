@@ -8,12 +8,11 @@ from .feeds import BATCH, NOW, duckdb_feed
 from .queries import CFG, HUGE_CENTS, NO_WINDOW, TOLERANT, WIDE
 
 _NOISE = ", ".join(f"'{w}'" for w in NOISE_WORDS)
-GREEDY_ROUNDS = 10
 
 
 def _with(ctes: dict[str, str], select: str) -> str:
     listed = ",\n".join(f"{name} AS {'MATERIALIZED ' if name[0] in 'mr' else ''}({sql})" for name, sql in ctes.items())
-    return f"WITH {listed}\n{select}"
+    return f"WITH RECURSIVE {listed}\n{select}"
 
 
 def _clean(v: str) -> str:
@@ -142,8 +141,8 @@ def _closeness(diff: str, reach: int) -> str:
 def _candidates(cfg: Matching, kind: str = "typed") -> dict[str, str]:
     amount = "p.amount_cents = t.amount_cents"
     if cfg.amount_tolerance_cents:
-        amount = f"abs(p.amount_cents - t.amount_cents) <= {cfg.amount_tolerance_cents}"
-        amount += " AND p.amount_cents // 1000 = t.amount_cents // 1000"  # coarse amounts: pairs never straddle
+        tol = cfg.amount_tolerance_cents
+        amount = f"p.amount_cents >= t.amount_cents - {tol} AND p.amount_cents <= t.amount_cents + {tol}"
     band = ""
     if cfg.date_window_days > 0:
         band = f" AND abs(date_diff('day', t.date::date, p.date::date)) <= {cfg.date_window_days}"
@@ -168,26 +167,32 @@ _CANDIDATE = (f"SELECT '{BATCH}' AS batch_id, txn_id, pay_id, sim AS vendor_sim,
               "ad AS amount_diff_cents, score FROM mcand")
 
 
-def _matches(cfg: Matching, kind: str = "typed", rounds: int = GREEDY_ROUNDS) -> dict[str, str]:
-    """Greedy matching: rounds of edges that are the best of both ends."""
-    ctes = _candidates(cfg, kind)
-    left = f"SELECT * FROM mcand WHERE score >= {cfg.min_score}"
-    for i in range(rounds):
-        ctes[f"r{i}"] = left
-        ctes[f"m{i}"] = f"""SELECT * FROM (SELECT *,
-            row_number() OVER (PARTITION BY txn_id ORDER BY score DESC, sim DESC, tr, pr) AS rt,
-            row_number() OVER (PARTITION BY pay_id ORDER BY score DESC, sim DESC, tr, pr) AS rp FROM r{i}) WHERE rt = 1 AND rp = 1"""
-        left = f"SELECT * FROM r{i} WHERE txn_id NOT IN (SELECT txn_id FROM m{i}) AND pay_id NOT IN (SELECT pay_id FROM m{i})"
-    ctes["rest"] = left
-    union = " UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(rounds))
-    ctes["matched"] = f"""SELECT '{BATCH}' AS batch_id, txn_id, pay_id, score AS match_score, {_TYPE} AS match_type,
-        sim AS vendor_sim, dd AS date_diff_days, ad AS amount_diff_cents, '{NOW}' AS matched_at_utc FROM ({union})"""
-    return ctes
+def _matches(cfg: Matching, kind: str = "typed") -> dict[str, str]:
+    """Greedy matching: rounds of edges that are the best of both ends, until no edge is left.
+
+    Rows of a round are the edges that it takes and those that stay open; the next goes on with the latter.
+    """
+    first = "row_number() OVER (PARTITION BY {}_id ORDER BY score DESC, sim DESC, tr, pr) = 1"
+    used = "bool_or(best) OVER (PARTITION BY {}_id)"
+    columns = "txn_id, pay_id, sim, dd, ad, score, tr, pr"
+    return {
+        **_candidates(cfg, kind),
+        "medge": f"SELECT {columns} FROM mcand WHERE score >= {cfg.min_score}",
+        "greedy": f"""SELECT {columns}, false AS taken FROM medge
+          UNION ALL
+          SELECT {columns}, best AS taken FROM (
+            SELECT *, {used.format('txn')} OR {used.format('pay')} AS used FROM (
+              SELECT *, {first.format('txn')} AND {first.format('pay')} AS best FROM greedy WHERE NOT taken))
+          WHERE best OR NOT used""",
+        "matched": f"""SELECT '{BATCH}' AS batch_id, txn_id, pay_id, score AS match_score, {_TYPE} AS match_type,
+            sim AS vendor_sim, dd AS date_diff_days, ad AS amount_diff_cents, '{NOW}' AS matched_at_utc FROM greedy WHERE taken""",
+    }
 
 
 def open_edges(cfg: Matching, kind: str = "typed") -> str:
-    """Edges the unrolled rounds leave: must be none for the SQL to be the whole greedy scan."""
-    return _with(_matches(cfg, kind), "SELECT count(*) FROM rest")
+    """Edges both of whose ends are free: must be none for the SQL to be the whole greedy scan."""
+    return _with(_matches(cfg, kind), """SELECT count(*) FROM medge WHERE txn_id NOT IN (SELECT txn_id FROM matched)
+        AND pay_id NOT IN (SELECT pay_id FROM matched)""")
 
 
 # ---- flags ------------------------------------------------------------------------------
@@ -388,6 +393,12 @@ def oracle_sql() -> dict[str, str]:
         "vendor_clean": f"SELECT k, merchant, {_clean('merchant')} AS cleaned FROM ({_TEXT})",
         "vendor_canonical": f"""SELECT k, vendor_raw, vendor_clean, vendor_canonical, vendor_norm_method, vendor_norm_confidence,
             vendor_norm_notes FROM ({_normed(f'(SELECT k, merchant AS vendor_raw FROM ({_TEXT}))')})""",
+        "vendor_canonical_rule_files": _with({
+            "mrule": "SELECT DISTINCT 'as ' || p_name AS canonical, replace(p_name, ' ', '.*') AS pattern FROM part",
+            "mraw": f"SELECT k, merchant AS vendor_raw, {_clean('merchant')} AS c FROM ({_TEXT})",
+            "mhit": """SELECT k, min(canonical) AS canonical FROM mraw JOIN mrule
+              ON regexp_matches(vendor_raw, pattern, 'i') OR (c <> '' AND regexp_matches(c, pattern, 'i')) GROUP BY k"""},
+            "SELECT k, vendor_raw, canonical AS alias, pattern FROM mraw LEFT JOIN mhit USING (k) LEFT JOIN mrule USING (canonical)"),
         "dedupe_first": _one_copy("ASC"),
         "dedupe_last": _one_copy("DESC"),
         "date_fields": f"""SELECT source_row_number, date, coalesce(strftime(day, '%Y-%m'), '') AS month,
@@ -437,6 +448,9 @@ def oracle_sql() -> dict[str, str]:
         "match_greedy_rounds": _with(matches, "SELECT * FROM matched"),
         "match_greedy_tolerance_rounds": _with(_matches(TOLERANT), "SELECT * FROM matched"),
         "match_greedy_nodate_rounds": _with(_matches(NO_WINDOW, "fine"), "SELECT * FROM matched"),
+        "match_candidates_spread": _with(_candidates(TOLERANT, "spread"), _CANDIDATE),
+        "match_greedy_spread": _with(_matches(TOLERANT, "spread"), "SELECT * FROM matched"),
+        "match_greedy_spread_rounds": _with(_matches(TOLERANT, "spread"), "SELECT * FROM matched"),
         "matches_by_score": _with(matches, "SELECT * FROM matched"),
         "unmatched_transactions": _with(matches, "SELECT * FROM mtx WHERE txn_id NOT IN (SELECT txn_id FROM matched)"),
         "unmatched_vendor_payments": _with(matches, "SELECT * FROM mpay WHERE pay_id NOT IN (SELECT pay_id FROM matched)"),

@@ -12,6 +12,7 @@ from ..functions.parse import parse_cents, parse_date, parse_status
 from ..functions.similarity import vendor_similarity
 from ..functions.text import sanitize_column, vendor_clean
 from ..operators import qa
+from ..operators.aliases import with_alias
 from ..operators.assign import assign, unmatched
 from ..operators.candidates import candidates, match_type
 from ..operators.cleaning import clean
@@ -27,6 +28,7 @@ from ..operators.reports import (
 from ..session import materialize, scratch
 from ..sources.files import ingest
 from ..sources.publish import combine_folder, export_stages, publish
+from ..sources.rules import load_aliases
 from ..sources.store import Store, latest_batch
 from .feeds import ALIASES, BATCH, NOW, PAYMENT_HEADER, POLICY, TEXT_HEADER, read, spark_feed
 from .ledgers import (
@@ -73,7 +75,7 @@ def _mapped(spark, sf, source):
 
 
 def _cleaned(spark, sf, source):
-    return clean(_mapped(spark, sf, source))
+    return clean(_mapped(spark, sf, source), run_year=int(NOW[:4]))
 
 
 def _normed(spark, sf, source):
@@ -338,6 +340,17 @@ def vendor_canonical(spark, sf):
     )
 
 
+def vendor_canonical_rule_files(spark, sf):
+    """Aliases of a rule file, one rule for each name of a part."""
+    names = read(spark, sf, "part").select("p_name").distinct()
+    rules = names.select(F.regexp_replace("p_name", " ", ".*").alias("pattern"), F.concat(F.lit("as "), "p_name").alias("canonical_vendor"))
+    path = scratch(spark, "vendor_aliases.csv")
+    rules.orderBy("canonical_vendor").coalesce(1).write.option("header", True).csv(path)
+    df = spark_feed(spark, sf, "text_transactions").select("k", F.col("merchant").alias("vendor_raw"))
+    found = with_alias(df.withColumn("vendor_clean", vendor_clean(F.col("vendor_raw"))), load_aliases(spark, path), "found")
+    return found.select("k", "vendor_raw", F.col("found.canonical").alias("alias"), "found.pattern")
+
+
 def _copies(spark, sf):
     """Orders of one customer and status count as copies of one row."""
     return read(spark, sf, "orders").select(
@@ -584,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "clean_status": clean_status,
     "vendor_clean": clean_vendors,
     "vendor_canonical": vendor_canonical,
+    "vendor_canonical_rule_files": vendor_canonical_rule_files,
     "dedupe_first": lambda spark, sf: keep_one(_copies(spark, sf)),
     "dedupe_last": lambda spark, sf: keep_one(_copies(spark, sf), last=True),
     "date_fields": date_columns,
@@ -612,6 +626,9 @@ QUERIES: dict[str, Query] = {
     "match_greedy_rounds": _match_query(CFG, group_limit=0),
     "match_greedy_tolerance_rounds": _match_query(TOLERANT, group_limit=0),
     "match_greedy_nodate_rounds": _match_query(NO_WINDOW, "fine", group_limit=0),
+    "match_candidates_spread": _pairs_query(TOLERANT, "spread"),
+    "match_greedy_spread": _match_query(TOLERANT, "spread"),
+    "match_greedy_spread_rounds": _match_query(TOLERANT, "spread", group_limit=0),
     "matches_by_score": matches_listed,
     "unmatched_transactions": unmatched_transactions,
     "unmatched_vendor_payments": unmatched_vendor_payments,

@@ -95,7 +95,7 @@ class Run:
     @_stage
     def clean(self) -> None:
         for name, mapped in self._source("stg", "_mapped"):
-            out = self.store.replace(f"clean_{name}", self.batch_id, clean(mapped))
+            out = self.store.replace(f"clean_{name}", self.batch_id, clean(mapped, run_year=int(self.now[:4])))
             self.store.append("cleaning_runs", clean_ledger(out, name, self.now))
 
     @_stage
