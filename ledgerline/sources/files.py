@@ -17,6 +17,7 @@ from ..functions.keys import row_hash
 from ..functions.text import sanitize_names
 from ..schemas import META
 from ..session import materialize
+from .records import scan_records
 from .xlsx import read_rows
 
 
@@ -222,8 +223,12 @@ def ingest(
         if headers[f.path]:
             groups[tuple(headers[f.path]), _plain(f.path) in spanning].append(f.path)
     for (header, multi_line), paths in groups.items():
-        named = scan_csv(spark, paths, [f"_c{i}" for i in range(len(header))], multi_line)
-        scans.append((list(header), number_rows(materialize(named, "raw"))))
+        names = [f"_c{i}" for i in range(len(header))]
+        if multi_line:
+            rows = scan_records(spark, paths, names, unescape_path(F.col("_metadata.file_path")))
+        else:
+            rows = number_rows(materialize(scan_csv(spark, paths, names, False), "raw"))
+        scans.append((list(header), rows))
     if sheets:
         cells = materialize(read_rows(spark, [f.path for f in sheets]), "cells")
         first = cells.filter("line = 0").select("path", "cells").collect()
