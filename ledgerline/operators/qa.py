@@ -1,7 +1,9 @@
 """Quality and policy flags on one batch of facts.
 
-Rules that look at one row share a single pass: each row carries an array of its flags, which
-``inline`` unfolds.  Only the duplicate rule shuffles.
+All flags take two scans of the facts.  The first groups them by vendor, date and amount: from these
+counts come the duplicates, the percentile of amounts, the size of the batch and whether a text field
+holds numbers.  The second works out all rules: each row carries an array of its flags, which ``inline``
+unfolds.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.parse import numeric
 from ..functions.text import is_blank
 from ..schemas import FLAGS, ID_COLUMN
+from ..session import materialize
 from ..sources.rules import PolicyRule
 
 Rule = tuple[Column, str, str, Column]
@@ -72,33 +75,36 @@ def weekend_rules(df: DataFrame, record_type: str) -> list[Rule]:
     ]
 
 
-def percentile_99(df: DataFrame) -> DataFrame:
+def percentile_99(df: DataFrame, weight: str | None = None) -> DataFrame:
     """One row: ``n`` and ``thr100``, a hundred times the exact 99th percentile.
 
+    A row counts as often as ``weight`` says, once without one.
+
     The built-in exact percentile merges every distinct value in one task.  Here passes count
     rows per bin of 2**42 and then, within the bin that holds the wanted rank, of 2**21 cents; a
     last pass counts the values of that bin alone.  So every running sum sees at most 2**22 rows,
     whatever the amounts.  Linear interpolation at rank (n - 1) * 0.99 has two decimals, so it
     is done in integers.
     """
-    cents = df.select(F.col("amount_cents").try_cast("bigint").alias("v")).filter("v is not null")
+    times = F.col(weight) if weight else F.lit(1)
+    cents = df.select(F.col("amount_cents").try_cast("bigint").alias("v"), times.cast("bigint").alias("w")).filter("v is not null and w > 0")
     picked, rows = None, cents
     for bits in _BIN_BITS:
-        bins = rows.groupBy(F.shiftright("v", bits).alias("bin")).agg(F.count("*").alias("c"), F.min("v").alias("low"))
+        bins = rows.groupBy(F.shiftright("v", bits).alias("bin")).agg(F.sum("w").alias("c"), F.min("v").alias("low"))
         ranked = bins.selectExpr(
             "bin", "c", "sum(c) over () as n", "sum(c) over (order by bin) - c as before", "lead(low) over (order by bin) as next_low",
         )
         if picked is None:
             ranked = ranked.selectExpr("*", "((n - 1) * 99) div 100 as rank", "((n - 1) * 99) % 100 as rest")
         else:  # ranks and the next value count on from the wider bin
-            ranked = ranked.withColumn("w", picked).selectExpr(
-                "bin", "c", "w.n as n", "before + w.before as before", "coalesce(next_low, w.next_low) as next_low",
-                "w.rank as rank", "w.rest as rest")
+            ranked = ranked.withColumn("p", picked).selectExpr(
+                "bin", "c", "p.n as n", "before + p.before as before", "coalesce(next_low, p.next_low) as next_low",
+                "p.rank as rank", "p.rest as rest")
         chosen = ranked.filter("rank >= before and rank < before + c")
         picked = chosen.select(F.struct("bin", "before", "rank", "rest", "next_low", "n").alias("p")).scalar()
         rows = cents.filter(F.shiftright("v", bits) == picked.getField("bin"))
     values = (
-        rows.groupBy("v").agg(F.count("*").alias("c"))
+        rows.groupBy("v").agg(F.sum("w").alias("c"))
         .selectExpr("v", "c", "sum(c) over (order by v) - c as upto", "lead(v) over (order by v) as next_v")
         .withColumn("p", picked)
         .selectExpr("*", "p.rank - p.before as r")
@@ -119,9 +125,9 @@ def _wide(c: Column) -> Column:
     return c.cast("decimal(38,0)")
 
 
-def outlier_rules(df: DataFrame) -> list[Rule]:
-    """Strictly above the 99th percentile, or above a fixed amount in a small batch."""
-    thr100 = percentile_99(df).select(
+def outlier_rules(df: DataFrame, weight: str | None = None) -> list[Rule]:
+    """Strictly above the 99th percentile of the frame's amounts, or above a fixed amount in a small batch."""
+    thr100 = percentile_99(df, weight).select(
         F.when(F.col("n") < SMALL_BATCH_ROWS, _wide(F.lit(SMALL_BATCH_CENTS * 100))).otherwise(F.col("thr100")).alias("t")
     ).scalar()
     message = F.format_string(
@@ -133,21 +139,37 @@ def outlier_rules(df: DataFrame) -> list[Rule]:
     ]
 
 
-def compare(df: DataFrame, field: str, op: str, value: str) -> Column:
+def _wanted(value: str) -> float | None:
+    """The number that a rule compares with; none if the value is text."""
+    try:
+        wanted = float(value)
+    except ValueError:
+        return None
+    return wanted if wanted == wanted else None
+
+
+def _may_be_text(df: DataFrame, field: str, value: str) -> bool:
+    """Whether a rule needs to know if any entry of the field is numeric."""
+    return _wanted(value) is not None and not isinstance(df.schema[field].dataType, T.NumericType)
+
+
+def _has_numbers(field: str) -> Column:
+    return F.coalesce(F.bool_or(numeric(F.col(f"`{field}`")).isNotNull()), F.lit(False))
+
+
+def compare(df: DataFrame, field: str, op: str, value: str, any_number: Column | None = None) -> Column:
     """``field op value``: as numbers when the value and any entry are numeric, else as text.
 
-    Text knows == and != only.  A missing entry is unequal to every number.
+    Text knows == and != only.  A missing entry is unequal to every number.  ``any_number`` says
+    whether an entry is numeric where that is known already.
     """
     c = F.col(f"`{field}`")
     text = F.coalesce(c.cast("string"), F.lit("None"))
     as_text = {"==": text == value, "!=": text != value}.get(op, F.lit(False))
-    try:
-        wanted = float(value)
-    except ValueError:
-        return as_text
-    if wanted != wanted:
+    wanted = _wanted(value)
+    if wanted is None:
         return as_text
-    typed = isinstance(df.schema[field].dataType, T.NumericType)
+    typed = not _may_be_text(df, field, value)
     n = c.cast("double") if typed else numeric(c)
     as_number = {
         ">": n > wanted, ">=": n >= wanted, "<": n < wanted, "<=": n <= wanted,
@@ -157,40 +179,64 @@ def compare(df: DataFrame, field: str, op: str, value: str) -> Column:
         return as_text
     if typed:
         return as_number
-    any_number = df.select(F.coalesce(F.bool_or(n.isNotNull()), F.lit(False))).scalar()
+    if any_number is None:
+        any_number = df.select(_has_numbers(field)).scalar()
     return F.when(any_number, as_number).otherwise(as_text)
 
 
-def policy_rules(df: DataFrame, record_type: str, rules: Sequence[PolicyRule]) -> list[Rule]:
+def _applied(df: DataFrame, record_type: str, rules: Sequence[PolicyRule]) -> list[PolicyRule]:
+    return [r for r in rules if r.applies_to in ("both", record_type) and r.field in df.columns and r.op]
+
+
+def policy_rules(
+    df: DataFrame, record_type: str, rules: Sequence[PolicyRule], numbers: dict[str, Column] | None = None
+) -> list[Rule]:
+    """Conditions of the rules that apply; ``numbers`` says of fields whether an entry is numeric."""
     return [
         (
-            compare(df, r.field, r.op, r.value), r.flag_code, r.severity,
+            compare(df, r.field, r.op, r.value, (numbers or {}).get(r.field)), r.flag_code, r.severity,
             F.lit(r.message or f"Policy rule hit: {r.field} {r.op} {r.value}"),
         )
-        for r in rules
-        if r.applies_to in ("both", record_type) and r.field in df.columns and r.op
+        for r in _applied(df, record_type, rules)
     ]
 
 
-def duplicate_flags(df: DataFrame, record_type: str, created_at: str) -> DataFrame:
-    """Facts that share vendor, date and amount.
+_DUPLICATE_KEYS = ("vendor_id", "date", "amount_cents")
+
+
+def _groups(df: DataFrame, record_type: str, fields: Sequence[str] = ()) -> DataFrame:
+    """Facts by vendor, date and amount: ids, rows, and whether text fields hold numbers.  One scan, written."""
+    known = [_has_numbers(f).alias(f"numbers_{i}") for i, f in enumerate(fields)]
+    return materialize(df.groupBy(*_DUPLICATE_KEYS).agg(
+        F.count(ID_COLUMN[record_type]).alias("n"), F.count("*").alias("rows"), *known), "fact-groups")
+
+
+def _mark_duplicates(df: DataFrame, groups: DataFrame, name: str) -> DataFrame:
+    """Add whether a fact shares vendor, date and amount with another.
 
-    Groups are counted with partial aggregation.  A group is hot when it holds over a
-    thousandth of the batch, so there are fewer than a thousand hot groups: a bounded table
-    that is broadcast, and hot rows never shuffle.  All other groups join by their key.
+    A group is hot when it holds over a thousandth of the batch, so there are fewer than a thousand
+    hot groups: a bounded table that is broadcast.  Facts of the other groups join by their key; the
+    hot ones get a number that no group has, so they spread over all tasks.
     """
-    keys = ["vendor_id", "date", "amount_cents"]
-    facts = df.filter(" and ".join(f"{k} is not null" for k in keys))
-    groups = facts.groupBy(*keys).agg(F.count(ID_COLUMN[record_type]).alias("n"))
-    share = facts.select((F.count("*") / 1000).alias("s")).scalar()
-    hot = F.broadcast(groups.filter(F.col("n") > F.greatest(share, F.lit(1))).select(*keys))
-    others = groups.filter((F.col("n") > 1) & (F.col("n") <= share)).select(*keys)
-    hits = facts.join(hot, keys, "left_semi").unionByName(
-        facts.join(hot, keys, "left_anti").join(others, keys, "left_semi")
-    )
-    rule = (F.lit(True), "DUPLICATE_LIKELY", "warning",
-            F.lit("Potential duplicate: same vendor, date, and amount."))
-    return flag_rows(hits, record_type, [rule], created_at)
+    keys = list(_DUPLICATE_KEYS)
+    groups = groups.filter(" and ".join(f"{k} is not null" for k in keys))
+    share = groups.select((F.sum("rows") / 1000).alias("s")).scalar()
+    hot = groups.filter(F.col("n") > F.greatest(share, F.lit(1))).select(*keys, F.lit(True).alias("_hot"))
+    others = groups.filter((F.col("n") > 1) & (F.col("n") <= share)).select(*keys, F.lit(0).alias("_spread"), F.lit(True).alias("_other"))
+    spread = F.when(F.col("_hot"), -1 - F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20)).cast("int")).otherwise(0)
+    marked = df.join(F.broadcast(hot), keys, "left").withColumn("_spread", spread).join(others, [*keys, "_spread"], "left")
+    return marked.withColumn(name, F.coalesce("_hot", "_other", F.lit(False))).drop("_hot", "_other", "_spread")
+
+
+# Code, severity and message.
+def duplicate_rules(marked: str) -> list[Rule]:
+    return [(F.col(marked), "DUPLICATE_LIKELY", "warning", F.lit("Potential duplicate: same vendor, date, and amount."))]
+
+
+def duplicate_flags(df: DataFrame, record_type: str, created_at: str) -> DataFrame:
+    """Facts that share vendor, date and amount."""
+    marked = _mark_duplicates(df, _groups(df, record_type), "_duplicate")
+    return flag_rows(marked, record_type, duplicate_rules("_duplicate"), created_at)
 
 
 def qa_flags(
@@ -204,10 +250,12 @@ def qa_flags(
     for record_type, df in (("transactions", transactions), ("vendor_payments", payments)):
         if df is None:
             continue
+        fields = list(dict.fromkeys(r.field for r in _applied(df, record_type, rules) if _may_be_text(df, r.field, r.value)))
+        groups = _groups(df, record_type, fields)
+        numbers = {f: groups.select(F.coalesce(F.bool_or(f"numbers_{i}"), F.lit(False))).scalar() for i, f in enumerate(fields)}
         row_rules = [
-            *missing_rules(), *weekend_rules(df, record_type), *outlier_rules(df),
-            *policy_rules(df, record_type, rules),
+            *missing_rules(), *weekend_rules(df, record_type), *outlier_rules(groups, "rows"),
+            *policy_rules(df, record_type, rules, numbers), *duplicate_rules("_duplicate"),
         ]
-        parts.append(flag_rows(df, record_type, row_rules, created_at))
-        parts.append(duplicate_flags(df, record_type, created_at))
+        parts.append(flag_rows(_mark_duplicates(df, groups, "_duplicate"), record_type, row_rules, created_at))
     return reduce(DataFrame.unionByName, parts)

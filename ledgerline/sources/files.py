@@ -7,7 +7,6 @@ import io
 import json
 from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -122,18 +121,51 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return unique_headers(next(csv.reader(io.StringIO(text, newline="")), [])) if text else []
 
 
-def files_with_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files where a quoted field spans lines: some line has an odd number of quotes.
+def survey(spark: SparkSession, files: Sequence[FileInfo]) -> dict[str, tuple[list[str], bool]]:
+    """Of each file that isn't empty its header, and whether quoted fields span lines.  One pass over the text.
 
-    All other files can be split, so that one large file is read by many tasks.
+    Fields span lines where some line has an odd number of quotes; all other files can be split, so
+    that one large file is read by many tasks.  The driver gets one line of each file and opens only those
+    whose header goes on in the next line.
     """
-    value = F.col("value")
+    if not files:
+        return {}
+    value, path = F.col("value"), unescape_path(F.col("_metadata.file_path")).alias("path")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"')))
-    found = (
-        spark.read.text(paths).filter(quotes % 2 == 1)
-        .select(unescape_path(F.col("_metadata.file_path")).alias("path")).distinct()
-    )
-    return {r.path for r in found.collect()}
+    first = (F.col("_metadata.file_block_start") == 0) & (F.btrim(value, F.lit("\ufeff \t")) != "")
+    lines = spark.read.text([f.path for f in files]).select(
+        path, F.when(first, value).alias("line"), F.monotonically_increasing_id().alias("at"), (quotes % 2 == 1).alias("odd"))
+    found = lines.groupBy("path").agg(
+        F.min_by("line", F.when(F.col("line").isNotNull(), F.col("at"))).alias("line"), F.bool_or("odd").alias("spans"))
+    # A longer one is no header: it must not reach the driver.
+    found = found.withColumn("line", F.when(F.length("line") <= HEADER_CHARS, F.col("line")))
+    opened = {_plain(f.path): f.path for f in files}
+    out = {}
+    for row in found.collect():
+        text = row.line.removeprefix("\ufeff") if row.line is not None else None
+        if text is None or open_quote(text):
+            header = read_header(spark, opened[row.path])
+        else:
+            header = unique_headers(next(csv.reader([text]), []))
+        if header:
+            out[opened[row.path]] = header, row.spans
+    return out
+
+
+def scan_texts(spark: SparkSession, found: dict[str, tuple[list[str], bool]]) -> list[tuple[list[str], DataFrame]]:
+    """Header and numbered rows (columns _c0, _c1 ..., _path, source_row_number) of files of like header and layout."""
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for path, (header, spans) in found.items():
+        groups[tuple(header), spans].append(path)
+    scans = []
+    for (header, spans), paths in groups.items():
+        names = [f"_c{i}" for i in range(len(header))]
+        if spans:
+            rows = scan_records(spark, paths, names, unescape_path(F.col("_metadata.file_path")))
+        else:
+            rows = number_rows(materialize(scan_csv(spark, paths, names, False), "raw"))
+        scans.append((list(header), rows))
+    return scans
 
 
 def scan_csv(spark: SparkSession, paths: list[str], header: Sequence[str], multi_line: bool) -> DataFrame:
@@ -211,24 +243,9 @@ def ingest(
             raise ValueError(f"unsupported file type: {f.path}")
     sheets = [f for f in files if f.path.lower().endswith(".xlsx")]
     texts = [f for f in files if f not in sheets]
-    headers: dict[str, list[str]] = {}
-    if texts:
-        with ThreadPoolExecutor(16) as pool:
-            found = pool.map(lambda f: read_header(spark, f.path), texts)
-            headers.update(zip([f.path for f in texts], found))
-        spanning = files_with_line_breaks(spark, [f.path for f in texts])
-    scans: list[tuple[list[str], DataFrame]] = []
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for f in texts:
-        if headers[f.path]:
-            groups[tuple(headers[f.path]), _plain(f.path) in spanning].append(f.path)
-    for (header, multi_line), paths in groups.items():
-        names = [f"_c{i}" for i in range(len(header))]
-        if multi_line:
-            rows = scan_records(spark, paths, names, unescape_path(F.col("_metadata.file_path")))
-        else:
-            rows = number_rows(materialize(scan_csv(spark, paths, names, False), "raw"))
-        scans.append((list(header), rows))
+    found = survey(spark, texts)
+    headers = {path: header for path, (header, _) in found.items()}
+    scans = scan_texts(spark, found)
     if sheets:
         cells = materialize(read_rows(spark, [f.path for f in sheets]), "cells")
         first = cells.filter("line = 0").select("path", "cells").collect()

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .files import list_files, read_header, scan_csv
+from .files import list_files, scan_texts, survey
 from .store import partition_value
 
 # The published datasets.
@@ -69,14 +68,9 @@ def combine_folder(spark: SparkSession, folder: str) -> DataFrame | None:
     """
     files = [f for f in list_files(spark, f"{folder.rstrip('/')}/*/*") + list_files(spark, f"{folder.rstrip('/')}/*")
              if re.search(r"\.csv$", f.path, re.IGNORECASE)]
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for f in files:
-        header = read_header(spark, f.path)
-        if header:
-            groups[tuple(header)].append(f.path)
     parts = [
-        scan_csv(spark, paths, list(header), True).drop("_path", "_block", "_order")
-        for header, paths in groups.items()
+        rows.select(*[F.col(f"_c{i}").alias(name) for i, name in enumerate(header)])
+        for header, rows in scan_texts(spark, survey(spark, files))
     ]
     if not parts:
         return None

@@ -123,6 +123,35 @@ def test_store_replaces_by_nothing_and_purges(spark, tmp_path):
     assert not store.exists("t", "2")
 
 
+def test_a_replacement_is_one_step(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    rows = lambda n: spark.range(n).withColumn("batch_id", F.lit("a/b 1"))
+    store.append("t", rows(3))
+    store.append("t", spark.range(2).withColumn("batch_id", F.lit("other")))
+    with monkeypatch.context() as broken:
+        def dies(*args):
+            raise RuntimeError("killed")
+
+        broken.setattr(Store, "_point", dies)
+        with pytest.raises(RuntimeError):
+            store.replace("t", "a/b 1", rows(5))
+        with pytest.raises(RuntimeError):
+            store.replace("t", "new", rows(5))
+    assert store.batch("t", "a/b 1").count() == 3 and store.table("t").count() == 5 and not store.exists("t", "new")
+    for n in (7, 4, 6):
+        found = store.replace("t", "a/b 1", store.batch("t", "a/b 1").limit(0).unionByName(rows(n)))
+        assert found.count() == n == store.batch("t", "a/b 1").count() and store.table("t").count() == n + 2
+        if n == 4:
+            begun = found
+    assert begun.collect() and begun.count() == 4  # a reader that began with the version before the last
+    store.append("t", rows(1).withColumn("more", F.lit(1)))
+    assert store.batch("t", "a/b 1").count() == 7 and store.table("t").columns == ["batch_id", "id", "more"]
+    store.replace("t", "a/b 1", rows(0))
+    assert store.batch("t", "a/b 1").count() == 0 and store.table("t").count() == 2
+    store.purge("t", "a/b 1")
+    assert not store.exists("t", "a/b 1") and store.table("t").count() == 2
+
+
 def test_odd_files(spark, tmp_path):
     write(tmp_path, "in/f1.csv", '\ufeffA,B\n1,"x\ny"\nNA,null\n\n3,\n')
     write(tmp_path, "in/f2.csv", "A,A,a,C d\n1,2,3,4\n")
