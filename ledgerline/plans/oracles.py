@@ -337,6 +337,7 @@ def oracle_sql() -> dict[str, str]:
     tx_clean, pay_clean = {"mclean": _cleaned("transactions")}, {"mclean": _cleaned("payments")}
     norm = {**tx_clean, "mnorm": _normed("mclean")}
     return {
+        "csv_scan_line_breaks": "SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, 'end' AS last FROM documents",
         "csv_scan_raw": f"SELECT transaction_id, post_date, merchant, amount, currency, memo FROM ({_TEXT})",
         "sanitize_headers": f"""SELECT *, CASE WHEN {_SAFE_NAME} = '' THEN 'col' WHEN {_SAFE_NAME} SIMILAR TO '[0-9].*'
             THEN 'c_' || {_SAFE_NAME} ELSE {_SAFE_NAME} END AS safe_name

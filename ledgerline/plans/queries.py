@@ -154,6 +154,15 @@ def csv_scan_raw(spark, sf):
     return _ingested(spark, sf).rows.select(*names)
 
 
+def csv_scan_line_breaks(spark, sf):
+    """Texts with line breaks and quotes, exported and scanned again."""
+    root = scratch(spark, "line-breaks")
+    docs = read(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit("end").alias("last"))
+    docs.write.options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(root)
+    rows = ingest(spark, f"{root}/*.csv", "documents", BATCH, NOW, root).rows
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.sha2("text", 256).alias("text_sha256"), "last")
+
+
 def ingest_lineage(spark, sf):
     return _ingested(spark, sf).rows.select(
         "batch_id", "ingested_at_utc", "source_name", _folder(),
@@ -577,6 +586,7 @@ def kpis(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "csv_scan_raw": csv_scan_raw,
+    "csv_scan_line_breaks": csv_scan_line_breaks,
     "sanitize_headers": sanitize_headers,
     "ingest_lineage": ingest_lineage,
     "row_hash": documents_row_hash,

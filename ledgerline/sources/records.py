@@ -148,7 +148,7 @@ def scan_records(spark: SparkSession, paths: list[str], header: Sequence[str], p
     records = whole.unionByName(several).withColumn("value", F.regexp_replace("value", r"\r\z", "")).where("value <> ''")
     surplus = "_surplus"
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, surplus]])
-    options = {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
+    options = {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1", "multiLine": "true"}  # line ends within quotes stay
     fields = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
     numbered = records.withColumn("source_row_number", F.row_number().over(Window.partitionBy("_path", "_block").orderBy("_order")).cast("bigint"))
     numbered = materialize(numbered, "records")
