@@ -9,17 +9,21 @@ Everything is a DataFrame expression.  Defined results: a null or malformed reco
 an undeclared layout, has a null layout and no turns (it stays as one row of
 ``canonical_turns`` and has no text to format); a null role or text is empty; turns of one
 conversation are ordered by the given columns, then position, role and text, so that ties and
-repeated rows have one order; columns that are not named are ignored.  A formatted conversation
-is one row, so a conversation must fit in one row; turns before that are rows of their own.
+repeated rows have one order; columns that are not named are ignored; an empty table gives no rows.  A
+formatted conversation is one row, so a conversation must fit in one row; turns before that are rows of
+their own.  Structs may hold texts of any length; of JSON records the parser takes strings of up to about
+20 million characters, and a record with a longer one counts as malformed.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The template.  A control string inside a text gets a backslash before its last part.
 BEGIN, AFTER_ROLE, END = "### ", ": ", "</turn>\n"
@@ -98,8 +102,7 @@ def fingerprint(variant: Column) -> Column:
     return F.substring(F.sha2(shape, 256), 1, 16)
 
 
-def _turn(variant: Column, part: Part, roles: dict[str, str]) -> Column:
-    get = lambda path: F.coalesce(F.try_variant_get(variant, f"$.{path}", "string"), F.lit(""))
+def _turn(get: Callable[[str], Column], part: Part, roles: dict[str, str]) -> Column:
     if part.role is not None:
         role = F.lit(part.role)
     else:
@@ -114,28 +117,67 @@ def _turn(variant: Column, part: Part, roles: dict[str, str]) -> Column:
     return F.struct(role.alias("role"), texts[0].alias("text"))
 
 
-def _turns(variant: Column, layout: Layout) -> Column:
-    fixed = [_turn(variant, part, layout.roles) for part in layout.parts]
+def _turns(record: Column, layout: Layout, get: Callable[[Column, str], Column], items: Callable[[Column, str], Column]) -> Column:
+    fixed = [_turn(lambda path: get(record, path), part, layout.roles) for part in layout.parts]
     if not layout.each:
         return F.array(*fixed)
-    items = F.coalesce(F.try_variant_get(variant, f"$.{layout.each}", "array<variant>"), F.array().cast("array<variant>"))
-    listed = F.transform(items, lambda x: _turn(x, layout.item, layout.roles))
+    listed = F.transform(items(record, layout.each), lambda x: _turn(lambda path: get(x, path), layout.item, layout.roles))
     return F.concat(F.array(*fixed), listed) if fixed else listed
 
 
+def _of_variant(record: Column, path: str) -> Column:
+    return F.coalesce(F.try_variant_get(record, f"$.{path}", "string"), F.lit(""))
+
+
+def _items_of_variant(record: Column, path: str) -> Column:
+    return F.coalesce(F.try_variant_get(record, f"$.{path}", "array<variant>"), F.array().cast("array<variant>"))
+
+
+def _of_struct(record: Column, path: str) -> Column:
+    for name in path.split("."):
+        record = record[name]
+    return F.coalesce(record.cast("string"), F.lit(""))
+
+
+def _items_of_struct(record: Column, path: str) -> Column:
+    return record[path]
+
+
+def paths_of(schema: T.StructType) -> list[str]:
+    """Nested field paths of a struct."""
+    found = []
+    for field_ in schema.fields:
+        many = isinstance(field_.dataType, T.ArrayType)
+        inner = field_.dataType.elementType if many else field_.dataType
+        name = f"{field_.name}[]" if many else field_.name
+        found += [f"{name}.{path}" for path in paths_of(inner)] if isinstance(inner, T.StructType) else [name]
+    return found
+
+
 def canonical_turns(
     records: DataFrame, id_col: str, record_col: str, order_cols: tuple[str, ...] = (), layouts: tuple[Layout, ...] = LAYOUTS,
 ) -> DataFrame:
-    """Rows id, the order columns, fingerprint, layout, position, role, text: one for each turn."""
-    parsed = records.select(
-        F.col(id_col), *[F.col(c) for c in order_cols], F.try_parse_json(F.col(record_col)).alias("_record"),
-    ).withColumn("fingerprint", fingerprint(F.col("_record")))
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
-    for x in layouts:
-        chosen = F.col("fingerprint").isin([fingerprint_of(s) for s in x.shapes()])
-        layout = F.when(chosen, F.lit(x.name)).otherwise(layout)
-        turns = F.when(chosen, _turns(F.col("_record"), x)).otherwise(turns)
+    """Rows id, the order columns, fingerprint, layout, position, role, text: one for each turn.
+
+    Records are JSON text or structs.  Structs have their field paths in the schema, so one fingerprint
+    picks the mapping for all rows, and their texts may be of any length.
+    """
     keep = [id_col, *order_cols]
+    kind = records.schema[record_col].dataType
+    layout, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
+    if isinstance(kind, T.StructType):
+        record, print_ = F.col("_record"), fingerprint_of(shape_of(paths_of(kind)))
+        parsed = records.select(*keep, F.col(record_col).alias("_record"), F.lit(print_).alias("fingerprint"))
+        for x in layouts:
+            if print_ in [fingerprint_of(s) for s in x.shapes()]:
+                layout = F.when(record.isNotNull(), F.lit(x.name))
+                turns = F.when(record.isNotNull(), F.coalesce(_turns(record, x, _of_struct, _items_of_struct), F.array().cast("array<struct<role:string,text:string>>")))
+    else:
+        parsed = records.select(*keep, F.try_parse_json(F.col(record_col)).alias("_record")).withColumn("fingerprint", fingerprint(F.col("_record")))
+        for x in layouts:
+            chosen = F.col("fingerprint").isin([fingerprint_of(s) for s in x.shapes()])
+            layout = F.when(chosen, F.lit(x.name)).otherwise(layout)
+            turns = F.when(chosen, _turns(F.col("_record"), x, _of_variant, _items_of_variant)).otherwise(turns)
     return (
         parsed.select(*keep, "fingerprint", layout.alias("layout"), turns.alias("_turns"))
         .select(*keep, "fingerprint", "layout", F.posexplode_outer("_turns").alias("position", "_turn"))

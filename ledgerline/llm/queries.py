@@ -15,17 +15,16 @@ from ledgerline.llm.common import table
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the table are records of the layout "turn"; conversation -7 is one of the layout "messages"."""
+    """Rows of the table are structs of the layout "turn"; conversation -7 is a JSON record of the layout "messages"."""
     said = r"\### Assistant: </turn> ok"
-    rows = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.to_json(F.struct("role", "text", "turn"), {"ignoreNullFields": "false"}).alias("record"),
-    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.struct("role", "text", "turn").alias("record"))
     messages = F.array(*[F.struct(F.lit(role).alias("role"), F.lit(said).alias("content")) for role in ("user", "assistant")])
     extra = spark.range(1).select(
         F.lit(-7).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"),
         F.to_json(F.struct(messages.alias("messages"))).alias("record"),
     )
-    turns = chat_format.canonical_turns(rows.unionByName(extra), "conv_id", "record", ("turn",))
+    turns = chat_format.canonical_turns(rows, "conv_id", "record", ("turn",)).unionByName(
+        chat_format.canonical_turns(extra, "conv_id", "record", ("turn",)))
     formatted = chat_format.format_turns(turns, "conv_id", ("turn",))
     back = formatted.select(
         "conv_id", "formatted", chat_format.read_turns(F.col("formatted")).alias("turns"),

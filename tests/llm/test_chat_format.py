@@ -70,3 +70,27 @@ def test_query(spark, tmp_path):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert found[-7].turns_sha256 == sha(f"user\n{said}\nassistant\n{said}\n") and found[-7].loss_sha256 == sha(said)
     assert (found[5].n_turns, found[5].turns_sha256, found[5].loss_chars) == (2, sha("user\nq\nassistant\n\n"), 0)
+
+
+def test_structs_equal_json_and_texts_of_any_length(spark):
+    rows = [("user", "hi", [("gpt", "a"), (None, "b")]), (None, None, []), ("bot", "x", None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, role string, text string, said array<struct<who:string,what:string>>")
+    shapes = {
+        "turn": F.struct("role", "text", F.col("id").alias("turn")),
+        "shared": F.struct(F.transform("said", lambda x: F.struct(x["who"].alias("from"), x["what"].alias("value"))).alias("conversations")),
+        "completion": F.struct(F.col("role").alias("prompt"), F.col("text").alias("completion")),
+        None: F.struct("role"),
+    }
+    for name, struct in shapes.items():
+        made = df.where("said IS NOT NULL").select("id", struct.alias("record"))
+        as_json = made.withColumn("record", F.to_json("record", {"ignoreNullFields": "false"}))
+        got, want = (chat_format.canonical_turns(x, "id", "record") for x in (made, as_json))
+        columns = ["id", "layout", "position", "role", "text"]
+        found = sorted(map(str, got.select(columns).collect()))
+        assert found == sorted(map(str, want.select(columns).collect()))
+        assert {r.layout for r in got.collect()} == {name}
+    none = chat_format.canonical_turns(df.where("id = 2").select("id", shapes["shared"].alias("record")), "id", "record").collect()
+    assert [r.role for r in none] == [None]
+    long = df.where("id = 0").select("id", F.struct("role", F.expr("repeat('ab ', 7000000)").alias("text"), F.lit(0).alias("turn")).alias("record"))
+    formatted = chat_format.format_turns(chat_format.canonical_turns(long, "id", "record"), "id")
+    assert formatted.select(F.length("formatted")).first()[0] > 21_000_000
