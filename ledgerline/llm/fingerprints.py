@@ -15,7 +15,7 @@ Defined results: a null text is empty; a text without words has the one term "",
 texts have equal fingerprints.  Equal texts have equal fingerprints.  Repeated rows (same id and
 same text) count once in the order and keep all their rows in the result; rows with one id and
 different texts are ordered by the hash of the text; null ids come last.  Other columns are
-ignored.
+ignored.  Very long texts are taken whole, as terms with their counts; an empty table gives no rows.
 """
 
 from __future__ import annotations

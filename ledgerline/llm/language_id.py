@@ -17,8 +17,8 @@ of all texts is summed on the map side, and its rows are split by the skew join.
 Defined results: a null or empty text has no text evidence; an unknown declared language or
 suffix says nothing; a null host is a host of its own; without any evidence the prior decides;
 if nothing declares a language there is no model, and language and confidence are null; ties go
-to the first language by name; repeated rows stay; an empty table gives no rows; other columns
-are ignored.
+to the first language by name; repeated rows stay; very long texts are read whole; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

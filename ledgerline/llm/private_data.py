@@ -9,7 +9,8 @@ source characters.  A method span is added where it overlaps no base span of its
 Transducers only change a text that holds something for them to change; then all of it is
 rewritten.  Rows are independent: a scan, no shuffle.
 
-Defined results: a null or empty text has no spans; repeated rows get equal results; an empty
+Defined results: a null or empty text has no spans; an added span that overlaps a base span of its kind
+gives way to it, spans that begin together go by kind; repeated rows get equal results; an empty
 table gives no rows; the other columns stay, a new column gets another name if its name is
 taken.  Patterns take time in proportion to the text, however long its runs are.
 """

@@ -5,7 +5,8 @@ no user functions, no shuffle.  A rule names a measure and the range in which it
 table of rules becomes one boolean and the list of rules that a text breaks.
 
 Defined results: a null or empty text has no words, so every ratio is zero; it breaks the word
-count rule.  Repeated rows get equal results.  Very long texts are measured whole.  Columns of
+count rule.  Repeated rows get equal results.  Very long texts are measured whole.  An empty table gives
+no rows.  Columns of
 the input stay; new names that clash are the caller's to choose (``prefix``).
 """
 

@@ -12,7 +12,8 @@ that a value copied into a third of the corpus is counted on the map side; the v
 joined back by hash, where a frequent hash is split by the skew join, and gathered for each text.
 
 Defined results: a null or empty text has no spans; a null owner or repository is one of its
-own; repeated rows get equal results; an empty table gives no rows; other columns are ignored.
+own; repeated rows get equal results; very long texts are scanned whole, in time in
+proportion; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

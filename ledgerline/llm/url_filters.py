@@ -13,6 +13,7 @@ frequent key is split by the skew join.  All DataFrame expressions.
 
 Defined results: a url that is null or has no "://" has an empty host and path, and is judged by
 the template of these; segments below ``DEPTH`` are one wildcard; a null label is no label;
+of rules of equal length the one later in the alphabet wins; very long urls are split whole;
 repeated rows get equal results; an empty table gives no rows; other columns are ignored.
 """
 
