@@ -4,7 +4,8 @@ Each stage is a function of (spark, docs, sf_dir); its result is written as Parq
 again as the documents of the next.  All but the last return the columns of documents.
 
 Defined results: null and empty texts have too few words and go with the first stage; repeated
-rows are near duplicates of each other, so one stays; an empty table stays empty; more columns
+rows are near duplicates of each other, so one stays; very long texts go through whole; an empty
+table stays empty; more columns
 in documents stay until the last stage, also ones with the names that operators use.
 """
 
