@@ -50,10 +50,16 @@ def add_vendors(store: Store, norms: list[DataFrame], batch_id: str, now: str) -
 
 
 class Run:
-    """One batch of one project.  ``now`` is the run's time as ISO text."""
+    """One batch of one project.  ``now`` is the run's time as ISO text.
 
-    def __init__(self, spark: SparkSession, project: Project, now: str, batch_id: str | None = None) -> None:
-        self.spark, self.project, self.now = spark, project, now
+    The batch has the files that match each source's pattern, or those given for each source.
+    """
+
+    def __init__(
+        self, spark: SparkSession, project: Project, now: str, batch_id: str | None = None,
+        files: dict[str, list[str]] | None = None,
+    ) -> None:
+        self.spark, self.project, self.now, self.files = spark, project, now, files
         self.store = Store(spark, project.path(project.store))
         self.batch_id = batch_id or self._latest()
 
@@ -76,7 +82,8 @@ class Run:
         registries = []
         for name, source in self.project.sources.items():
             got = ingest(
-                self.spark, self.project.path(source.path), name, self.batch_id, self.now, self.project.root
+                self.spark, self.project.path(source.path), name, self.batch_id, self.now, self.project.root,
+                None if self.files is None else self.files.get(name, []),
             )
             if got.rows is not None:
                 self.store.replace(f"stg_{name}_raw", self.batch_id, got.rows)

@@ -228,14 +228,18 @@ def _lineage(
 
 
 def ingest(
-    spark: SparkSession, pattern: str, source: str, batch_id: str, now: str, root: str = ""
+    spark: SparkSession, pattern: str, source: str, batch_id: str, now: str, root: str = "",
+    only: Sequence[str] | None = None,
 ) -> Ingested:
-    """Rows of all files of one source, and one registry row per file.
+    """Rows of all files of one source, and one registry row per file; ``only`` names some of the files.
 
     Files group by identical header and layout, each group is one scan, and the groups union
     by name.  Every file is parsed once, into the shared folder.
     """
     files = list_files(spark, pattern, root)
+    if only is not None:
+        wanted = {_plain(path) for path in only}
+        files = [f for f in files if _plain(f.path) in wanted]
     if not files:
         return Ingested(None, None)
     for f in files:
