@@ -18,14 +18,16 @@ Equal fingerprints are grouped first, so copies are never paired.
 
 Defined results: a null text is empty; a text without words has fingerprint zero and is linked
 like any other; fewer words than a shingle make one shingle of all of them; repeated rows and
-rows with a null id keep their rows (a component of null ids only has a null component); an
-empty table gives no rows; other columns are ignored.
+rows with a null id keep their rows (a component of null ids only has a null component); very
+long texts are hashed whole, in steps of bounded memory; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -36,7 +38,7 @@ from pyspark.sql import types as T
 
 from ledgerline.llm.common import fresh, whole_text
 from ledgerline.llm.components import components
-from ledgerline.session import materialize, ship_functions
+from ledgerline.session import materialize, scratch, scratch_scope, ship_functions
 
 RADIUS = 3
 SEED = 42
@@ -155,12 +157,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: Bytes of a long fingerprint, how many positional bytes make a posting, and how many postings there are.
 LONG_BYTES, POSTED_BYTES, POSTINGS = 128, 3, 128
-#: Of the texts before a text in a list that it is compared with, so many nearest of any one group: a text beside a large group meets other members in its other lists.
-OF_ONE_GROUP = 1
 #: Fewest positional bytes that a pair must share before its bits are compared.
 LEAST_SHARED = 12
 #: What the similarity that long fingerprints show is off by at most, nearly always.
 MARGIN = 0.06
+#: Longs of parity bits of a set of shingles.
+PARITIES = 8
 #: Shingles are ordered by the counts of so many buckets over one in so many texts.
 ORDER_BUCKETS, ORDER_SAMPLE = 1 << 18, 8
 
@@ -248,9 +250,7 @@ def similar_pairs(prints: DataFrame, similarity: float, neighbours: int, posting
     before = F.array_compact(F.array(*[F.lag(F.struct("node", "root"), k).over(ordered) for k in range(1, neighbours + 1)]))
     posted = _posted(prints).where(F.shiftright("posting", 8 * POSTED_BYTES) < postings)
     met = posted.select("node", "root", before.alias("before")).where(F.size("before") > 0)
-    nearer = lambda x, i: F.size(F.filter(F.slice("before", F.lit(1), i), lambda y: y["root"] == x["root"]))
-    others = met.select("node", F.filter(
-        "before", lambda x, i: (x["root"] != F.col("root")) & (nearer(x, i) < OF_ONE_GROUP)).alias("others"))
+    others = met.select("node", F.filter("before", lambda x: x["root"] != F.col("root")).alias("others"))
     pairs = others.where(F.size("others") > 0).select("node", F.explode("others.node").alias("u"))
     tallied = pairs.groupBy("u", F.col("node").alias("v")).agg(F.count(F.lit(1)).alias("shared"))
     a = prints.select(F.col("node").alias("u"), F.col("print").alias("a"))
@@ -296,46 +296,41 @@ def shingle_digest(unique: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(unique.tobytes())
 
 
-def size_counts(unique: np.ndarray) -> bytes:
-    """How many shingles fall in each of 256 parts, modulo 256."""
-    return np.bincount((unique >> np.uint64(56)).astype(np.int64), minlength=256).astype(np.uint8).tobytes()
+def parities(unique: np.ndarray) -> np.ndarray:
+    """Of each of PARITIES * 64 parts of the hashes whether an odd number of shingles falls in it, as longs.
 
-
-def _possible(pairs: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose counts (columns a, b; sizes n, m) don't rule out this similarity: differing shingles are at least the counts' differences."""
-    import pyarrow as pa
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, 256) for c in "ab")
-            least = np.minimum(a - b, b - a).sum(axis=1, dtype=np.int64)
-            both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
-            near = least <= both * (1 - similarity) / (1 + similarity) + 1e-6
-            yield batch.select(["u", "v", "shared"]).filter(pa.array(near))
-
-    return pairs.mapInArrow(run, "u long, v long, shared long")
+    A shingle that only one of two texts has changes one of these bits, so texts differ in at least
+    as many shingles as bits.
+    """
+    odd = np.bincount(((unique >> np.uint64(40)) % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def met_pairs(marks: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Rows u, v, shared: every pair of nodes of different roots that may have this similarity.
 
-    marks has node, size, counts and prefix.  Nodes meet where their prefixes share a shingle, so no
-    pair of this similarity is left out; pairs go by bounds that hold for all of them.
+    marks has node, size, parities and prefix.  Nodes meet where their prefixes share a shingle, so no
+    pair of this similarity is left out; pairs go, where they meet, by bounds that hold for all of them.
     """
     rooted = marks.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "size", "prefix")
     posted = rooted.select("node", "root", "size", F.posexplode("prefix").alias("place", "shingle"))
     of_one = Window.partitionBy("shingle")
     several = materialize(posted.withColumn("least", F.min("root").over(of_one)).withColumn("most", F.max("root").over(of_one)).where(
         "least < most").drop("least", "most"), "shared-prefixes")
-    a, b = (several.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size", "place")]) for x in "uv")
+    # Only what is shared carries the bits, as single columns, which keeps the condition of the join small enough to be compiled.
+    bits = [f"bits{i}" for i in range(PARITIES)]
+    several = several.join(marks.select("node", *[F.coalesce(F.get("parities", i), F.lit(0)).alias(c) for i, c in enumerate(bits)]), "node")
+    a, b = (several.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size", "place", *bits)]) for x in "uv")
+    both = F.col("size_u") + F.col("size_v")
     sizes = F.least("size_u", "size_v") >= similarity * F.greatest("size_u", "size_v") - 1e-6
-    # Common shingles are at most those up to this one and those after it.
-    most = F.least("place_u", "place_v") + 1 + F.least(F.col("size_u") - F.col("place_u"), F.col("size_v") - F.col("place_v")) - 1
-    enough = most >= similarity / (1 + similarity) * (F.col("size_u") + F.col("size_v")) - 1e-6
-    pairs = a.join(b, "shingle").where((F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & sizes & enough)
-    tallied = pairs.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v")).agg(F.count(F.lit(1)).alias("shared"))
-    of = lambda x, c, n: marks.select(F.col("node").alias(x), F.col("counts").alias(c), F.col("size").alias(n))
-    return _possible(tallied.join(of("u", "a", "n"), "u").join(of("v", "b", "m"), "v"), similarity)
+    # The first shingle that a pair has in common, in the order, comes before all others: they are at most
+    # this one and those after it.  A pair of this similarity passes at its first one, wherever else it fails.
+    most = F.least(F.col("size_u") - F.col("place_u"), F.col("size_v") - F.col("place_v"))
+    enough = most >= similarity / (1 + similarity) * both - 1e-6
+    differing = reduce(Column.__add__, [F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) for c in bits])
+    few = differing <= (1 - similarity) / (1 + similarity) * both + 1e-6
+    pairs = a.join(b, "shingle").where((F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & sizes & enough & few)
+    return pairs.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v")).agg(F.count(F.lit(1)).alias("shared"))
 
 
 def settle(links: DataFrame, marks: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -395,34 +390,40 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """
     import pyarrow as pa
 
-    name, digest, size, parts, first, row = fresh(docs, "long_fingerprint", "digest", "size", "counts", "prefix", "row")
+    name, digest, size, parts, first, row = fresh(docs, "long_fingerprint", "digest", "size", "parities", "prefix", "row")
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType()), T.StructField(digest, T.BinaryType()), T.StructField(size, T.LongType()),
-                           T.StructField(parts, T.BinaryType()), T.StructField(first, T.ArrayType(T.LongType()))])
+                           T.StructField(parts, T.ArrayType(T.LongType())), T.StructField(first, T.ArrayType(T.LongType()))])
     shared = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, text_col, words))
 
     def marks_of(text: str | None) -> tuple:
         hashes = shingle_hashes(text, words)
         unique = np.unique(hashes)
-        return long_fingerprint(hashes), shingle_digest(unique), len(unique), size_counts(unique), prefix(unique, shared.value, similarity).view(np.int64)
+        return long_fingerprint(hashes), shingle_digest(unique), len(unique), parities(unique).tolist(), prefix(unique, shared.value, similarity).view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             values = [marks_of(x.as_py()) for x in texts]
-            kinds = (pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            kinds = (pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             made = [pa.array([v[i] for v in values], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, name, digest, size, parts, first])
 
     # Written, so that row numbers stay.
     rows = materialize(docs.mapInArrow(run, schema).withColumn(row, F.monotonically_increasing_id()), "long-fingerprints")
     order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row"))
-    # Texts of equal shingle sets are one node; their fingerprints may differ where shingles repeat.
-    classes = materialize(rows.groupBy(digest).agg(
-        F.min(F.struct(F.col(row).alias("node"), F.col(name).alias("print"))).alias("c"), F.min(order).alias("first"),
-    ).select("c.node", "c.print", "first"), "classes")
-    texts = rows.select(F.col(row).alias("node"), F.col(text_col).alias("text"))
-    marks = rows.select(F.col(row).alias("node"), F.col(size).alias("size"), F.col(parts).alias("counts"), F.col(first).alias("prefix")).join(
-        classes.select("node"), "node", "left_semi")
-    roots = similar_groups(classes, marks, texts, words, similarity)
-    kept = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("first").alias("first"))
-    return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").drop(name, digest, size, parts, first, row)
+    # What the steps below write is not needed once the groups are known.
+    found = scratch(docs.sparkSession, "kept")
+    with scratch_scope(docs.sparkSession, "near-dedup"):
+        # Texts of equal shingle sets are one node; their fingerprints may differ where shingles repeat.
+        classes = materialize(rows.groupBy(digest).agg(
+            F.min(F.struct(F.col(row).alias("node"), F.col(name).alias("print"))).alias("c"), F.min(order).alias("first"),
+        ).select("c.node", "c.print", "first"), "classes")
+        texts = rows.select(F.col(row).alias("node"), F.col(text_col).alias("text"))
+        marks = rows.select(
+            F.col(row).alias("node"), F.col(size).alias("size"), F.col(parts).alias("parities"), F.col(first).alias("prefix")
+        ).join(classes.select("node"), "node", "left_semi")
+        roots = similar_groups(classes, marks, texts, words, similarity)
+        groups = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("first").alias("first"))
+        groups.select(F.col("first.row").alias(row)).write.parquet(found)
+    kept = docs.sparkSession.read.schema(T.StructType([T.StructField(row, T.LongType())])).parquet(found)
+    return rows.join(kept, row, "left_semi").drop(name, digest, size, parts, first, row)

@@ -174,3 +174,22 @@ def test_no_link_without_the_texts(frame, monkeypatch):
         rows += [(3 * k + i, " ".join(text[:29 - n] + words(n)), "s") for i, n in enumerate((0, 3, 2))]
     kept = sorted(r.doc_id for r in simhash.keep_one(frame(rows)).collect())
     assert kept == plain_kept(rows) and {3 * k + 1 for k in range(12)} <= set(kept)
+
+
+def test_a_large_group_below_the_threshold_hardly_meets(frame, monkeypatch):
+    """Texts of one base that each change 22 of 180 words, and pairs at 0.8 among them."""
+    met = []
+    monkeypatch.setattr(simhash, "met_pairs", lambda *args, pairs=simhash.met_pairs: met.append(pairs(*args).count()) or pairs(*args))
+    for n in (100, 300):
+        rnd = random.Random(n)
+        words = lambda k: [f"w{rnd.randrange(10**6)}" for _ in range(k)]
+        base, texts = words(180), []
+        for _ in range(n):
+            at = rnd.randrange(150)
+            texts.append(base[:at] + words(22) + base[at + 22:])
+        for k in range(8):
+            texts.append(texts[k][:3] + words(12) + texts[k][15:])
+        rows = [(i, " ".join(t), "s") for i, t in enumerate(texts)]
+        want = plain_kept(rows)
+        assert sorted(r.doc_id for r in simhash.keep_one(frame(rows)).collect()) == want and n - 5 < len(want) <= n + 8
+    assert all(pairs < 0.02 * n * n for pairs, n in zip(met, (100, 300)))
