@@ -93,6 +93,33 @@ def test_chain_takes_few_rounds(spark, monkeypatch, length):
     assert len(rounds) <= 2
 
 
+@pytest.mark.parametrize("seed,cfg,vendors,limit", [
+    (11, Matching(date_window_days=1), VENDORS, 150),
+    (12, Matching(date_window_days=2, amount_tolerance_cents=3, min_score=0.4), VENDORS[:2], 1200),
+])
+def test_runs_of_days_instead_of_rounds(spark, monkeypatch, seed, cfg, vendors, limit):
+    """An amount above the limit is settled in runs of days; only what is open about the cuts goes on."""
+    rounds, sizes = [], []
+    ranked, runs = module._ranked, module._in_runs_of_days
+    monkeypatch.setattr(module, "_ranked", lambda edges: rounds.append(edges.count()) or ranked(edges))
+    monkeypatch.setattr(module, "_in_runs_of_days", lambda edges, *rest: sizes.append(edges.count()) or runs(edges, *rest))
+    tx, pay = feeds(spark, seed, 250, [100, 102], 28, vendors)
+    assert found(tx, pay, cfg, group_limit=limit) == plain_scan(tx, pay, cfg)
+    assert sizes and sum(rounds) < sizes[0] // 4
+
+
+def test_same_day_pairs_meet_by_day(spark, monkeypatch):
+    """Without a window unlike names are joined on their day; only names alike enough meet on other days."""
+    floors = []
+    names, cells = module.similar_names, module.vendor_pairs
+    monkeypatch.setattr(module, "similar_names", lambda t, p, floor: floors.append((floor, "any")) or names(t, p, floor))
+    monkeypatch.setattr(module, "vendor_pairs", lambda t, p, c, floor, same: floors.append((floor, same)) or cells(t, p, c, floor, same))
+    cfg = Matching(date_window_days=0, min_score=0.65, amount_tolerance_cents=2)
+    tx, pay = feeds(spark, 14, 90, [100, 101, 200], 5, [*VENDORS, "Red Wagon"])
+    assert found(tx, pay, cfg) == plain_scan(tx, pay, cfg)
+    assert sorted((round(f, 3), how) for f, how in floors) == [(0.417, True), (0.917, "any")]
+
+
 def test_tolerance_splits_into_many_parts(spark, monkeypatch):
     parts = []
     settle = module._settle_small
