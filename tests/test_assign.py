@@ -47,6 +47,16 @@ def plain_scan(tx, pay, cfg):
     return sorted(out)
 
 
+def test_candidates_of_a_transaction_follow_each_other(spark):
+    tx, pay = feeds(spark, 5, 60, [100, 200], 12)
+    ids = [r.txn_id for r in candidates(tx, pay, Matching(), "b").collect()]
+    order = {r.txn_id: (r.amount_cents, r.date) for r in tx.collect()}
+    runs = [a for a, b in zip(ids, [*ids[1:], None]) if a != b]
+    assert len(runs) <= 2 * len(set(ids))  # one for each date cell
+    near = [order[a][0] == order[b][0] for a, b in zip(runs, runs[1:])]
+    assert near.count(False) < 8  # cells of an amount, not the order of the transactions
+
+
 def found(tx, pay, cfg, **kw):
     rows = assign(tx, pay, cfg, "b", "now", **kw).collect()
     return sorted((r.txn_id, r.pay_id, r.match_score, r.date_diff_days, r.amount_diff_cents) for r in rows)
