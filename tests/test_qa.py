@@ -52,6 +52,14 @@ def test_outliers(spark):
     assert [(r.record_id, r.message) for r in got] == [("t37", "Amount is unusually high (threshold: 36 cents).")]
 
 
+def test_what_rules_read_is_worked_out_once(spark):
+    df = facts(spark, [("a", "x", "2025-01-01", 1), ("b", None, "", 1)])
+    df = df.withColumn("vendor_canonical", F.regexp_replace("vendor_canonical", "x+", ""))
+    got = qa.flag_rows(df, "transactions", qa.missing_rules(), "now")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
+    assert sorted((r.record_id, r.flag_code) for r in got.collect()) == [("a", "MISSING_VENDOR"), ("b", "MISSING_DATE"), ("b", "MISSING_VENDOR")]
+
+
 def test_duplicates_with_a_hot_group(spark):
     rows = [(f"h{i}", "Hot", "2025-01-01", 5) for i in range(700)]
     rows += [(f"p{i}", f"V{i // 2}", "2025-01-01", 5) for i in range(1000)] + [(f"s{i}", f"S{i}", "", 0) for i in range(400)]
