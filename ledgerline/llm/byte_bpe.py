@@ -3,7 +3,7 @@
 A text is split by a pattern; each distinct piece of a block of texts becomes rows
 (word, position, token) that a recursive query joins with the merge table, contracting in each
 word the leftmost pair of least rank until no pair of the word is in the table.  Decoding joins
-token ids with their bytes and aggregates these in the order of positions.
+token ids with their bytes, which are put one behind the other in the order of positions.
 
 The merge table holds every split of a vocabulary entry into two others, so pairs merge by the
 rank of their joined bytes, as the rank file means it.  Pieces longer than ``LONG_WORD`` bytes
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -90,11 +91,7 @@ FROM ranked r LEFT JOIN done d ON d.word = r.word AND d.n = r.n
 LEFT JOIN done g ON g.word = r.word AND g.n = r.n - 1 WHERE g.word IS NULL
 """
 
-DECODING = """
-SELECT doc, unhex(string_agg(piece, '' ORDER BY pos)) AS bytes FROM (
-  SELECT doc, unnest(ids) AS id, unnest(range(len(ids))) AS pos FROM encoded) JOIN pieces USING (id)
-GROUP BY doc
-"""
+DECODING = "SELECT place, piece FROM encoded JOIN pieces USING (id)"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -103,6 +100,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+def splits_of(ranks: dict[bytes, int]) -> np.ndarray:
+    """Ranks of the two parts and of the whole, as three rows, for every split of an entry into two others."""
+    splits = [
+        (ranks[p[:i]], ranks[p[i:]], rank) for p, rank in ranks.items() for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks
+    ]
+    return np.array(splits, np.int32).reshape(-1, 3).T
+
+
 def _connection():
     import duckdb
 
@@ -115,7 +120,7 @@ def _connection():
 class Encoder:
     """Encodes blocks of texts; remembers the pieces that it has met."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, splits: np.ndarray | None = None):
         import pyarrow as pa
         import regex
 
@@ -124,12 +129,8 @@ class Encoder:
         for piece, rank in ranks.items():
             if len(piece) == 1:
                 self.single[piece[0]] = rank
-        splits = [
-            (ranks[p[:i]], ranks[p[i:]], rank) for p, rank in ranks.items() for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks
-        ]
-        columns = np.array(splits, np.int32).reshape(-1, 3).T
         self.con = _connection()
-        self.con.register("splits", pa.table(dict(zip(("left_id", "right_id", "id"), columns))))
+        self.con.register("splits", pa.table(dict(zip(("left_id", "right_id", "id"), splits_of(ranks) if splits is None else splits))))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM splits")
         self.con.unregister("splits")
         self.forget()
@@ -143,11 +144,10 @@ class Encoder:
         if len(self.code) > REMEMBERED:
             self.forget()
         pieces = [self.find(t) if t else [] for t in texts]
-        new = list({w for found in pieces for w in found if w not in self.code})
-        self._learn(new)
+        self._learn(list(set(chain.from_iterable(pieces)).difference(self.code)))
         starts, ids = np.concatenate(self.starts), np.concatenate(self.ids)
         self.starts, self.ids = [starts], [ids]
-        codes = np.fromiter((self.code[w] for found in pieces for w in found), np.int64, sum(map(len, pieces)))
+        codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(pieces)), np.int64, sum(map(len, pieces)))
         counts = starts[codes + 1] - starts[codes]
         ends = np.cumsum(counts)
         taken = ids[np.repeat(starts[codes] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
@@ -203,18 +203,37 @@ class Encoder:
 
 
 def _encoding(batches: Iterator, shared, pattern: str, text_col: str, name: str) -> Iterator:
-    """Batches with the token ids of the text as one more column."""
+    """Batches with the token ids of the text as one more column; ``shared`` has the ranks and their splits."""
     import pyarrow as pa
 
     encoder = None
     for batch in batches:
-        encoder = encoder or Encoder(shared.value, pattern)
+        if encoder is None:
+            ranks, splits = shared.value
+            encoder = Encoder(ranks, pattern, splits)
         for part in slices(batch, text_col, BLOCK_BYTES):
             offsets, ids = encoder.block(part.column(text_col).to_pylist())
             listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([*part.columns, listed], names=[*part.schema.names, name])
 
 
+def _bytes_of(con, ids):
+    """The bytes of each list of ids: one flat list is joined with the pieces, whose places then part the texts again."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lengths, flat = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), ids.flatten()
+    con.register("encoded", pa.table({"place": np.arange(len(flat)), "id": flat}))
+    found = con.sql(DECODING).to_arrow_table()
+    con.unregister("encoded")
+    place = found["place"].to_numpy()
+    before = np.zeros(len(flat) + 1, np.int64)
+    before[place + 1] = pc.binary_length(found["piece"]).to_numpy()
+    offsets = np.cumsum(before)[np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)]
+    ordered = found["piece"].combine_chunks().take(pa.array(np.argsort(place, kind="stable")))
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype(np.int32)), ordered.buffers()[2]])
+
+
 def _decoding(batches: Iterator, shared, ids_col: str, name: str) -> Iterator:
     """Batches with the bytes that the ids stand for as one more column."""
     import pyarrow as pa
@@ -223,9 +242,8 @@ def _decoding(batches: Iterator, shared, ids_col: str, name: str) -> Iterator:
     for batch in batches:
         if con is None:
             con = _connection()
-            pieces = shared.value
-            con.register("vocabulary", pa.table({
-                "id": pa.array(pieces.values(), pa.int32()), "piece": pa.array([p.hex() for p in pieces], pa.string())}))
+            pieces = shared.value[0]
+            con.register("vocabulary", pa.table({"id": pa.array(pieces.values(), pa.int32()), "piece": pa.array(pieces, pa.binary())}))
             con.execute("CREATE TABLE pieces AS SELECT * FROM vocabulary")
             con.unregister("vocabulary")
         lengths = batch.column(ids_col).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -233,13 +251,7 @@ def _decoding(batches: Iterator, shared, ids_col: str, name: str) -> Iterator:
         edges = [0, *(np.nonzero(np.diff(block))[0] + 1), batch.num_rows]
         for start, end in zip(edges, edges[1:]):
             part = batch.slice(start, end - start)
-            con.register("encoded", pa.table({"doc": np.arange(part.num_rows), "ids": part.column(ids_col)}))
-            found = con.execute(DECODING).fetchall()
-            con.unregister("encoded")
-            values: list[bytes] = [b""] * part.num_rows
-            for doc, data in found:
-                values[doc] = data
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.binary())], names=[*part.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*part.columns, _bytes_of(con, part.column(ids_col))], names=[*part.schema.names, name])
 
 
 def _with_column(frame: DataFrame, name: str, kind: T.DataType) -> T.StructType:
@@ -249,7 +261,7 @@ def _with_column(frame: DataFrame, name: str, kind: T.DataType) -> T.StructType:
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", name: str = "ids") -> tuple[DataFrame, str]:
     """The frame with one more column, the token ids of the text as array<int>; and its name."""
     (name,) = fresh(docs, name)
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, splits_of(ranks)))
     return docs.mapInArrow(
         lambda batches: _encoding(batches, shared, pattern, text_col, name), _with_column(docs, name, T.ArrayType(T.IntegerType()))), name
 
@@ -257,7 +269,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", name: str = "decoded") -> tuple[DataFrame, str]:
     """The frame with one more column, the bytes that the ids stand for; and its name."""
     (name,) = fresh(encoded, name)
-    shared = encoded.sparkSession.sparkContext.broadcast(ranks)
+    shared = encoded.sparkSession.sparkContext.broadcast((ranks, splits_of(ranks)))
     return encoded.mapInArrow(
         lambda batches: _decoding(batches, shared, ids_col, name), _with_column(encoded, name, T.BinaryType())), name
 
@@ -266,7 +278,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
     """Rows of the kept columns, ids and decoded: both steps in one pass, so each task has one Python process."""
     ranks = read_ranks(path)
     only = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], whole_text(text_col).alias("_text"))
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, splits_of(ranks)))
     kept = only.drop("_text")
     schema = T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
 

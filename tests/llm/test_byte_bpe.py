@@ -42,6 +42,16 @@ def test_round_trip_and_odd_rows(odd, library):
     assert all(r.ids == library.encode_ordinary(bytes(r.decoded).decode()) for r in found)
 
 
+def test_decoding_has_no_aggregate_and_skips_unknown_ids(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "BLOCK_IDS", 3)
+    assert "agg" not in byte_bpe.DECODING.lower()  # bytes are put in order by their places
+    rows = [(0, [5, 300, 5]), (1, None), (2, []), (3, [10**6, 7, None, 9, 10**6]), (4, [8] * 9), (5, [10**6]), (6, [1])]
+    piece = {rank: p for p, rank in RANKS.items()}
+    decoded, name = byte_bpe.decode(spark.createDataFrame(rows, "n int, ids array<int>").coalesce(1), RANKS)
+    got = {r.n: bytes(r[name]) for r in decoded.collect()}
+    assert got == {n: b"".join(piece.get(i, b"") for i in ids or []) for n, ids in rows}
+
+
 def test_empty_table_and_clashing_name(empty, odd):
     assert byte_bpe.round_trip(empty, PATH, public_tokenizers.PATTERN).collect() == []
     encoded, name = byte_bpe.encode(odd, RANKS, public_tokenizers.PATTERN)
