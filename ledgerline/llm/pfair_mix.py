@@ -139,10 +139,9 @@ def mix(docs: DataFrame, source_col: str = "source", order_cols: tuple[str, ...]
     key = F.struct(F.col(source_col).cast("string").alias("s"))
     sizes = spark.createDataFrame([((s,), codes[s], max(1, -(-n // BUCKET))) for s, n in counts.items()],
                                   "_source struct<s:string>, _code long, _buckets long")
-    rows = docs.select(F.struct("*").alias("_row"), key.alias("_source"), F.xxhash64(*order_cols).alias("_hash"),
-                       F.struct(*order_cols).alias("_order"))
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_source"), F.xxhash64(*order_cols).alias("_hash"))
     bucketed = rows.join(F.broadcast(sizes), "_source").select(  # at most MOST_SOURCES rows
-        "_row", "_code", "_hash", "_order", F.pmod("_hash", "_buckets").alias("_bucket"))
+        "_row", "_code", "_hash", F.pmod("_hash", "_buckets").alias("_bucket"))
     sums = Window.partitionBy("_code").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = bucketed.groupBy("_code", "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
         "_code", "_bucket", "_n", F.coalesce(F.sum("_n").over(sums), F.lit(0)).alias("_before"))
@@ -152,8 +151,9 @@ def mix(docs: DataFrame, source_col: str = "source", order_cols: tuple[str, ...]
         F.sequence(first, F.floor((F.col("_before") + F.col("_n") - 1) / block))).alias("_block"))
     placed = spans.join(slots, ["_code", "_block"]).groupBy("_code", "_bucket", "_before").agg(
         F.sort_array(F.collect_list(F.struct("_block", "_slot"))).alias("_slots"))
-    within = F.row_number().over(Window.partitionBy("_code", "_bucket").orderBy("_hash", "_order"))
-    numbered = bucketed.withColumn("_within", within).join(placed, ["_code", "_bucket"]).select(
+    within = F.row_number().over(Window.partitionBy("_code", "_bucket").orderBy("_hash", *[F.col("_row")[c] for c in order_cols]))
+    # Dealt before the window takes what it orders by out of the rows, so that texts are shuffled once, not twice.
+    numbered = bucketed.repartition("_code", "_bucket").withColumn("_within", within).join(placed, ["_code", "_bucket"]).select(
         "_row", "_slots", first.alias("_first"), (F.col("_before") + F.col("_within") - 1).alias("_n"),
     ).withColumn("_block", F.floor(F.col("_n") / block))
     slot = F.get("_slots", (F.col("_block") - F.col("_first")).cast("int"))["_slot"]

@@ -97,3 +97,10 @@ def test_long_schedules_stay_within_one_block():
             assert all(abs(n - t * w / total) < 1 for n, w in zip(used, weights))
         if t == 200_000:
             break
+
+
+def test_texts_are_shuffled_once_for_the_numbers(frame):
+    mixed, _ = pfair_mix.mix(frame([(i, f"text {i}", "ab"[i % 2]) for i in range(40)]), order_cols=("doc_id", "text"))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    numbers, dealt = plan.split("RepartitionByExpression", 1)
+    assert "text AS _w1#" in numbers and "AS _w1#" not in dealt  # what the window orders by is taken out above the shuffle
