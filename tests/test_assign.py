@@ -187,3 +187,25 @@ def test_match_types(spark):
 def test_nothing_matches(spark):
     tx, pay = feeds(spark, 1, 3, [100], 2, ["Acme"])
     assert assign(tx, pay.withColumn("amount_cents", F.lit(7).cast("bigint")), Matching(), "b", "now").count() == 0
+
+
+@pytest.mark.parametrize("seed,n,amounts,days,cfg,limit", [
+    (21, 120, [100, 200], 7, Matching(), 200_000),
+    (22, 80, [100, 103, 106, 110], 5, Matching(amount_tolerance_cents=4, min_score=0.4), 25),
+    (23, 90, [100, 200], 9, Matching(date_window_days=0, min_score=0.65), 25),
+    (24, 60, [100, 101], 6, Matching(date_window_days=0, min_score=0.5, amount_tolerance_cents=1, date_weight=0.1, amount_weight=0.3), 200_000),
+])
+def test_passes_equal_plain_scan(spark, seed, n, amounts, days, cfg, limit):
+    tx, pay = feeds(spark, seed, n, amounts, days, [*VENDORS, "Red Wagon"])
+    assert found(tx, pay, cfg, group_limit=limit, one_pass=0) == plain_scan(tx, pay, cfg)
+
+
+def test_other_days_form_one_group(spark, monkeypatch):
+    """Without a window facts of one name on days of their own took a round for each pair."""
+    rounds = []
+    monkeypatch.setattr(module, "_ranked", lambda edges, ranked=module._ranked: rounds.append(edges.count()) or ranked(edges))
+    tx, pay = (spark.createDataFrame([(f"{i:02d}", "Acme", f"2025-{month}-{i + 1:02d}", 100, "a.csv", i) for i in range(24)],
+                                     SCHEMA.format(c)) for month, c in (("01", "txn_id"), ("02", "pay_id")))
+    cfg = Matching(date_window_days=0, min_score=0.65)
+    assert found(tx, pay, cfg, group_limit=0, one_pass=0) == plain_scan(tx, pay, cfg)
+    assert rounds == [1]
