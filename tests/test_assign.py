@@ -218,3 +218,38 @@ def test_places_by_file_and_line(spark, twice):
     got = module._placed(df, "t").collect()
     assert [r.t_id for r in sorted(got, key=lambda r: r.t_pos)] == [i for *_, i in sorted(rows)]
     assert twice or {r.t_id: r.t_pos for r in got}[3] - {r.t_id: r.t_pos for r in got}[1] == (1 << 39) - 3
+
+
+def test_ids_are_not_written_and_come_back_as_they_are(spark, monkeypatch):
+    """Numbered facts, groups and edges carry no ids; ids of any form are looked up for the pairs."""
+    written = []
+    keep = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: written.extend(df.columns) or keep(df, name))
+    odd = ["00ff", "00FF", "abc", "ab\n", "", "\x00", "\u00e9a", "0" * 64]
+    tx, pay = (spark.createDataFrame([(x, "Acme", f"2025-01-{i + 1:02d}", 100 * i, "a.csv", i) for i, x in enumerate(odd)],
+                                     SCHEMA.format(c)) for c in ("txn_id", "pay_id"))
+    got = [(r.txn_id, r.pay_id) for r in assign(tx, pay, Matching(), "b", "now").collect()]
+    assert sorted(got) == sorted(zip(odd, odd))
+    assert written and not {"t_id", "p_id"} & set(written)
+
+
+def test_members_of_large_groups_by_blocks(spark, monkeypatch):
+    """Only groups above a block go by blocks; all are numbered in source order."""
+    monkeypatch.setattr(module, "BLOCK", 4)
+    days = [1] * 9 + [2] * 3 + [3]
+    rows = [(i * 3, 100, d, "Acme") for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "t_pos bigint, t_cents bigint, t_day int, t_vendor string")
+    got = [tuple(r) for r in module._members(df, module._groups(df, "t"), "t").select("t_key", "t_pos", "t_rank", "t_block").collect()]
+    want = [(0, 3 * i, i + 1, (i + 1) // 4) for i in range(9)] + [(27, 27 + 3 * i, i + 1, (i + 1) // 4) for i in range(3)]
+    assert sorted(got) == want
+
+
+def test_a_part_says_which_edges_stay_open():
+    """What a payment that a neighbouring run may take leaves open needs no join with the pairs."""
+    edge = dict(t_day=1, p_day=1, t_cents=5, p_cents=5, vendor_sim=1.0, score=1.0)
+    edges = module.pd.DataFrame([
+        dict(part=0, t_key=1, p_key=2, shared=False, t_n=1, p_n=2, t_done=0, p_done=0, **edge),
+        dict(part=0, t_key=7, p_key=8, shared=True, t_n=1, p_n=1, t_done=0, p_done=0, **edge)])
+    members = module.pd.DataFrame({"end": ["p", "p"], "key": [2, 2], "pos": [2, 4]})
+    out = module._settle_part(edges, members)
+    assert out[["t_pos", "p_pos", "open"]].values.tolist() == [[1, 2, False], [7, 8, True]]
