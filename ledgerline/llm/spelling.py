@@ -20,7 +20,9 @@ each has ``RATIO`` times the occurrences of the one before, doubling ends after
 
 Texts are split and counted with combination before the shuffle.  Joins are on shared letters and on
 numbers and are split by the skew join; a word has no more near words than letters have places and kinds.
-The bigrams of the alphabet, at most its size squared, are the only thing that the driver sees.
+They are merge joins by hint: Spark would size the postings by the compressed file of the words, a few
+hundredths of what they hold in memory, and send them through the driver to be broadcast.  The bigrams
+of the alphabet, at most its size squared, are the only thing that the driver sees.
 
 Defined results: null and empty texts have no words; a null id counts as an empty one; very long texts
 and words are taken whole; repeated rows count as further occurrences; ties among near words go to the
@@ -180,7 +182,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     ranked = sorted(counts, key=lambda g: (counts[g], g))
     order, cost = {g: i for i, g in enumerate(ranked)}, [counts[g] for g in ranked]
     looking = index_of(words, order, cost, True).select("key", *[F.col(c).alias(f"a_{c}") for c in ("rest", "id", "ends")])
-    met = looking.join(index_of(words, order, cost, False), "key").where(
+    met = looking.hint("merge").join(index_of(words, order, cost, False), "key").where(
         "a_ends < ends OR a_ends = ends AND a_id < id").where(F.levenshtein("a_rest", "rest", 1) == 1)
     both = F.explode(F.array(F.struct(F.col("a_id").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("a_id").alias("b"))))
     # All of a word's near words in one place: the pairs are reduced and grouped without another shuffle.
@@ -190,7 +192,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
 def group_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     """Rows word, n, n_near, form, form_n and root of counted words (see ``count_words``)."""
     words = numbered(words)
-    best = near_pairs(words).groupBy("a").agg(F.count(F.lit(1)).alias("n_near"), F.min("b").alias("top"))
+    best = near_pairs(words).groupBy("a").agg(F.count(F.lit(1)).alias("n_near"), F.min("b").alias("top")).hint("merge")
     usual = words.select(F.col("id").alias("top"), F.col("word").alias("top_word"), F.col("n").alias("top_n"))
     found = F.col("top_n") >= ratio * F.col("n")
     judged = materialize(words.join(best.join(usual, "top"), F.col("id") == F.col("a"), "left").select(
@@ -199,8 +201,8 @@ def group_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     steps = judged.where("form IS NOT NULL").select("word", F.col("form").alias("root"))
     while True:  # each round doubles the steps that a root is away
         further = steps.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        steps = materialize(steps.join(further, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
+        steps = materialize(steps.hint("merge").join(further, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
         if steps.where("moved").isEmpty():
             break
         steps = steps.drop("moved")
-    return judged.join(steps.select("word", "root"), "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return judged.hint("merge").join(steps.select("word", "root"), "word", "left").withColumn("root", F.coalesce("root", "word"))

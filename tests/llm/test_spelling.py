@@ -107,6 +107,14 @@ def test_chain_of_forms_and_long_words(spark):
     assert {r[2] for r in got if r[0] in chain} == {chain[-1]}
 
 
+def test_no_table_of_words_is_broadcast(spark):
+    """A small file of words has large postings: they must not go through the driver, whatever the file's size."""
+    words = spelling.numbered(spark.createDataFrame([(f"{c}bcdefg{d}", 10 + 5 * i) for i, c in enumerate("abcdef") for d in "xyz"], "word string, n long"))
+    for frame in (spelling.near_pairs(words), spelling.group_variants(words)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def counted(frame):
     return spelling.count_words(spelling.lowered_runs(frame).select(
         spelling.with_slips(spelling.F.col("run"), spelling.F.col("doc_id")).alias("word")))
