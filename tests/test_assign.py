@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.config import Matching
 from ledgerline.operators import assign as module
+from ledgerline.operators import candidates as listing
 from ledgerline.operators.assign import assign, unmatched
 from ledgerline.operators.candidates import candidates, match_type
 from ledgerline.operators.islands import with_islands
@@ -57,6 +58,39 @@ def test_candidates_of_a_transaction_follow_each_other(spark):
     assert near.count(False) < 8  # cells of an amount, not the order of the transactions
 
 
+@pytest.mark.parametrize("cfg", [Matching(amount_tolerance_cents=25), Matching(date_window_days=0)])
+def test_candidates_are_all_pairs_within_the_bands(spark, monkeypatch, cfg):
+    for name, most in (("BLOCK", 7), ("RUN", 3), ("PART_FACTS", 60), ("PART_PAIRS", 60)):
+        monkeypatch.setattr(listing, name, most)
+    tx, pay = feeds(spark, 8, 90, [100, 100, 110, 125, 300], 9)
+    tx = tx.union(tx.limit(5)).union(tx.limit(1).withColumn("date", F.lit(None).cast("string")))  # repeated ids, no date
+    near = lambda a, b, reach: abs(a - b) <= reach
+    want = sorted(
+        (t.txn_id, p.pay_id, int(p.date[-2:]) - int(t.date[-2:]), p.amount_cents - t.amount_cents)
+        for t in tx.collect() if t.date for p in pay.collect()
+        if near(t.amount_cents, p.amount_cents, cfg.amount_tolerance_cents)
+        and (cfg.date_window_days == 0 or near(int(t.date[-2:]), int(p.date[-2:]), cfg.date_window_days)))
+    got = candidates(tx, pay, cfg, "b").select("txn_id", "pay_id", "date_diff_days", "amount_diff_cents").collect()
+    assert sorted(tuple(r) for r in got) == want
+
+
+@pytest.mark.parametrize("window", [0, 3])
+def test_the_written_list_takes_little_room(spark, tmp_path, window):
+    """40,000 payments of 40 amounts: with their ids written in full a row took 64 bytes or more."""
+
+    def facts(n, name):
+        k = F.col("id")
+        day = F.date_add(F.lit("2025-01-01").cast("date"), (F.xxhash64(k, F.lit(name)) % 2).cast("int")).cast("string")
+        return spark.range(n).select(
+            F.sha2(F.concat(F.lit(name), k.cast("string")), 256).alias(name), F.concat(F.lit("Vendor "), (k % 7).cast("string")).alias("vendor_canonical"),
+            day.alias("date"), (k % 40 * 100).alias("amount_cents"))
+
+    listed = candidates(facts(1200, "txn_id"), facts(40_000, "pay_id"), Matching(date_window_days=window), "b")
+    listed.write.option("compression", "snappy").parquet(str(tmp_path / "list"))
+    assert spark.read.parquet(str(tmp_path / "list")).count() == 1_200_000
+    assert sum(f.stat().st_size for f in (tmp_path / "list").glob("*.parquet")) < 8 * 1_200_000
+
+
 def found(tx, pay, cfg, **kw):
     rows = assign(tx, pay, cfg, "b", "now", **kw).collect()
     return sorted((r.txn_id, r.pay_id, r.match_score, r.date_diff_days, r.amount_diff_cents) for r in rows)
