@@ -21,7 +21,7 @@ each has ``RATIO`` times the occurrences of the one before, doubling ends after
 Texts are split and counted with combination before the shuffle.  Joins are on shared letters and on
 numbers and are split by the skew join; a word has no more near words than letters have places and kinds.
 They are merge joins by hint: Spark would size the postings by the compressed file of the words, a few
-hundredths of what they hold in memory, and send them through the driver to be broadcast.  The bigrams
+thousandths of what they hold in memory, and send them through the driver to be broadcast.  The bigrams
 of the alphabet, at most its size squared, are the only thing that the driver sees.
 
 Defined results: null and empty texts have no words; a null id counts as an empty one; very long texts
